@@ -23,6 +23,7 @@ from panelspark.operators.counters import (
 )
 from panelspark.operators.filters import at_reporting_marks, by_station_lists, drop_present, in_years
 from panelspark.operators.monthly import entity_month_totals
+from panelspark.sources.sinks import is_stored
 from panelspark.specs import COUNTER_BASELINE_YEARS, OUTLIER_FACTOR, CounterSpec
 from panelspark.workspace import new_path, stored
 
@@ -97,11 +98,9 @@ def run_counter_baseline(
     force_staging: bool = False,
 ) -> dict[str, DataFrame]:
     """The whole counter run under ``root``; staged readings are reused unless staging is forced."""
-    from panelspark.sources.sinks import stored_row_count
-
     spark = readings.sparkSession
     path = f"{root.rstrip('/')}/staged_readings"
-    if force_staging or stored_row_count(spark, path) is None:
+    if force_staging or not is_stored(spark, path):
         staged = in_chunks(staged_readings(readings, mapping), path=path)
     else:
         staged = spark.read.parquet(path)

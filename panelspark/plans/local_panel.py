@@ -68,4 +68,4 @@ def local_panels(
 def local_comparison(panels: dict[str, DataFrame], baselines: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Monthly totals of each level against the counter baseline."""
     levels = {STATION.name: STATION, DISTRICT.name: DISTRICT, CITY.name: CITY}
-    return {name: compare_totals(panels[name], baselines[name], level) for name, level in levels.items()}
+    return {name: compare_totals(panels[name], baselines[name], level) for name, level in levels.items() if name in panels}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -19,12 +20,15 @@ from panelspark.operators.months import candidate_months, missing_months, month_
 from panelspark.operators.monthly import complete_months, monthly_wide
 from panelspark.operators.quality import require_enum, require_unique
 from panelspark.operators.rollup import roll_up
-from panelspark.sources.sinks import change_status, land_months, stored_row_count
+from panelspark.sources.sinks import change_status, is_stored, land_months, stored_row_count
 from panelspark.sources.tables import load_stored_panel
 from panelspark.specs import BAD_PERIODS, BASELINE_YEARS, FactSpec
 from panelspark.workspace import stored
 
 
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Dimensions:
     """Small reference tables: in-scope ids, entity to district, names, special baseline years."""
@@ -50,15 +54,18 @@ def wide_long(wide: DataFrame) -> DataFrame:
 
 
 def baselines(
-    wide: DataFrame, dims: Dimensions, years=BASELINE_YEARS, bad_periods=BAD_PERIODS
+    wide: DataFrame, dims: Dimensions, years=BASELINE_YEARS, bad_periods=BAD_PERIODS, keep: Keep = lambda _, df: df
 ) -> dict[str, DataFrame]:
-    """Baselines of every level from wide monthly sums of the baseline years."""
+    """Baselines of every level from wide monthly sums of the baseline years.
+
+    ``keep`` may store each table as it is made, so that roll-ups start from the stored one.
+    """
     sums = wide_long(wide.filter(F.col("year").isin(*years)))
-    station = station_baseline(sums, dims.special, dims.ids, years, bad_periods)
+    station = keep(STATION.name, station_baseline(sums, dims.special, dims.ids, years, bad_periods))
     return {
         STATION.name: station,
-        DISTRICT.name: roll_up_baseline(station, dims.districts, DISTRICT.key),
-        CITY.name: roll_up_baseline(station, None, None),
+        DISTRICT.name: keep(DISTRICT.name, roll_up_baseline(station, dims.districts, DISTRICT.key)),
+        CITY.name: keep(CITY.name, roll_up_baseline(station, None, None)),
     }
 
 
@@ -165,7 +172,7 @@ def update_station_table(
         wide, complete = fresh_wide(fact, months, spec)
         fresh = dense_panel(wide, ids, complete)
         if full_refresh:
-            fresh.repartition("year", "month").write.mode("overwrite").option(
+            fresh.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
                 "partitionOverwriteMode", "static"
             ).partitionBy("year", "month").parquet(path)
         else:
@@ -174,15 +181,14 @@ def update_station_table(
 
 
 def baseline_or_reuse(
-    spark: SparkSession, root: str, build, force: bool = False
+    spark: SparkSession, root: str, build: Callable[[Keep], dict[str, DataFrame]], force: bool = False
 ) -> tuple[dict[str, DataFrame], str]:
     """Stored baselines when all three are there and no rebuild is forced; else build and store them."""
     paths = {name: f"{root.rstrip('/')}/baseline_{name}" for name in LEVELS}
-    missing = [name for name, path in paths.items() if stored_row_count(spark, path) is None]
+    missing = [name for name, path in paths.items() if not is_stored(spark, path)]
     if force or missing:
         reason = "forced rebuild requested" if force else "missing baseline file(s)"
-        built = build()
-        return {name: stored(built[name], name, paths[name]) for name in LEVELS}, reason
+        return build(lambda name, df: stored(df, name, paths[name])), reason
     return {name: spark.read.parquet(path) for name, path in paths.items()}, "reusing existing baseline files"
 
 
@@ -213,13 +219,16 @@ def run_monthly_update(
     )
     station = load_stored_panel(spark, f"{base}/ridership_station")
 
-    def build() -> dict[str, DataFrame]:
+    def build(keep: Keep) -> dict[str, DataFrame]:
         every = [(y, m) for y in baseline_years for m in range(1, 13)]
         rows = in_month_list(baseline_fact if baseline_fact is not None else fact, every, spec)
-        return baselines(stored(monthly_wide(rows, spec), "baseline-sums"), dims, baseline_years, bad_periods)
+        return baselines(stored(monthly_wide(rows, spec), "baseline-sums"), dims, baseline_years, bad_periods, keep)
 
     base_tables, _ = baseline_or_reuse(spark, base, build, rebuild_baseline)
-    panel_tables = panels(station, dims)
+    panel_tables = {
+        name: df if name == STATION.name else stored(df, name, f"{base}/ridership_{name}")
+        for name, df in panels(station, dims).items()
+    }
     for name, level in LEVELS.items():
         for table, keys, label in (
             (panel_tables[name], level.panel_key, f"{name} ridership"),

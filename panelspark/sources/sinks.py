@@ -30,13 +30,12 @@ def write_panel(
 def land_months(df: DataFrame, path: str, time: str | None = None) -> None:
     """Write rows into year/month folders; only months present in ``df`` are replaced.
 
-    Rows are first spread over tasks by month and a slice of the row's hash, so a month that
-    holds most rows is written by many tasks and a small month by few.
+    Rows are rebalanced by month first: adaptive execution gives a month that holds most rows to
+    many writers and packs small months together, so files come out of about equal size.
     """
     dated = df if time is None else df.select("*", *year_month(time))
-    slices = F.pmod(F.xxhash64(F.spark_partition_id(), *[col(c) for c in df.columns]), F.lit(8))
     (
-        dated.repartition("year", "month", slices)
+        dated.hint("rebalance", F.col("year"), F.col("month"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
@@ -44,6 +43,14 @@ def land_months(df: DataFrame, path: str, time: str | None = None) -> None:
     )
 
 
+def is_stored(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether there is a table at the path; no row is read."""
+    try:
+        return bool(spark.read.format(fmt).load(path).columns)
+    except AnalysisException:
+        return False
+
+
 def stored_row_count(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
     """Rows now stored at the path, or None where there is nothing to read."""
     try:

@@ -196,7 +196,7 @@ def daily_sums(spark, d):
     return M.daily_sums(S.scoped(spark, d), S.FACT)
 
 
-PIVOT_SQL = f"""{S.FACT_SQL}, {S.GROUPS_SQL},
+CATEGORIES_SQL = PIVOT_SQL = f"""{S.FACT_SQL}, {S.GROUPS_SQL},
 pivoted AS (
   SELECT e, y, m, day_group, CAST(coalesce(sum(q) FILTER (WHERE cat = 'A'), 0) AS BIGINT) AS A,
          CAST(coalesce(sum(q) FILTER (WHERE cat = 'N'), 0) AS BIGINT) AS N,
