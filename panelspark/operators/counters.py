@@ -75,27 +75,33 @@ def with_previous(readings: DataFrame, spec: CounterSpec = CounterSpec()) -> Dat
 
     A plain window over the device would put a busy device's whole history in one task. Here the
     window runs within (device, chunk); only the first and last reading of each chunk then meet in
-    a second window over the device, to carry the previous reading over the chunk's edge. Both
-    branches read the same shuffle of the readings.
+    a second window over the device, to carry the previous reading over the chunk's edge.
+
+    Time, ties and counters travel once, as one struct that both windows order by and look back
+    on, so both branches need the same columns and share one scan and one shuffle of the readings.
     """
-    order = [col(c).asc() for c in spec.order]
-    payload = F.struct(col(spec.time).alias("time"), *[col(c).alias(c) for c in spec.counters])
-    inner = W.partitionBy(col(spec.device), col(spec.chunk)).orderBy(*order)
-    outer = W.partitionBy(col(spec.device)).orderBy(*order)
-    marked = readings.select(
+    packed = dict.fromkeys((spec.time, *spec.tie, *spec.counters))
+    names = {c: ("time" if c == spec.time else c) for c in packed}
+    rest = [c for c in readings.columns if c not in packed]
+    now = F.struct(*[col(c).alias(n) for c, n in names.items()])
+    rows = readings.select(*[col(c) for c in rest], now.alias("_now"))
+    inner = W.partitionBy(col(spec.device), col(spec.chunk)).orderBy("_now")
+    outer = W.partitionBy(col(spec.device)).orderBy("_now")
+    marked = rows.select(
         "*",
-        F.lag(payload).over(inner).alias("prev"),
+        F.lag("_now").over(inner).alias("prev"),
         F.lead(F.lit(1)).over(inner).isNull().alias("_last"),
     )
-    inside = marked.filter(F.col("prev").isNotNull()).drop("_last")
+    inside = marked.filter(F.col("prev").isNotNull())
     edges = marked.filter(F.col("prev").isNull() | F.col("_last"))
     firsts = (
-        edges.withColumn("_over", F.lag(payload).over(outer))
+        edges.withColumn("_over", F.lag("_now").over(outer))
         .filter(F.col("prev").isNull())
         .withColumn("prev", F.col("_over"))
-        .drop("_over", "_last")
+        .drop("_over")
     )
-    return inside.unionByName(firsts)
+    both = inside.unionByName(firsts)
+    return both.select(*[F.col("_now")[names[c]].alias(c) if c in packed else col(c) for c in readings.columns], "prev")
 
 
 def raw_deltas(readings: DataFrame, spec: CounterSpec = CounterSpec()) -> DataFrame:

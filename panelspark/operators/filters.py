@@ -130,7 +130,7 @@ def with_baseline_name(baseline: DataFrame, name: str = "baseline_ridership") ->
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first in ``order``: a map-side combined aggregate, not a sort."""
+    """One row per key, the first in ``order``; combined on the map side, so a key's rows never meet."""
     rest = [c for c in df.columns if c not in keys]
     picked = F.min_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order]))
     return df.groupBy(*[col(k) for k in keys]).agg(picked.alias("_row")).select(

@@ -28,7 +28,7 @@ def weekly_file_report(
     )
     week = F.regexp_extract("file", pattern, 1).try_cast("int")
     per_file = lines.groupBy("file").agg(
-        F.min_by(F.when(F.col("start") == 0, F.col("width")), F.struct("start", "at")).alias("header_width"),
+        F.min_by("width", F.when(F.col("start") == 0, F.col("at"))).alias("header_width"),
         F.max("width").alias("max_width"),
         F.count(F.lit(1)).alias("lines"),
     )

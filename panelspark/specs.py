@@ -44,7 +44,8 @@ class FactSpec:
 class CounterSpec:
     """Cumulative counter readings of many devices.
 
-    ``tie`` orders readings of one device that carry the same time; without it the counters do.
+    ``tie`` orders readings of one device that carry the same time. ``seq`` stands for the order in
+    which readings were read; it is added when readings are stored in chunks.
     ``chunk`` is any column that never falls as a device's readings advance. It splits a device's
     history over tasks, so that no device has to fit in one.
     """
@@ -52,7 +53,7 @@ class CounterSpec:
     device: str = "turnstile_id"
     time: str = "DATETIME"
     counters: tuple[str, ...] = ("ENTRIES", "EXITS")
-    tie: tuple[str, ...] = ()
+    tie: tuple[str, ...] = ("seq",)
     chunk: str = "chunk"
     entity: str = "Complex ID"
     name: str = "STATION"
@@ -60,4 +61,4 @@ class CounterSpec:
 
     @property
     def order(self) -> tuple[str, ...]:
-        return (self.time, *(self.tie or self.counters))
+        return (self.time, *self.tie)

@@ -65,7 +65,7 @@ def outlier_devices_removed(spark, d):
     f"WITH {S.READINGS_SQL}, {LAG_SQL.format(source='readings')} SELECT event_id, user_id, prev_time FROM lagged",
 )
 def previous_reading(spark, d):
-    df = K.with_previous(S.readings(spark, d), S.COUNTER)
+    df = K.with_previous(S.chunked(spark, d), S.COUNTER)
     return df.select("event_id", "user_id", F.col("prev.time").alias("prev_time"))
 
 
@@ -74,7 +74,7 @@ def previous_reading(spark, d):
     f"WITH {S.READINGS_SQL}, {LAG_SQL.format(source='readings')} SELECT event_id, dn AS entries_diff, dx AS exits_diff FROM lagged",
 )
 def counter_differences(spark, d):
-    df = K.raw_deltas(S.readings(spark, d), S.COUNTER)
+    df = K.raw_deltas(S.chunked(spark, d), S.COUNTER)
     return df.select("event_id", F.col("ENTRIES_DIFF").alias("entries_diff"), F.col("EXITS_DIFF").alias("exits_diff"))
 
 
@@ -83,7 +83,7 @@ def counter_differences(spark, d):
     f"WITH {READ_DELTA} SELECT event_id, user_id, cn AS entries, cx AS exits, d AS service_date FROM delta",
 )
 def clean_counter_deltas(spark, d):
-    df = K.counter_deltas(S.readings(spark, d), S.COUNTER)
+    df = K.counter_deltas(S.chunked(spark, d), S.COUNTER)
     return df.select(
         "event_id", "user_id", F.col("ENTRIES_DIFF").alias("entries"), F.col("EXITS_DIFF").alias("exits"), "service_date"
     )
@@ -95,19 +95,20 @@ def clean_counter_deltas(spark, d):
 SELECT event_id, user_id, cn AS entries, cx AS exits, d AS service_date FROM delta""",
 )
 def marked_counter_deltas(spark, d):
-    df = K.counter_deltas(P.at_reporting_marks(S.readings(spark, d)), S.COUNTER)
+    df = K.counter_deltas(P.at_reporting_marks(S.chunked(spark, d)), S.COUNTER)
     return df.select(
         "event_id", "user_id", F.col("ENTRIES_DIFF").alias("entries"), F.col("EXITS_DIFF").alias("exits"), "service_date"
     )
 
 
 @query(
-    "range_chunked_deltas",
+    "day_chunk_deltas",
     f"WITH {READ_DELTA} SELECT event_id, user_id, cn AS entries, cx AS exits, d AS service_date FROM delta",
 )
-def range_chunked_deltas(spark, d):
-    chunked = U.in_chunks(S.readings(spark, d).drop("chunk"), S.COUNTER)
-    df = K.counter_deltas(chunked, S.COUNTER)
+def day_chunk_deltas(spark, d):
+    """Without storing: the day as chunk, for devices that report at a bounded rate."""
+    by_day = S.readings(spark, d).withColumn("chunk", K.daily_chunk("ts"))
+    df = K.counter_deltas(by_day, S.COUNTER)
     return df.select(
         "event_id", "user_id", F.col("ENTRIES_DIFF").alias("entries"), F.col("EXITS_DIFF").alias("exits"), "service_date"
     )
@@ -118,7 +119,7 @@ def range_chunked_deltas(spark, d):
     f"WITH {READ_DELTA} SELECT count(*) FILTER (WHERE hour(prev_time) = 20 AND hour(ts) = 0) AS midnight_spans, count(*) AS deltas FROM delta",
 )
 def midnight_spans(spark, d):
-    return K.midnight_spans(K.counter_deltas(S.readings(spark, d), S.COUNTER), S.COUNTER)
+    return K.midnight_spans(K.counter_deltas(S.chunked(spark, d), S.COUNTER), S.COUNTER)
 
 
 @query(
@@ -127,7 +128,7 @@ def midnight_spans(spark, d):
 devices AS "TURNSTILE_COUNT", name AS "PRIMARY_STATION_NAME", lines AS "LINES" FROM daily JOIN top_name USING (e, d)""",
 )
 def daily_complex_sums(spark, d):
-    return K.daily_entity_sums(K.counter_deltas(S.readings(spark, d), S.COUNTER), S.COUNTER)
+    return K.daily_entity_sums(K.counter_deltas(S.chunked(spark, d), S.COUNTER), S.COUNTER)
 
 
 @query(
@@ -136,7 +137,7 @@ def daily_complex_sums(spark, d):
 CAST(year(d) AS INTEGER) AS "YEAR", CAST(month(d) AS INTEGER) AS "MONTH" FROM daily""",
 )
 def daily_calendar(spark, d):
-    daily = K.daily_entity_sums(K.counter_deltas(S.readings(spark, d), S.COUNTER), S.COUNTER)
+    daily = K.daily_entity_sums(K.counter_deltas(S.chunked(spark, d), S.COUNTER), S.COUNTER)
     return K.with_calendar(daily).select("Complex ID", "DATE", "DAY_OF_WEEK", "WEEKDAY", "YEAR", "MONTH")
 
 
@@ -146,7 +147,7 @@ def daily_calendar(spark, d):
 CAST(sum(entries) AS BIGINT) AS entries, CAST(sum(exits) AS BIGINT) AS exits FROM daily""",
 )
 def counter_profile(spark, d):
-    return K.counter_profile(K.daily_entity_sums(K.counter_deltas(S.readings(spark, d), S.COUNTER), S.COUNTER))
+    return K.counter_profile(K.daily_entity_sums(K.counter_deltas(S.chunked(spark, d), S.COUNTER), S.COUNTER))
 
 
 @query(
@@ -155,7 +156,7 @@ def counter_profile(spark, d):
 FROM daily JOIN top_name USING (e, d) GROUP BY e ORDER BY 2 DESC, 1 LIMIT 10""",
 )
 def top_complexes(spark, d):
-    daily = K.daily_entity_sums(K.counter_deltas(S.readings(spark, d), S.COUNTER), S.COUNTER)
+    daily = K.daily_entity_sums(K.counter_deltas(S.chunked(spark, d), S.COUNTER), S.COUNTER)
     return P.top_entities(daily, "Complex ID", "ENTRIES", "PRIMARY_STATION_NAME")
 
 
@@ -245,7 +246,7 @@ name AS "PRIMARY_STATION_NAME", lines AS "LINES", dayname(d) AS "DAY_OF_WEEK", i
 CAST(year(d) AS INTEGER) AS "YEAR", CAST(month(d) AS INTEGER) AS "MONTH" FROM daily JOIN top_name USING (e, d)""",
 )
 def counter_daily_table(spark, d):
-    chunked = U.in_chunks(S.readings(spark, d).drop("chunk"), S.COUNTER)
+    chunked = S.chunked(spark, d)
     return U.daily_table(chunked, S.COUNTER, FACTOR)
 
 

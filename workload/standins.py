@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.operators.filters import in_scope, in_scope_ids
+from panelspark.plans.counter_baseline import in_chunks
 from panelspark.sources.tables import special_years
 from panelspark.specs import CounterSpec, FactSpec
 
@@ -118,7 +119,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counter readings; the day is the chunk."""
+    """Counter readings."""
     entity = F.col("user_id") % 50
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -130,10 +131,14 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("L"), (F.col("event_id") % 3).cast("string")).alias("LINENAME"),
         F.when(entity != 7, entity).alias("Complex ID"),
         F.concat(F.date_format("ts", "HH:mm"), F.lit(":00")).alias("TIME"),
-        F.to_date("ts").alias("chunk"),
     )
 
 
+def chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter readings stored in even chunks that follow device and time."""
+    return in_chunks(readings(spark, sf_dir), COUNTER)
+
+
 # ---- SQL pieces the twins share ----
 
 FACT_SQL = """fact AS (
