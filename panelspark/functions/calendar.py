@@ -32,7 +32,7 @@ def month_start(year: str | Column, month: str | Column) -> Column:
 
 def period_label(year: str | Column, month: str | Column) -> Column:
     """The period as text, ``YYYY-MM-01``."""
-    return F.date_format(month_start(year, month), "yyyy-MM-dd")
+    return month_start(year, month).cast("string")
 
 
 def month_label(year: str | Column, month: str | Column) -> Column:

@@ -33,8 +33,15 @@ def in_scope(
 
 
 def in_month_list(fact: DataFrame, months: list[tuple[int, int]], spec: FactSpec = FactSpec()) -> DataFrame:
-    """Rows of the given (year, month) periods, as half-open ranges pushed to the scan."""
-    return fact.filter(in_months(spec.time, months))
+    """Rows of the given (year, month) periods: half-open ranges pushed to the scan, and folders skipped."""
+    rows = fact.filter(in_months(spec.time, months))
+    if spec.partitions is None or not months:
+        return rows
+    year, month = (col(c) for c in spec.partitions)
+    folders = F.lit(False)
+    for y in sorted({y for y, _ in months}):
+        folders = folders | ((year == y) & month.isin(*sorted({m for yy, m in months if yy == y})))
+    return rows.filter(folders)
 
 
 def in_years(df: DataFrame, year: str, first: int, last: int) -> DataFrame:
@@ -156,10 +163,14 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def top_entities(df: DataFrame, key: str, measure: str, label: str, n: int = 10) -> DataFrame:
-    """The n entities with the largest sum, each with its smallest label."""
+    """The n entities with the largest sum, each with its smallest label.
+
+    Summing per label first lets the wide pass hash; only its result needs the smallest text.
+    """
+    per_label = df.groupBy(col(key), col(label)).agg(whole_sum(col(measure)).alias(measure))
     return (
-        df.groupBy(col(key))
-        .agg(whole_sum(col(measure)).alias(measure), F.min(col(label)).alias(label))
+        per_label.groupBy(col(key))
+        .agg(F.sum(col(measure)).alias(measure), F.min(col(label)).alias(label))
         .orderBy(col(measure).desc(), col(key).asc())
         .limit(n)
     )

@@ -30,7 +30,11 @@ COUNTER_BASELINE_YEARS = (2015, 2016, 2017, 2018, 2019)
 
 @dataclass(frozen=True)
 class FactSpec:
-    """An append-only fact: when, who, which category, how many."""
+    """An append-only fact: when, who, which category, how many.
+
+    ``partitions`` names the year and month columns of a fact that is stored in such folders, so
+    that month filters skip folders.
+    """
 
     time: str = "transit_timestamp"
     entity: str = "station_complex_id"
@@ -38,6 +42,7 @@ class FactSpec:
     measure: str = "ridership"
     mode: str = "transit_mode"
     share_category: str = SHARE_CATEGORY
+    partitions: tuple[str, str] | None = None
 
 
 @dataclass(frozen=True)
