@@ -64,3 +64,8 @@ def enum_order(value: str | Column, order: Sequence[str] = DAY_GROUPS) -> Column
 
 def compact_json(nested: str | Column) -> Column:
     return F.to_json(col(nested))
+
+
+def without_json_spaces(text: str | Column) -> Column:
+    """JSON text without the white space between its tokens; quoted strings stay as they are."""
+    return F.regexp_replace(col(text), r'("(?:[^"\\]++|\\.)*+")|\s+', "$1")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.calendar import col
+from panelspark.functions.text import without_json_spaces
 from panelspark.schemas import HOURLY_RECORD_COLUMNS
 
 
@@ -26,11 +28,13 @@ def read_record_pages(
     paths: str | Sequence[str],
     columns: Sequence[str],
     time_field: str = "transit_timestamp",
+    nested: Sequence[str] = ("georeference",),
 ) -> DataFrame:
-    """All pages as one table of text columns; nested values become compact JSON text.
+    """All pages as one table of text columns; the ``nested`` ones become compact JSON text.
 
     Each page is one JSON array; records without the time field are skipped.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     pages = spark.read.schema(schema).option("multiLine", True).json(paths)
-    return pages.filter(col(time_field).isNotNull())
+    kept = pages.filter(col(time_field).isNotNull())
+    return kept.select(*[without_json_spaces(c).alias(c) if c in nested else F.col(f"`{c}`") for c in columns])

@@ -115,3 +115,8 @@ def test_distinct_days_are_counted_by_bits(spark):
     df = spark.sql("SELECT explode(sequence(timestamp_ntz'2024-01-01', timestamp_ntz'2024-01-31 23:00:00', interval 5 hours)) AS t")
     assert df.agg(F.bit_count(F.bit_or(D.day_bit("t")))).first()[0] == 31
     assert math.log2(one(spark, D.day_bit(F.lit("2024-01-31").cast("date")))[0]) == 30
+
+
+def test_json_spaces_go_but_not_within_strings(spark):
+    text = '{ "a b" : [1,\n 2],  "c": "x \\" y" }'
+    assert one(spark, T.without_json_spaces(F.lit(text))) == ('{"a b":[1,2],"c":"x \\" y"}',)
