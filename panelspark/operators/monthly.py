@@ -146,15 +146,13 @@ def pivot_categories(daily: DataFrame, categories: Sequence[str], share_category
 
     The categories are given, so no extra pass is needed to find them and the schema is stable.
     """
-    groups = F.explode(F.array(day_group("date"), F.lit("total")))
     sums = [
         whole_sum(F.when(F.col("payment_method") == c, F.col("ridership"))).alias(c) for c in categories
     ]
-    pivoted = (
-        daily.withColumn("day_group", groups)
-        .groupBy("station_complex_id", *year_month("date"), "day_group")
-        .agg(*sums)
-    )
+    observed = daily.groupBy(
+        "station_complex_id", *year_month("date"), day_group("date").alias("day_group")
+    ).agg(*sums)
+    pivoted = add_total(observed, categories)
     whole = sum((col(c) for c in categories), F.lit(0).cast("bigint"))
     part = col(share_category) if share_category in categories else F.lit(0)
     return pivoted.withColumn("ridership", whole).select(
@@ -211,15 +209,15 @@ def complete_months(wide: DataFrame) -> DataFrame:
     return completeness_of_masks(masks).filter("complete").select("year", "month")
 
 
-def of_complete_months(fact: DataFrame, time: str) -> DataFrame:
-    """Rows of complete months only.
+def of_complete_months(fact: DataFrame, time: str, months: DataFrame | None = None) -> DataFrame:
+    """Rows of complete months only, or of the given (year, month) periods.
 
     The complete months are at most a few hundred, so they travel as one array value and the fact
     is filtered where it lies.
     """
-    months = completeness(fact, time).filter("complete")
+    kept = completeness(fact, time).filter("complete") if months is None else months
     serial = F.year(col(time)) * 12 + F.month(col(time))
-    allowed = months.agg(F.collect_set(F.col("year") * 12 + F.col("month"))).scalar()
+    allowed = kept.agg(F.collect_set(F.col("year") * 12 + F.col("month"))).scalar()
     return fact.filter(F.array_contains(allowed, serial))
 
 

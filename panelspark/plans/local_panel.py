@@ -12,7 +12,7 @@ from panelspark.levels import CITY, DISTRICT, STATION
 from panelspark.operators.compare import compare_totals
 from panelspark.operators.filters import in_scope
 from panelspark.operators.grid import fill_grid, panel_grid
-from panelspark.operators.monthly import daily_sums, of_complete_months, pivot_categories
+from panelspark.operators.monthly import completeness, daily_sums, of_complete_months, pivot_categories
 from panelspark.operators.rollup import roll_up_categories
 from panelspark.specs import EXCLUDED_COMPLEXES, SUBWAY_MODES, FactSpec
 from panelspark.workspace import stored
@@ -35,10 +35,11 @@ def station_panel(
 ) -> DataFrame:
     """Complete months, one column per category, every entity in every period.
 
-    ``daily`` is read for its months, its periods and its sums, so it should be a stored table.
+    ``daily`` is read for its complete months and for its sums, so it should be a stored table.
     """
-    monthly = pivot_categories(of_complete_months(daily, "date"), categories, share_category)
-    grid = panel_grid(ids.select(col(ids.columns[0]).alias("station_complex_id")), monthly.select("year", "month"))
+    months = completeness(daily, "date").filter("complete").select("year", "month")
+    monthly = pivot_categories(of_complete_months(daily, "date", months), categories, share_category)
+    grid = panel_grid(ids.select(col(ids.columns[0]).alias("station_complex_id")), months)
     return fill_grid(grid, monthly, KEYS, [*categories, "ridership", "omny_pct"])
 
 

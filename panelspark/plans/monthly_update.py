@@ -31,7 +31,10 @@ Keep = Callable[[str, DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Dimensions:
-    """Small reference tables: in-scope ids, entity to district, names, special baseline years."""
+    """Reference tables: in-scope ids, entity to district, names, special baseline years.
+
+    A whole run keeps ids as text, as stored panels do, so ``complex_id`` is text here too.
+    """
 
     ids: DataFrame
     districts: DataFrame
@@ -108,6 +111,28 @@ def months_to_compute(
     return month_list(wanted if year is not None else missing_months(wanted, stored_panel))
 
 
+def routed_fact(
+    tables: dict[str, DataFrame], sources: DataFrame, months: list[tuple[int, int]], spec: FactSpec = FactSpec()
+) -> DataFrame:
+    """Rows of the months, each taken from the table its year is routed to.
+
+    ``sources`` is (year, source); it is configuration, one row per year. Months of a year without
+    a source are skipped. Every table is read for its own months only.
+    """
+    route = {r["year"]: r["source"] for r in sources.select("year", "source").collect()}
+    parts = []
+    for name, df in tables.items():
+        own = [(y, m) for y, m in months if route.get(y) == name]
+        if own:
+            parts.append(in_month_list(df, own, spec))
+    if not parts:
+        return next(iter(tables.values())).limit(0)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def fresh_wide(
     fact: DataFrame, months: list[tuple[int, int]], spec: FactSpec, entity=None
 ) -> tuple[DataFrame, DataFrame]:

@@ -27,6 +27,12 @@ def write_panel(
     writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path)
 
 
+def entity_path(path: str, entity: str) -> str:
+    """Where one entity's panel goes, apart from the full one: letters, digits, ``-`` and ``_`` are kept."""
+    safe = "".join(c for c in str(entity).strip() if c.isalnum() or c in "-_")
+    return f"{path.rstrip('/')}_{safe or 'station'}"
+
+
 def land_months(df: DataFrame, path: str, time: str | None = None) -> None:
     """Write rows into year/month folders; only months present in ``df`` are replaced.
 

@@ -58,8 +58,8 @@ def record_pages(spark, d):
         k.cast("string").alias("ridership"),
         F.struct(F.col("o_custkey").cast("string").alias("k")).alias("georeference"),
     )
-    # The key is unique, so a page has at most 5,000 records; each page is a file of its own.
-    page = F.floor(k / 5000).alias("page")
+    # Row ids are unique, so a page has at most 5,000 records; each page is a file of its own.
+    page = F.floor(F.monotonically_increasing_id() / 5000).alias("page")
     pages = S.table(spark, d, "orders").groupBy(page).agg(F.to_json(F.collect_list(record)).alias("value"))
     pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
     columns = ["transit_timestamp", "payment_method", "ridership", "georeference"]

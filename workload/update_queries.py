@@ -52,6 +52,19 @@ def year_routing(spark, d):
     return I.route_years(years, S.sources(spark, d))
 
 
+@query(
+    "routed_rows",
+    """SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate FROM lineitem WHERE year(l_shipdate) IN (SELECT year(o_orderdate) FROM orders)
+AND year(l_shipdate) BETWEEN 1997 AND 2000 AND (year(l_shipdate) >= 1998 OR l_linenumber <> 2)""",
+)
+def routed_rows(spark, d):
+    """Two source tables with overlapping rows: each year comes from the one it is routed to."""
+    df = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    months = [(y, m) for y in range(1997, 2001) for m in range(1, 13)]
+    tables = {"early": df.filter("l_linenumber <> 2"), "late": df}
+    return U.routed_fact(tables, S.sources(spark, d), months, S.FACT)
+
+
 def old_panel(spark, d):
     """A stored panel made from part of the fact: its numbers differ from the full fact's."""
     part = S.scoped(spark, d).filter("l_linenumber <= 3 and l_shipdate < timestamp_ntz'2000-01-01 00:00:00'")
