@@ -74,34 +74,33 @@ def with_previous(readings: DataFrame, spec: CounterSpec = CounterSpec()) -> Dat
     """Each reading with the previous reading of its device, as a struct column ``prev``.
 
     A plain window over the device would put a busy device's whole history in one task. Here the
-    window runs within (device, chunk); only the first and last reading of each chunk then meet in
-    a second window over the device, to carry the previous reading over the chunk's edge.
+    window runs within (device, chunk). What a chunk's first reading follows is the last reading
+    of the device's chunk before; those last readings are one row per (device, chunk), found by a
+    map-side combined aggregate, and join back on the partitioning the window already has.
 
-    Time, ties and counters travel once, as one struct that both windows order by and look back
-    on, so both branches need the same columns and share one scan and one shuffle of the readings.
+    Readings without a device have no history and are left out. Where the readings carry their
+    position as one number, that orders them; else time and tie do.
     """
-    packed = dict.fromkeys((spec.time, *spec.tie, *spec.counters))
-    names = {c: ("time" if c == spec.time else c) for c in packed}
-    rest = [c for c in readings.columns if c not in packed]
-    now = F.struct(*[col(c).alias(n) for c, n in names.items()])
-    rows = readings.select(*[col(c) for c in rest], now.alias("_now"))
-    inner = W.partitionBy(col(spec.device), col(spec.chunk)).orderBy("_now")
-    outer = W.partitionBy(col(spec.device)).orderBy("_now")
-    marked = rows.select(
-        "*",
-        F.lag("_now").over(inner).alias("prev"),
-        F.lead(F.lit(1)).over(inner).isNull().alias("_last"),
+    known = readings.filter(col(spec.device).isNotNull())
+    placed = spec.position in readings.columns
+    order = (spec.position,) if placed else spec.order
+    at = col(spec.position) if placed else F.struct(*[col(c) for c in order])
+    looked_at = {"time": spec.time, **{c: c for c in spec.counters}}
+    keys = [spec.device, spec.chunk]
+
+    within = W.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c).asc() for c in order])
+    now = F.struct(*[col(c).alias(n) for n, c in looked_at.items()])
+    rows = known.select("*", F.lag(now).over(within).alias("_before"))
+
+    last = known.groupBy(*[col(k) for k in keys]).agg(
+        *[F.max_by(col(c), at).alias(f"_{n}") for n, c in looked_at.items()]
     )
-    inside = marked.filter(F.col("prev").isNotNull())
-    edges = marked.filter(F.col("prev").isNull() | F.col("_last"))
-    firsts = (
-        edges.withColumn("_over", F.lag("_now").over(outer))
-        .filter(F.col("prev").isNull())
-        .withColumn("prev", F.col("_over"))
-        .drop("_over")
-    )
-    both = inside.unionByName(firsts)
-    return both.select(*[F.col("_now")[names[c]].alias(c) if c in packed else col(c) for c in readings.columns], "prev")
+    across = W.partitionBy(col(spec.device)).orderBy(col(spec.chunk).asc())
+    end = F.struct(*[col(f"_{n}").alias(n) for n in looked_at])
+    carried = last.select(*[col(k) for k in keys], F.lag(end).over(across).alias("_carried"))
+
+    joined = rows.join(carried.filter(F.col("_carried").isNotNull()), keys, "left")
+    return joined.select(*[col(c) for c in readings.columns], F.coalesce("_before", "_carried").alias("prev"))
 
 
 def raw_deltas(readings: DataFrame, spec: CounterSpec = CounterSpec()) -> DataFrame:

@@ -40,17 +40,19 @@ def in_chunks(
     """The readings stored in chunks of about equal size that follow (device, time, tie).
 
     Ranges are cut from a sample of the data, so a device with a third of all readings, a day with
-    a third of them, or a third of them being copies of one reading, spans many chunks. The chunk
-    number is written with the rows and does not change when tasks run again.
+    a third of them, or a third of them being copies of one reading, spans many chunks. Chunk and
+    position are written with the rows and do not change when tasks run again.
     """
     spark = readings.sparkSession
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if "seq" in spec.tie and "seq" not in readings.columns:
         readings = readings.withColumn("seq", F.monotonically_increasing_id())
-    ordered = readings.repartitionByRange(n, *[col(c) for c in (spec.device, *spec.order)])
-    return stored(
-        ordered.withColumn(spec.chunk, F.spark_partition_id()), "readings", path or new_path(spark, "readings")
+    order = [col(c) for c in (spec.device, *spec.order)]
+    ordered = readings.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    numbered = ordered.withColumn(spec.chunk, F.spark_partition_id()).withColumn(
+        spec.position, F.monotonically_increasing_id()
     )
+    return stored(numbered, "readings", path or new_path(spark, "readings"))
 
 
 def daily_table(

@@ -52,7 +52,8 @@ class CounterSpec:
     ``tie`` orders readings of one device that carry the same time. ``seq`` stands for the order in
     which readings were read; it is added when readings are stored in chunks.
     ``chunk`` is any column that never falls as a device's readings advance. It splits a device's
-    history over tasks, so that no device has to fit in one.
+    history over tasks, so that no device has to fit in one. ``position`` is the place of a reading
+    among all, as one number; stored chunks have both.
     """
 
     device: str = "turnstile_id"
@@ -60,6 +61,7 @@ class CounterSpec:
     counters: tuple[str, ...] = ("ENTRIES", "EXITS")
     tie: tuple[str, ...] = ("seq",)
     chunk: str = "chunk"
+    position: str = "pos"
     entity: str = "Complex ID"
     name: str = "STATION"
     line: str = "LINENAME"

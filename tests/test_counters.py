@@ -67,15 +67,26 @@ def test_copies_without_a_tie_are_ordered_by_input(spark):
     assert tuple(got) == (300, 4, 1)
 
 
-def test_one_scan_and_one_shuffle_of_the_readings(spark, tmp_path):
-    rows = [(i, f"d{i % 5}", START + timedelta(hours=i), i, i, i // 10) for i in range(100)]
-    path = str(tmp_path / "r")
-    spark.createDataFrame(rows, SCHEMA).write.parquet(path)
-    df = K.counter_deltas(spark.read.parquet(path), SPEC)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("FileScan parquet") == 1
-    assert "ReusedExchange" in plan
+def test_readings_are_shuffled_and_sorted_once(spark):
+    rows = [(i, f"d{i % 5}", START + timedelta(hours=i), i, i) for i in range(100)]
+    chunked = U.in_chunks(spark.createDataFrame(rows, SCHEMA.rsplit(",", 1)[0]), SPEC, chunks=4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = K.counter_deltas(chunked, SPEC)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    left = [ln for ln in plan.splitlines() if ln.lstrip().startswith(":")]
+    assert sum("Exchange" in ln for ln in left) == 1 and sum("Sort [" in ln for ln in left) == 1
+    assert "partial_max_by" in plan and "SortAggregate" not in plan
+    assert {i: v for i, v in spark_result(chunked).items()} == brute_force(rows)
+
+
+def test_readings_without_a_device_give_nothing(spark):
+    rows = [(i, None if i % 2 else "a", START + timedelta(hours=i), i, i, i // 4) for i in range(12)]
+    got = K.counter_deltas(spark.createDataFrame(rows, SCHEMA), SPEC).collect()
+    assert len(got) == 5 and {r["dev"] for r in got} == {"a"}
 
 
 def test_resets_spikes_and_missing_counters(spark):
