@@ -49,36 +49,37 @@ def baseline_means(
 
     The divisor is the number of configured years, so a year without data counts as zero. A
     special entity uses its own years; a month in which none of them is valid gives no row. With
-    ``emit_empty`` a special entity that has any data gets a zero row for each other month and
-    day group. ``special`` is (complex_id, years array) with one row per entity.
+    ``emit_empty`` a special entity that has any data gets a row for every month and day group,
+    zero where there is no data: zeros are added to the rows that are summed. ``special`` is
+    (complex_id, years array) with one row per entity. ``sums`` is read twice, so it should be a
+    stored table when it comes from a large fact.
     """
     groups = [c for c in sums.columns if c not in ("complex_id", "year", "month", *measures)]
     keys = ["complex_id", "month", *groups]
     usable = without_bad_periods(sums.filter(F.col("year").isin(*years)) if limit_special else sums, periods=bad_periods)
     marked = with_years(usable, special, years, bad_periods, limit_special)
-    means = (
-        marked.filter(F.array_contains("_valid", F.col("year")))
-        .groupBy(*[col(k) for k in keys])
-        .agg(
-            *[F.sum(col(m)).alias(m) for m in measures],
-            F.max(F.size("_valid")).alias("_n"),
+    kinds = dict(sums.dtypes)
+    rows = marked.filter(F.array_contains("_valid", F.col("year"))).select(
+        *[col(c) for c in [*keys, *measures]], F.size("_valid").alias("_n")
+    )
+    if emit_empty:
+        cells = (
+            marked.filter("is_special")
+            .select("complex_id", "_years")
+            .distinct()
+            .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+            .withColumn("_n", F.size(valid_years(F.col("_years"), F.col("month"), bad_periods)))
+            .filter("_n > 0")
         )
+        if groups:
+            cells = cells.withColumn("day_group", F.explode(F.array(F.lit("weekday"), F.lit("weekend"))))
+        zeros = [F.lit(0).cast(kinds[m]).alias(m) for m in measures]
+        rows = rows.unionByName(cells.select(*[col(k) for k in keys], *zeros, "_n"))
+    return (
+        rows.groupBy(*[col(k) for k in keys])
+        .agg(*[F.sum(col(m)).alias(m) for m in measures], F.max("_n").alias("_n"))
         .select(*[col(k) for k in keys], *[(col(m) / F.col("_n")).alias(m) for m in measures])
     )
-    if not emit_empty:
-        return means
-    cells = (
-        marked.filter("is_special")
-        .select("complex_id", "_years")
-        .distinct()
-        .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
-        .filter(F.size(valid_years(F.col("_years"), F.col("month"), bad_periods)) > 0)
-        .drop("_years")
-    )
-    if groups:
-        cells = cells.withColumn("day_group", F.explode(F.array(F.lit("weekday"), F.lit("weekend"))))
-    empty = cells.select(*keys).join(means.select(*keys), keys, "left_anti")
-    return means.unionByName(empty.select(*keys, *[F.lit(0.0).alias(m) for m in measures]))
 
 
 def station_baseline(

@@ -67,7 +67,8 @@ def daily_table(
     Order matters: devices with few readings go first, then readings off the reporting marks, and
     only then are differences taken, so a difference may span dropped readings.
     """
-    few = stored(low_count_devices(reading_counts(readings, spec), factor), "few-readings")
+    counts = stored(reading_counts(readings, spec), "reading-counts")
+    few = stored(low_count_devices(counts, factor), "few-readings")
     kept = without_devices(readings, few, spec)
     marked = at_reporting_marks(kept, clock, marks) if marks else at_reporting_marks(kept, clock)
     return with_calendar(daily_entity_sums(counter_deltas(marked, spec), spec))

@@ -9,6 +9,7 @@ from panelspark.operators import counters as K
 from panelspark.operators import filters as P
 from panelspark.operators import monthly as M
 from panelspark.plans import counter_baseline as U
+from panelspark.workspace import stored
 from workload import standins as S
 from workload.registry import query
 
@@ -47,7 +48,8 @@ def modal_reading_count(spark, d):
 
 
 def few(spark, d):
-    return K.low_count_devices(K.reading_counts(S.readings(spark, d), S.COUNTER), FACTOR)
+    counts = stored(K.reading_counts(S.readings(spark, d), S.COUNTER), "reading-counts")
+    return K.low_count_devices(counts, FACTOR)
 
 
 @query("low_count_devices", f"WITH {LOW_SQL} SELECT * FROM low")
@@ -57,7 +59,7 @@ def low_count_devices(spark, d):
 
 @query("outlier_devices_removed", f"WITH {LOW_SQL} SELECT event_id, user_id FROM readings WHERE user_id NOT IN (SELECT user_id FROM low)")
 def outlier_devices_removed(spark, d):
-    return K.without_devices(S.readings(spark, d), few(spark, d), S.COUNTER).select("event_id", "user_id")
+    return K.without_devices(S.readings(spark, d), stored(few(spark, d), "few-readings"), S.COUNTER).select("event_id", "user_id")
 
 
 @query(
@@ -206,7 +208,7 @@ def monthly_counts(spark, d):
         F.col("l_quantity").cast("bigint").alias("ENTRIES"),
         F.lit(1).cast("bigint").alias("EXITS"),
     )
-    return M.entity_month_totals(daily, "Complex ID", "DATE", ["ENTRIES", "EXITS"])
+    return stored(M.entity_month_totals(daily, "Complex ID", "DATE", ["ENTRIES", "EXITS"]), "monthly-counts")
 
 
 @query("counter_baseline_means", f"WITH {LOCAL_SQL} SELECT e AS complex_id, m AS month, CAST(n AS DOUBLE) AS entries, CAST(x AS DOUBLE) AS exits FROM means")

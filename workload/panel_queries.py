@@ -414,7 +414,7 @@ def city_exact_rollup(spark, d):
 
 def baseline_sums(spark, d):
     months = [(y, m) for y in S.YEARS for m in range(1, 13)]
-    return M.day_group_sums(P.in_month_list(S.scoped(spark, d), months, S.FACT), S.FACT)
+    return stored(M.day_group_sums(P.in_month_list(S.scoped(spark, d), months, S.FACT), S.FACT), "baseline-sums")
 
 
 @query(
