@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.calendar import col
 
-# A dimension of at most this many rows is sent to every executor; a larger one is not.
+# A dimension of at most this many rows and bytes is sent to every executor; a larger one is not.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; no more than that many are counted."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the table is within both bounds; no more than ``max_rows`` + 1 rows are looked at.
+
+    Bytes are those of the rows as JSON text, which long names and polygons cannot hide from.
+    """
+    size = F.octet_length(F.to_json(F.struct(*[col(c) for c in df.columns])))
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return seen["n"] <= max_rows and seen["bytes"] <= max_bytes
 
 
 def lookup(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -34,17 +35,25 @@ def staged_readings(readings: DataFrame, mapping: DataFrame) -> DataFrame:
     return with_reading_time(drop_present(map_to_entity(kept, mapping)))
 
 
+# Readings per chunk beyond which there are more chunks than shuffle partitions.
+ROWS_PER_CHUNK = 20_000_000
+
+
 def in_chunks(
     readings: DataFrame, spec: CounterSpec = CounterSpec(), path: str | None = None, chunks: int | None = None
 ) -> DataFrame:
     """The readings stored in chunks of about equal size that follow (device, time, tie).
 
+    There are as many chunks as shuffle partitions, or more where chunks would grow too large.
+
     Ranges are cut from a sample of the data, so a device with a third of all readings, a day with
     a third of them, or a third of them being copies of one reading, spans many chunks. Chunk and
     position are written with the rows and do not change when tasks run again.
     """
     spark = readings.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = chunks or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(readings.count() / ROWS_PER_CHUNK)
+    )
     if "seq" in spec.tie and "seq" not in readings.columns:
         readings = readings.withColumn("seq", F.monotonically_increasing_id())
     order = [col(c) for c in (spec.device, *spec.order)]

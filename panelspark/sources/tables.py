@@ -24,9 +24,13 @@ def require_columns(df: DataFrame, required: Sequence[str], label: str) -> DataF
 
 
 def read_text_columns(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """CSV with a header, every column as text; names come from the header, types from no data."""
+    """CSV with a header, every column as text; names come from the header, types from no data.
+
+    A file whose header differs from the first one's fails the query rather than being misread.
+    """
     where = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.option("header", True).option("escape", '"').option("inferSchema", False).csv(where)
+    reader = spark.read.option("header", True).option("escape", '"').option("inferSchema", False)
+    return reader.option("enforceSchema", False).csv(where)
 
 
 def load_required(

@@ -40,6 +40,8 @@ def test_large_dimension_is_not_broadcast_by_hint_and_hot_key_is_salted(spark):
 
 def test_size_check(spark):
     assert J.is_small(spark.range(5), 5) and not J.is_small(spark.range(6), 5)
+    long_texts = spark.range(3).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert not J.is_small(long_texts, 5, 2000) and J.is_small(long_texts, 5, 4000)
 
 
 def test_uniqueness_and_enum_checks(spark):

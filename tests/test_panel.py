@@ -241,3 +241,43 @@ def test_stored_station_table_is_updated_in_place(spark, tmp_path):
     assert totals() == {1: 5310.0, 2: 203.0}
     U.update_station_table(fact(spark, jan), path, **args, full_refresh=True)
     assert totals() == {1: 310.0}
+
+
+def test_whole_run_statuses_baselines_and_outputs(spark, tmp_path):
+    """Created, then unchanged, then a targeted refresh; the baseline is built once and rebuilt on demand."""
+    root = str(tmp_path)
+    texts = "complex_id string, station_name string"
+    dims = U.Dimensions(
+        spark.createDataFrame([("1",), ("2",)], "complex_id string"),
+        spark.createDataFrame([("1", "4108"), ("2", "4109")], "complex_id string, puma string"),
+        spark.createDataFrame([("1", "A St")], texts),
+        spark.createDataFrame([("4108", "North")], "puma string, puma_name string"),
+        special(spark, [("2", [2019])]),
+    )
+    old = [r for y in (2017, 2018, 2019) for r in month_rows(y, 1, 31, "1", n=y - 2016) + month_rows(y, 1, 31, "2", n=5)]
+    new = month_rows(2024, 1, 31, "1", n=7) + month_rows(2024, 1, 31, "2", "cash", n=10)
+    args = dict(dims=dims, sources=sources(spark, 2024), root=root, as_of=date(2024, 2, 5), baseline_fact=fact(spark, old))
+    assert set(U.run_monthly_update(fact(spark, new), **args).values()) == {"Created new output file."}
+
+    def final(name):
+        spark.catalog.refreshByPath(f"{root}/final_{name}")
+        rows = spark.read.parquet(f"{root}/final_{name}").filter("day_group = 'total'").collect()
+        return [r.asDict() for r in rows]
+
+    one_, two = sorted(final("station"), key=lambda r: r["complex_id"])
+    # Station 1: January 2017 does not count, so (2 + 3) * 31 / 2; station 2: 2019 only.
+    assert (one_["baseline"], one_["baseline_comparison"], one_["omny_pct"], one_["station_name"]) == (77.5, 2.8, 100.0, "A St")
+    assert (two["baseline"], two["baseline_comparison"], two["station_name"]) == (155.0, 2.0, None)
+    (city,) = final("nyc")
+    assert (city["ridership"], city["baseline"], city["omny_pct"]) == (527.0, 232.5, 41.18)
+    assert {r["puma"]: r["puma_name"] for r in final("puma")} == {"4108": "North", "4109": None}
+
+    assert set(U.run_monthly_update(fact(spark, new), **args).values()) == {"Up to date (row count unchanged)."}
+    args["baseline_fact"] = fact(spark, [r for r in old if r[2] == "1"])
+    more = new + [("2024-01-09 10:00:00", "subway", "1", "cash", 1000)]
+    U.run_monthly_update(fact(spark, more), **args, year=2024)
+    (city,) = final("nyc")
+    assert (city["ridership"], city["baseline"]) == (1527.0, 232.5)
+    U.run_monthly_update(fact(spark, more), **args, rebuild_baseline=True)
+    (city,) = final("nyc")
+    assert (city["ridership"], city["baseline"]) == (1527.0, 77.5)

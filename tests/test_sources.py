@@ -93,6 +93,13 @@ def test_combined_files_know_their_number(spark, tmp_path):
     assert [(r["a"], r["file_number"]) for r in got] == [("2", 2), ("10", 10)]
 
 
+def test_files_with_another_header_are_not_misread(spark, tmp_path):
+    write(tmp_path / "f" / "1.csv", "a,b\n1,2\n")
+    write(tmp_path / "f" / "2.csv", "b,a\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        L.combine_files(spark, str(tmp_path / "f")).collect()
+
+
 def test_stored_panel_absent_broken_or_odd(spark, tmp_path):
     assert L.load_stored_panel(spark, str(tmp_path / "none")).count() == 0
     assert L.load_stored_panel(spark, write(tmp_path / "x.csv", "a,b\n1,2\n"), fmt="csv").schema == STATION_PANEL
