@@ -16,12 +16,12 @@ SALTS = 32
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the table is within both bounds; no more than ``max_rows`` + 1 rows are looked at.
+    """Whether the table is within both bounds: one aggregate over it, combined on the map side.
 
     Bytes are those of the rows as JSON text, which long names and polygons cannot hide from.
     """
     size = F.octet_length(F.to_json(F.struct(*[col(c) for c in df.columns])))
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
     return seen["n"] <= max_rows and seen["bytes"] <= max_bytes
 
 
@@ -36,10 +36,11 @@ def lookup(
 ) -> DataFrame:
     """Join a large table with a dimension on columns both have, without moving a hot key to one task.
 
-    The dimension's size is checked first. A small one is broadcast, so the fact does not move at
-    all. A larger one is repeated once per salt and the fact's rows are spread over the salts, so
-    the rows of one key land in ``salts`` tasks. Rows and order of columns are the same either way.
-    ``condition`` is an extra predicate; its columns must be named differently in the two tables.
+    The dimension's size is checked first; one that is costly to compute should be a stored table.
+    A small one is broadcast, so the fact does not move at all. A larger one is repeated once per
+    salt and the fact's rows are spread over the salts, so the rows of one key land in ``salts``
+    tasks. Rows and order of columns are the same either way. ``condition`` is an extra predicate;
+    its columns must be named differently in the two tables.
     """
     if is_small(dim, max_rows):
         right, left, on = F.broadcast(dim), fact, list(keys)

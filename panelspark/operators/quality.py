@@ -105,7 +105,8 @@ def duplicate_groups(
     if wide:
         keys = [row_digest(names).alias("digest")]
     else:
-        keys = [F.coalesce(col(c).cast("string"), F.lit("")).alias(c) for c in names]
+        texts = {c for c, kind in df.dtypes if kind == "string"}
+        keys = [F.coalesce(col(c), F.lit("")).alias(c) if c in texts else col(c) for c in names]
     seen = [F.min(col(order)).alias("first_seen")] if order else []
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), *seen)
 

@@ -14,8 +14,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if named:
         return named
     made = tempfile.mkdtemp(prefix="panelspark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    spark.sparkContext.setCheckpointDir(made)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:

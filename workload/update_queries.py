@@ -15,6 +15,7 @@ from panelspark.plans import local_panel as L
 from panelspark.plans import monthly_update as U
 from panelspark.sources import sinks as W
 from panelspark.sources.tables import load_stored_panel
+from panelspark.streaming.refresh import start_refresh
 from panelspark.workspace import new_path, stored
 from workload import standins as S
 from workload.panel_queries import CATEGORIES_SQL, STATION_FINAL, panel_of, wide_of
@@ -199,6 +200,29 @@ SUMS = "CAST(sum(A) AS BIGINT) AS A, CAST(sum(N) AS BIGINT) AS N, CAST(sum(R) AS
 EXACT_PCT = S.even("CAST(R AS DOUBLE) / nullif(CAST(A + N + R AS DOUBLE), 0) * 100.0", 2)
 
 
+@query(
+    "streamed_refresh",
+    f"WITH {S.PANEL_SQL} SELECT * FROM panel",
+)
+def streamed_refresh(spark, d):
+    """The fact lands as files; a stream works through them and refreshes the months they touch."""
+    landing, panel = new_path(spark, "landing"), new_path(spark, "streamed-panel")
+    fact = S.scoped(spark, d)
+    fact.write.parquet(landing)
+    stream = start_refresh(
+        spark,
+        landing,
+        fact.schema,
+        lambda: spark.read.schema(fact.schema).parquet(landing),
+        S.station_ids(spark, d),
+        panel,
+        new_path(spark, "stream-marks"),
+        S.FACT,
+    )
+    stream.awaitTermination()
+    return spark.read.parquet(panel)
+
+
 def local_of(spark, d):
     mapping = S.districts(spark, d).withColumnRenamed("complex_id", "station_complex_id")
     return L.local_panels(
