@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.calendar import col
+from panelspark.workspace import stored
 
 # A dimension of at most this many rows and bytes is sent to every executor; a larger one is not.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+# A key with more than one part in this many of a fact's rows is split.
+HOT_PARTS = 10_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -25,6 +27,42 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return seen["n"] <= max_rows and seen["bytes"] <= max_bytes
 
 
+def hot_keys(fact: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS) -> DataFrame:
+    """Keys with more than 1/``parts`` of the fact's rows, and into how many pieces to split each.
+
+    There are fewer than ``parts`` such keys, and fewer than twice ``parts`` pieces, whatever the data.
+    """
+    counts = fact.dropna(subset=list(keys)).groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    fair = counts.agg(F.greatest(F.ceil(F.sum("_n") / parts), F.lit(1))).scalar()
+    return counts.filter(F.col("_n") > fair).select(*[col(k) for k in keys], F.ceil(F.col("_n") / fair).alias("_pieces"))
+
+
+def salted(
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt`` column to join on as well: a hot key's rows get one of its pieces.
+
+    The dimension repeats a hot key's rows once per piece and no others. Rows without a key match
+    nothing, so they are spread over all salts. The salt follows from the row and its input
+    partition, so a task that runs again gives the same; equal rows of one partition stay together,
+    no more than that partition already held.
+    """
+    hot = F.broadcast(stored(hot_keys(fact, keys, parts), "hot-keys"))
+    spread = F.xxhash64(F.spark_partition_id(), *[col(c) for c in fact.columns])
+    lacking = F.lit(False)
+    for k in keys:
+        lacking = lacking | col(k).isNull()
+    salt = (
+        F.when(lacking, F.pmod(spread, F.lit(parts)))
+        .when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces")))
+        .otherwise(F.lit(0))
+    )
+    left = fact.join(hot, list(keys), "left").select(*[col(c) for c in fact.columns], salt.alias("_salt"))
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
+    right = dim.join(hot, list(keys), "left").select(*[col(c) for c in dim.columns], F.explode(pieces).alias("_salt"))
+    return left, right
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -32,22 +70,20 @@ def lookup(
     how: str = "left",
     condition: Column | None = None,
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Join a large table with a dimension on columns both have, without moving a hot key to one task.
 
     The dimension's size is checked first; one that is costly to compute should be a stored table.
-    A small one is broadcast, so the fact does not move at all. A larger one is repeated once per
-    salt and the fact's rows are spread over the salts, so the rows of one key land in ``salts``
-    tasks. Rows and order of columns are the same either way. ``condition`` is an extra predicate;
-    its columns must be named differently in the two tables.
+    A small one is broadcast, so the fact does not move at all. With a larger one, keys that hold
+    too many of the fact's rows are found and split over many tasks. Rows and order of columns are
+    the same either way. ``condition`` is an extra predicate; its columns must be named
+    differently in the two tables.
     """
     if is_small(dim, max_rows):
         right, left, on = F.broadcast(dim), fact, list(keys)
     else:
-        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[col(c) for c in fact.columns]), F.lit(salts))
-        left = fact.withColumn("_salt", salt.cast("int"))
-        right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        left, right = salted(fact, dim, keys, parts)
         on = [*keys, "_salt"]
     extra = [c for c in dim.columns if c not in keys] if how not in ("left_semi", "left_anti") else []
     if condition is None:

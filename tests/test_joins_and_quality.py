@@ -24,18 +24,26 @@ def test_large_dimension_path_gives_the_same_rows(spark, how):
     fact = fact.union(fact.filter("k = 7")).union(spark.createDataFrame([(None, 1)], "k bigint, v bigint"))
     dim = spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
     small = J.lookup(fact, dim, ["k"], how)
-    large = J.lookup(fact, dim, ["k"], how, max_rows=5, salts=8)
+    large = J.lookup(fact, dim, ["k"], how, max_rows=5, parts=40)
     assert small.columns == large.columns
     assert rows(small) == rows(large)
 
 
-def test_large_dimension_is_not_broadcast_by_hint_and_hot_key_is_salted(spark):
-    fact = spark.range(0, 4000, 1, 8).select(F.lit(7).cast("bigint").alias("k"), "id")
-    dim = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("name"))
-    df = J.lookup(fact, dim, ["k"], max_rows=5, salts=16)
-    assert "_salt" in df._jdf.queryExecution().optimizedPlan().toString()
-    assert "rightHint" not in df._jdf.queryExecution().analyzed().toString()
-    assert df.filter("name is null").count() == 0
+def test_hot_keys_are_split_and_only_their_rows_repeated(spark):
+    """A third of the rows have one key, a third have none, and the hot ones are copies of one row."""
+    k = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 1000)
+    fact = spark.range(0, 30000, 1, 16).select(k.alias("k"), F.lit("same").alias("v"))
+    dim = spark.range(2000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    left, right = J.salted(fact, dim, ["k"], parts=100)
+    assert left.count() == 30000
+    groups = [r["count"] for r in left.groupBy("k", "_salt").count().collect()]
+    # Copies in one input partition stay together: no more than that partition already held.
+    assert max(groups) <= 3 * 30000 / 16
+    assert J.hot_keys(fact, ["k"], 100).count() == 1
+    assert right.count() == 2000 + 51 - 1
+    joined = J.lookup(fact, dim, ["k"], max_rows=5, parts=100)
+    assert joined.filter("name is not null").count() == 20000
+    assert "rightHint" not in joined._jdf.queryExecution().analyzed().toString().splitlines()[1]
 
 
 def test_size_check(spark):
