@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.calendar import col
 from panelspark.functions.text import full_name, year_list_is_valid
 from panelspark.operators.filters import set_difference
+from panelspark.operators.joins import lookup
 from panelspark.specs import DAY_GROUPS
 
 
@@ -158,36 +159,28 @@ def require_special_cases(config: DataFrame) -> None:
 def repeated_ids(config: DataFrame, key: str = "complex_id") -> DataFrame:
     """Config rows whose id occurs more than once, with how often."""
     many = duplicate_keys(config, [key]).withColumnRenamed("rows", "entries")
-    return config.join(many, key, "inner")
+    return lookup(config, many, [key], "inner")
 
 
-def config_discrepancies(
-    config: DataFrame,
-    official: DataFrame,
-    stop: str = "Stop Name",
-    display: str = "Display Name",
-    key: str = "complex_id",
+def official_names(
+    official: DataFrame, stop: str = "Stop Name", display: str = "Display Name", key: str = "complex_id"
 ) -> DataFrame:
-    """Config rows whose id is unknown, or whose name is none of the id's official names."""
-    names = (
-        official.select(col(key), full_name(stop, display, "").alias("official"))
-        .groupBy(col(key))
-        .agg(F.array_sort(F.collect_set("official")).alias("official_names"))
-    )
-    unknown = F.col("official_names").isNull()
-    mismatch = ~F.coalesce(F.array_contains("official_names", F.col("station_name")), F.lit(False))
-    issue = F.when(unknown, "Complex ID not found in official file").when(mismatch, "Station name mismatch")
-    return (
-        config.join(names, key, "left")
-        .select(
-            "line",
-            col(key),
-            "station_name",
-            issue.alias("issue"),
-            F.array_join("official_names", " | ").alias("official_names"),
-        )
-        .filter(F.col("issue").isNotNull())
-    )
+    """The distinct (id, full name) pairs of the official table."""
+    return official.select(col(key), full_name(stop, display, "").alias("station_name")).distinct()
+
+
+def config_discrepancies(config: DataFrame, names: DataFrame, key: str = "complex_id") -> DataFrame:
+    """Config rows whose id is unknown, or whose name is none of the id's official ``names``."""
+    ids = names.select(col(key)).distinct().withColumn("_known", F.lit(True))
+    wrong = lookup(config.select("line", col(key), "station_name"), names, [key, "station_name"], "left_anti")
+    issue = F.when(F.col("_known").isNull(), "Complex ID not found in official file").otherwise("Station name mismatch")
+    return lookup(wrong, ids, [key]).withColumn("issue", issue).drop("_known")
+
+
+def expected_names(discrepancies: DataFrame, names: DataFrame, key: str = "complex_id") -> DataFrame:
+    """The official names of ids with a wrong name, one row each, for the report."""
+    wrong = discrepancies.select(col(key)).distinct()
+    return lookup(names, wrong, [key], "left_semi").withColumnRenamed("station_name", "official_name")
 
 
 def profile(df: DataFrame, distinct: Sequence[str], time: str) -> DataFrame:

@@ -78,6 +78,17 @@ def test_config_checks_raise_with_the_row(spark):
         Q.require_special_cases(config.drop("baseline_years"))
 
 
+def test_config_names_may_equal_any_official_name(spark):
+    official = spark.createDataFrame([(1, "A", " (1)"), (1, "B", " (2)"), (2, "C", None)], "complex_id int, `Stop Name` string, `Display Name` string")
+    config = spark.createDataFrame([(2, 1, "B (2)"), (3, 1, "Z"), (4, 9, "A (1)"), (5, 1, None)], "line int, complex_id int, station_name string")
+    names = Q.official_names(official)
+    found = Q.config_discrepancies(config, names)
+    assert {r["line"]: r["issue"] for r in found.collect()} == {
+        3: "Station name mismatch", 4: "Complex ID not found in official file", 5: "Station name mismatch"
+    }
+    assert rows(Q.expected_names(found, names)) == [(1, "A (1)"), (1, "B (2)")]
+
+
 @pytest.mark.parametrize("wide", [False, True])
 def test_exact_duplicates_count_missing_as_empty(spark, wide):
     data = [(1, "a", None), (2, "a", ""), (3, "a", "x"), (4, "ab", "c"), (5, "a", "bc"), (6, "a", None)]

@@ -142,14 +142,12 @@ def repeated_config_ids(spark, d):
     return Q.repeated_ids(config)
 
 
-@query(
-    "config_discrepancies",
-    """WITH c AS (SELECT c_custkey + 2 AS line, c_custkey AS complex_id, CASE WHEN c_custkey % 3 = 0 THEN 'Other' ELSE 'Supplier#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '/' || s_nationkey END AS station_name, s_suppkey, s_name, s_nationkey
-  FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey)
-SELECT line, complex_id, station_name, CASE WHEN s_suppkey IS NULL THEN 'Complex ID not found in official file' ELSE 'Station name mismatch' END AS issue,
-  s_name || '/' || s_nationkey AS official_names FROM c WHERE s_suppkey IS NULL OR complex_id % 3 = 0""",
-)
-def config_discrepancies(spark, d):
+CONFIG_SQL = """c AS (SELECT c_custkey + 2 AS line, c_custkey AS complex_id, CASE WHEN c_custkey % 3 = 0 THEN 'Other'
+  ELSE 'Supplier#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '/' || s_nationkey END AS station_name, s_suppkey, s_name, s_nationkey
+  FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey)"""
+
+
+def config_and_names(spark, d):
     official = S.table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("complex_id"),
         F.col("s_name").alias("Stop Name"),
@@ -162,7 +160,26 @@ def config_discrepancies(spark, d):
         .join(S.table(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), "s_nationkey"), "c_custkey", "left")
         .select((k + 2).alias("line"), k.alias("complex_id"), F.when(k % 3 == 0, "Other").otherwise(own).alias("station_name"))
     )
-    return Q.config_discrepancies(config, official)
+    return config, Q.official_names(official)
+
+
+@query(
+    "config_discrepancies",
+    f"""WITH {CONFIG_SQL} SELECT line, complex_id, station_name,
+CASE WHEN s_suppkey IS NULL THEN 'Complex ID not found in official file' ELSE 'Station name mismatch' END AS issue
+FROM c WHERE s_suppkey IS NULL OR complex_id % 3 = 0""",
+)
+def config_discrepancies(spark, d):
+    return Q.config_discrepancies(*config_and_names(spark, d))
+
+
+@query(
+    "config_expected_names",
+    f"WITH {CONFIG_SQL} SELECT complex_id, s_name || '/' || s_nationkey AS official_name FROM c WHERE s_suppkey IS NOT NULL AND complex_id % 3 = 0",
+)
+def config_expected_names(spark, d):
+    config, names = config_and_names(spark, d)
+    return Q.expected_names(Q.config_discrepancies(config, names), names)
 
 
 @query(
