@@ -89,8 +89,10 @@ def locate(
         .withColumns(low_high)
         .withColumn("_cx", F.explode(F.sequence(index(F.col("_x0")), index(F.col("_x1")))))
         .withColumn("_cy", F.explode(F.sequence(index(F.col("_y0")), index(F.col("_y1")))))
-        .select(col(polygon_id), "_sides", "_cx", "_cy")
+        .select(col(polygon_id), "_sides", *low_high, "_cx", "_cy")
     )
     placed = points.withColumn("_cx", index(col(x).cast("double"))).withColumn("_cy", index(col(y).cast("double")))
-    inside = strictly_within(col(x).cast("double"), col(y).cast("double"), e)
-    return lookup(placed, shapes, ["_cx", "_cy"], "left", inside).drop("_cx", "_cy", "_sides")
+    px, py = col(x).cast("double"), col(y).cast("double")
+    in_box = (px > F.col("_x0")) & (px < F.col("_x1")) & (py > F.col("_y0")) & (py < F.col("_y1"))
+    inside = in_box & strictly_within(px, py, e)
+    return lookup(placed, shapes, ["_cx", "_cy"], "left", inside).drop("_cx", "_cy", "_sides", *low_high)
