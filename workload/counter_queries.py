@@ -165,11 +165,11 @@ def top_complexes(spark, d):
 @query(
     "reading_complex_mapping",
     """SELECT event_id, user_id, s_nationkey AS complex_id FROM events
-LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 4 <> 1) ON s_suppkey = user_id""",
+LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 1000) ON s_suppkey = user_id""",
 )
 def reading_complex_mapping(spark, d):
     readings = S.table(spark, d, "events").select("event_id", "user_id")
-    mapping = S.table(spark, d, "supplier").filter("s_suppkey % 4 <> 1").select(
+    mapping = S.table(spark, d, "supplier").filter("s_acctbal > 1000").select(
         F.col("s_suppkey").alias("user_id"), F.col("s_nationkey").alias("complex_id")
     )
     return K.map_to_entity(readings, mapping, "user_id", "complex_id")
@@ -184,9 +184,9 @@ def unique_station_names(spark, d):
 # Counter baselines: customers stand in for complexes and order totals for daily counts.
 
 LOCAL_SQL = """special AS (
-  SELECT s_suppkey AS e, CASE s_suppkey % 10 WHEN 3 THEN [1995, 1996, 1997] WHEN 4 THEN [1995, 1996] WHEN 5 THEN [1993, 1994]
-         WHEN 6 THEN [1998] END AS years
-  FROM supplier WHERE s_suppkey % 10 IN (3, 4, 5, 6)),
+  SELECT s_suppkey AS e, CASE WHEN s_nationkey IN (3, 13) THEN [1995, 1996, 1997] WHEN s_nationkey IN (4, 14) THEN [1995, 1996]
+         WHEN s_nationkey IN (5, 15) THEN [1993, 1994] ELSE [1998] END AS years
+  FROM supplier WHERE s_nationkey IN (3, 4, 5, 6, 13, 14, 15, 16)),
 sums AS (SELECT l_suppkey AS e, year(l_shipdate) AS y, CAST(month(l_shipdate) AS INTEGER) AS m, sum(CAST(l_quantity AS BIGINT)) AS n, count(*) AS x
          FROM lineitem GROUP BY ALL),
 means AS (

@@ -130,9 +130,10 @@ def clip_and_fill(spark, d):
 @query(
     "baseline_year_lists",
     """SELECT s_suppkey AS complex_id, CAST(m AS INTEGER) AS month,
-len(list_filter(CASE s_suppkey % 10 WHEN 3 THEN [1996, 1997] WHEN 4 THEN [1996] WHEN 5 THEN CAST([] AS INTEGER[]) ELSE [1998] END,
+len(list_filter(CASE WHEN s_nationkey IN (3, 13) THEN [1996, 1997] WHEN s_nationkey IN (4, 14) THEN [1996] WHEN s_nationkey IN (5, 15) THEN CAST([] AS INTEGER[])
+  ELSE [1998] END,
   lambda y: NOT (y = 1996 AND m = 1))) AS years
-FROM supplier CROSS JOIN range(1, 13) r(m) WHERE s_suppkey % 10 IN (3, 4, 5, 6)""",
+FROM supplier CROSS JOIN range(1, 13) r(m) WHERE s_nationkey IN (3, 4, 5, 6, 13, 14, 15, 16)""",
 )
 def baseline_year_lists(spark, d):
     own = F.array_intersect(T.year_list("baseline_years"), T.int_array(S.YEARS))

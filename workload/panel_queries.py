@@ -49,11 +49,11 @@ def single_entity(spark, d):
 
 @query(
     "station_lists",
-    "SELECT event_id, event_type FROM events WHERE event_type <> 'error' AND user_id % 4 IN (0, 1, 2)",
+    "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderstatus IN ('F', 'O')",
 )
 def station_lists(spark, d):
-    df = S.table(spark, d, "events").withColumn("division", F.col("user_id") % 4)
-    return P.by_station_lists(df, "event_type", "division", ("error",), (0, 1, 2)).select("event_id", "event_type")
+    kept = P.by_station_lists(S.table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ("5-LOW",), ("F", "O"))
+    return kept.select("o_orderkey", "o_orderpriority")
 
 
 @query(
@@ -219,7 +219,7 @@ def category_pivot(spark, d):
     """WITH t AS (SELECT o_custkey AS complex_id, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
   CAST(sum(CAST(round(o_totalprice) AS BIGINT)) AS BIGINT) AS entries, count(*) AS exits FROM orders GROUP BY ALL)
 SELECT t.complex_id, c_name || ' ' || c_mktsegment AS station_name, year, month, entries, exits
-FROM t LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) ON c_custkey = complex_id""",
+FROM t LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = complex_id""",
 )
 def raw_month_totals(spark, d):
     from panelspark.functions.text import full_name
@@ -228,7 +228,7 @@ def raw_month_totals(spark, d):
         "o_custkey", F.to_date("o_orderdate").alias("DATE"), F.round("o_totalprice").cast("bigint").alias("ENTRIES"), F.lit(1).cast("bigint").alias("EXITS")
     )
     totals = M.entity_month_totals(daily, "o_custkey", "DATE", ["ENTRIES", "EXITS"])
-    names = S.table(spark, d, "customer").filter("c_custkey % 5 <> 0").select(
+    names = S.table(spark, d, "customer").filter("c_acctbal > 0").select(
         F.col("c_custkey").alias("complex_id"), full_name("c_name", "c_mktsegment").alias("station_name")
     )
     return E.with_name(totals, names, "complex_id", "station_name")
@@ -572,7 +572,7 @@ def baseline_collapse(spark, d):
     return C.collapse(base, ["complex_id", "month"])
 
 
-NAMED_SQL = f"{STATION_FINAL} SELECT f.complex_id, s.station_name, f.* EXCLUDE (complex_id) FROM final f LEFT JOIN (SELECT * FROM station WHERE complex_id % 9 <> 4) s USING (complex_id)"
+NAMED_SQL = f"{STATION_FINAL} SELECT f.complex_id, s.station_name, f.* EXCLUDE (complex_id) FROM final f LEFT JOIN (SELECT * FROM station WHERE named) s USING (complex_id)"
 
 
 @query("station_names", f"WITH {NAMED_SQL}")

@@ -134,15 +134,15 @@ def special_case_errors(spark, d):
 
 @query(
     "repeated_config_ids",
-    """WITH c AS (SELECT s_suppkey % 60 AS complex_id, s_name AS station_name FROM supplier)
+    """WITH c AS (SELECT s_nationkey AS complex_id, s_name AS station_name FROM supplier)
 SELECT c.complex_id, station_name, n AS entries FROM c JOIN (SELECT complex_id, count(*) AS n FROM c GROUP BY 1 HAVING count(*) > 1) USING (complex_id)""",
 )
 def repeated_config_ids(spark, d):
-    config = S.table(spark, d, "supplier").select((F.col("s_suppkey") % 60).alias("complex_id"), F.col("s_name").alias("station_name"))
+    config = S.table(spark, d, "supplier").select(F.col("s_nationkey").alias("complex_id"), F.col("s_name").alias("station_name"))
     return Q.repeated_ids(config)
 
 
-CONFIG_SQL = """c AS (SELECT c_custkey + 2 AS line, c_custkey AS complex_id, CASE WHEN c_custkey % 3 = 0 THEN 'Other'
+CONFIG_SQL = """c AS (SELECT c_custkey + 2 AS line, c_custkey AS complex_id, c_mktsegment, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Other'
   ELSE 'Supplier#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '/' || s_nationkey END AS station_name, s_suppkey, s_name, s_nationkey
   FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey)"""
 
@@ -158,7 +158,7 @@ def config_and_names(spark, d):
     config = (
         S.table(spark, d, "customer")
         .join(S.table(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), "s_nationkey"), "c_custkey", "left")
-        .select((k + 2).alias("line"), k.alias("complex_id"), F.when(k % 3 == 0, "Other").otherwise(own).alias("station_name"))
+        .select((k + 2).alias("line"), k.alias("complex_id"), F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Other").otherwise(own).alias("station_name"))
     )
     return config, Q.official_names(official)
 
@@ -167,7 +167,7 @@ def config_and_names(spark, d):
     "config_discrepancies",
     f"""WITH {CONFIG_SQL} SELECT line, complex_id, station_name,
 CASE WHEN s_suppkey IS NULL THEN 'Complex ID not found in official file' ELSE 'Station name mismatch' END AS issue
-FROM c WHERE s_suppkey IS NULL OR complex_id % 3 = 0""",
+FROM c WHERE s_suppkey IS NULL OR c_mktsegment = 'HOUSEHOLD'""",
 )
 def config_discrepancies(spark, d):
     return Q.config_discrepancies(*config_and_names(spark, d))
@@ -175,7 +175,7 @@ def config_discrepancies(spark, d):
 
 @query(
     "config_expected_names",
-    f"WITH {CONFIG_SQL} SELECT complex_id, s_name || '/' || s_nationkey AS official_name FROM c WHERE s_suppkey IS NOT NULL AND complex_id % 3 = 0",
+    f"WITH {CONFIG_SQL} SELECT complex_id, s_name || '/' || s_nationkey AS official_name FROM c WHERE s_suppkey IS NOT NULL AND c_mktsegment = 'HOUSEHOLD'",
 )
 def config_expected_names(spark, d):
     config, names = config_and_names(spark, d)
@@ -195,11 +195,11 @@ def dataset_profile(spark, d):
     "mapping_coverage",
     """SELECT count(s_nationkey) AS matched, count(*) - count(s_nationkey) AS missing,
 round_even(count(s_nationkey) / count(*) * 1000.0, 0) / 10.0 AS matched_pct
-FROM events LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 4 <> 1) ON s_suppkey = user_id""",
+FROM events LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 1000) ON s_suppkey = user_id""",
 )
 def mapping_coverage(spark, d):
     readings = S.table(spark, d, "events").select("event_id", "user_id")
-    mapping = S.table(spark, d, "supplier").filter("s_suppkey % 4 <> 1").select(F.col("s_suppkey").alias("user_id"), "s_nationkey")
+    mapping = S.table(spark, d, "supplier").filter("s_acctbal > 1000").select(F.col("s_suppkey").alias("user_id"), "s_nationkey")
     return J.coverage(J.lookup(readings, mapping, ["user_id"]), "s_nationkey")
 
 

@@ -45,7 +45,7 @@ def hourly_csv_scan(spark, d):
 @query(
     "record_pages",
     """SELECT CAST(o_orderkey AS VARCHAR) AS ridership, strftime(o_orderdate, '%Y-%m-%d') AS transit_timestamp, o_orderstatus AS payment_method,
-'{"k":"' || o_custkey || '"}' AS georeference FROM orders WHERE o_orderkey % 11 <> 3""",
+'{"k":"' || o_custkey || '"}' AS georeference FROM orders WHERE o_orderpriority <> '5-LOW'""",
 )
 def record_pages(spark, d):
     """Each written page is one JSON array of records, some without the time field."""
@@ -53,7 +53,7 @@ def record_pages(spark, d):
     k = F.col("o_orderkey")
     record = F.struct(
         k.cast("string").alias(":id"),
-        F.when(k % 11 != 3, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("transit_timestamp"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("transit_timestamp"),
         F.col("o_orderstatus").alias("payment_method"),
         k.cast("string").alias("ridership"),
         F.struct(F.col("o_custkey").cast("string").alias("k")).alias("georeference"),
@@ -146,8 +146,8 @@ def dimension_scan(spark, d):
 
 @query(
     "special_case_scan",
-    """SELECT CAST(s_suppkey AS VARCHAR) AS complex_id, unnest(CASE s_suppkey % 10 WHEN 3 THEN [1995, 1996, 1997] WHEN 4 THEN [1995, 1996]
-WHEN 5 THEN [1993, 1994] ELSE [1998] END) AS year FROM supplier WHERE s_suppkey % 10 IN (3, 4, 5, 6)""",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS complex_id, unnest(CASE WHEN s_nationkey IN (3, 13) THEN [1995, 1996, 1997] WHEN s_nationkey IN (4, 14) THEN [1995, 1996]
+WHEN s_nationkey IN (5, 15) THEN [1993, 1994] ELSE [1998] END) AS year FROM supplier WHERE s_nationkey IN (3, 4, 5, 6, 13, 14, 15, 16)""",
 )
 def special_case_scan(spark, d):
     path = new_path(spark, "special")

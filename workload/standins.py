@@ -62,13 +62,14 @@ def scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    route = F.when(k % 20 == 0, "SIR").when(k % 20 != 1, F.concat(F.lit("L"), (k % 20).cast("string")))
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    route = F.when(n == 0, "SIR").when(n != 1, F.concat(F.lit("L"), n.cast("string")))
     return table(spark, sf_dir, "supplier").select(
         k.alias("complex_id"),
         F.col("s_name").alias("station_name"),
         route.alias("route"),
-        F.when(k % 33 != 5, F.col("s_nationkey")).alias("puma"),
+        F.when(F.col("s_acctbal") >= 0, n).alias("puma"),
+        (F.col("s_acctbal") <= 9000).alias("named"),
     )
 
 
@@ -82,7 +83,7 @@ def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def station_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names for most stations."""
-    return stations(spark, sf_dir).filter("complex_id % 9 <> 4").select("complex_id", "station_name")
+    return stations(spark, sf_dir).filter("named").select("complex_id", "station_name")
 
 
 def district_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,10 +91,13 @@ def district_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def special_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Special-case rows for four in ten stations; the second kind has no valid January."""
-    k = F.col("s_suppkey")
+    """Special-case rows for the stations of eight nations; the second kind has no valid January."""
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
     years = (
-        F.when(k % 10 == 3, "1995, 1996, 1997").when(k % 10 == 4, "1995,1996").when(k % 10 == 5, "1993, 1994").when(k % 10 == 6, "1998")
+        F.when(n.isin(3, 13), "1995, 1996, 1997")
+        .when(n.isin(4, 14), "1995,1996")
+        .when(n.isin(5, 15), "1993, 1994")
+        .when(n.isin(6, 16), "1998")
     )
     return (
         table(spark, sf_dir, "supplier")
@@ -151,8 +155,8 @@ FACT_SQL = """fact AS (
 
 STATION_SQL = """station AS (
   SELECT s_suppkey AS complex_id, s_name AS station_name,
-         CASE WHEN s_suppkey % 20 = 0 THEN 'SIR' WHEN s_suppkey % 20 <> 1 THEN 'L' || (s_suppkey % 20) END AS route,
-         CASE WHEN s_suppkey % 33 <> 5 THEN s_nationkey END AS puma
+         CASE WHEN s_nationkey = 0 THEN 'SIR' WHEN s_nationkey <> 1 THEN 'L' || s_nationkey END AS route,
+         CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS puma, s_acctbal <= 9000 AS named
   FROM supplier),
 ids AS (SELECT DISTINCT complex_id FROM station WHERE route IS NULL OR route <> 'SIR')"""
 
@@ -189,9 +193,9 @@ panel AS (
   LEFT JOIN cells k ON k.e = i.complex_id AND k.y = c.y AND k.m = c.m AND k.day_group = g.day_group)"""
 
 SPECIAL_SQL = """special AS (
-  SELECT s_suppkey AS e, CASE s_suppkey % 10 WHEN 3 THEN [1996, 1997] WHEN 4 THEN [1996] WHEN 5 THEN CAST([] AS INTEGER[])
-         WHEN 6 THEN [1998] END AS years
-  FROM supplier WHERE s_suppkey % 10 IN (3, 4, 5, 6))"""
+  SELECT s_suppkey AS e, CASE WHEN s_nationkey IN (3, 13) THEN [1996, 1997] WHEN s_nationkey IN (4, 14) THEN [1996]
+         WHEN s_nationkey IN (5, 15) THEN CAST([] AS INTEGER[]) ELSE [1998] END AS years
+  FROM supplier WHERE s_nationkey IN (3, 4, 5, 6, 13, 14, 15, 16))"""
 
 BASE_SQL = f"""{SPECIAL_SQL},
 usable AS (SELECT e, y, m, dg, sum(q) AS q FROM fact WHERE y BETWEEN 1996 AND 1998 AND NOT (y = 1996 AND m = 1)

@@ -297,7 +297,7 @@ AS_OF_SQL = "make_date(final.year, final.month, 1) <= DATE '2001-05-01' AND fina
 @query(
     "monthly_update_run",
     f"""WITH {STATION_FINAL} SELECT CAST(final.complex_id AS VARCHAR) AS complex_id, s.station_name, final.* EXCLUDE (complex_id)
-FROM final LEFT JOIN (SELECT * FROM station WHERE complex_id % 9 <> 4) s USING (complex_id) WHERE {AS_OF_SQL}""",
+FROM final LEFT JOIN (SELECT * FROM station WHERE named) s USING (complex_id) WHERE {AS_OF_SQL}""",
 )
 def monthly_update_run(spark, d):
     return spark.read.parquet(f"{run_of(spark, d)}/final_{STATION.name}")
