@@ -9,7 +9,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.functions.calendar import col
 from panelspark.levels import CITY, DISTRICT, LEVELS, STATION, Level
 from panelspark.operators.baseline import roll_up_baseline, station_baseline
 from panelspark.operators.compare import compare
@@ -20,7 +19,7 @@ from panelspark.operators.months import candidate_months, missing_months, month_
 from panelspark.operators.monthly import complete_months, monthly_wide
 from panelspark.operators.quality import require_enum, require_unique
 from panelspark.operators.rollup import roll_up
-from panelspark.sources.sinks import change_status, is_stored, land_months, stored_row_count
+from panelspark.sources.sinks import change_status, entity_path, is_stored, land_months, stored_row_count
 from panelspark.sources.tables import load_stored_panel
 from panelspark.specs import BAD_PERIODS, BASELINE_YEARS, FactSpec
 from panelspark.workspace import stored
@@ -173,6 +172,13 @@ def entity_panel(
     return dense_panel(wide, ids, complete)
 
 
+def store_entity_panel(
+    fact: DataFrame, path: str, entity, months: list[tuple[int, int]], spec: FactSpec = FactSpec()
+) -> DataFrame:
+    """Write one entity's panel beside the full one, which is left alone."""
+    return stored(entity_panel(fact, entity, months, spec), "entity-panel", entity_path(path, entity))
+
+
 def update_station_table(
     fact: DataFrame,
     path: str,

@@ -17,7 +17,6 @@ from panelspark.operators import monthly as M
 from panelspark.operators import months as I
 from panelspark.operators import rollup as R
 from panelspark.plans import monthly_update as U
-from panelspark.specs import FactSpec
 
 FACT = "transit_timestamp timestamp_ntz, transit_mode string, station_complex_id string, payment_method string, ridership bigint"
 
@@ -206,6 +205,45 @@ def test_single_entity_uses_everybody_for_completeness(spark):
     assert {(r["complex_id"], r["day_group"], r["ridership"]) for r in got} == {("2", "total", 30.0), ("2", "weekday", 30.0), ("2", "weekend", 0.0)}
 
 
+def test_entity_panel_has_its_own_place(spark, tmp_path):
+    from panelspark.sources.sinks import entity_path
+
+    path = str(tmp_path / "station")
+    U.store_entity_panel(fact(spark, month_rows(2024, 1, 31, "1")), path, "1", [(2024, 1)])
+    assert spark.read.parquet(f"{path}_1").count() == 3
+    assert entity_path("p/x", " 4/../5 ") == "p/x_45" and entity_path("p/x/", "//") == "p/x_station"
+
+
+def test_local_panels_drop_missing_categories_and_leave_zero_districts_blank(spark):
+    from panelspark.plans import local_panel as L
+
+    rows = month_rows(2024, 2, 29, "1", "omny", 3) + month_rows(2024, 2, 29, "1", "MetroCard", 1)
+    rows += month_rows(2024, 2, 29, "502", "omny", 50) + month_rows(2024, 2, 29, "1", None, 50)
+    rows += month_rows(2024, 3, 30, "1", "omny", 3)
+    ids = spark.createDataFrame([("1",), ("2",)], "complex_id string")
+    mapping = spark.createDataFrame([("1", "a"), ("2", "b")], "station_complex_id string, puma string")
+    out = L.local_panels(fact(spark, rows), ids, mapping, ("METROCARD", "OMNY"))
+    station = {(r["complex_id"], r["day_group"]): (r["ridership"], r["omny_pct"]) for r in out["station"].collect()}
+    assert station[("1", "total")] == (116, 75.0) and station[("2", "total")] == (0, 0.0) and len(station) == 6
+    district = {(r["puma"], r["day_group"]): (r["ridership"], r["omny_pct"]) for r in out["puma"].collect()}
+    assert district[("a", "total")] == (116, 75.0) and district[("b", "weekend")] == (0, None)
+    assert out["nyc"].filter("day_group = 'weekday'").first()["ridership"] == 21 * 4
+    base = spark.createDataFrame([("1", 2, "total", 50.0), ("1", 2, "total", 8.0), ("1", 2, "weekday", 9.0)], "complex_id string, month int, day_group string, ridership double")
+    got = L.local_comparison({"station": out["station"]}, {"station": base})["station"]
+    assert {(r["complex_id"], r["baseline_ridership"], r["baseline_comparison"]) for r in got.collect()} == {("1", 58.0, 2.0), ("2", None, None)}
+    assert got.columns == ["complex_id", "year", "month", "period", "ridership", "baseline_ridership", "baseline_comparison", "omny_pct"]
+
+
+def test_routing_takes_each_year_from_its_own_table(spark):
+    early = fact(spark, month_rows(2023, 1, 2, n=1) + month_rows(2024, 1, 2, n=100))
+    late = fact(spark, month_rows(2023, 1, 2, n=100) + month_rows(2024, 1, 2, n=2))
+    route = spark.createDataFrame([(2023, "e"), (2024, "l")], "year int, source string")
+    months = [(2023, 1), (2024, 1), (2025, 1)]
+    got = U.routed_fact({"e": early, "l": late}, route, months)
+    assert got.agg(F.sum("ridership")).first()[0] == 6
+    assert U.routed_fact({"e": early}, route, [(2025, 1)]).count() == 0
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 28), st.sampled_from("123"), st.sampled_from(["omny", "cash", None]), st.integers(0, 99)), min_size=1, max_size=60))
 def test_total_is_weekday_plus_weekend_and_city_is_sum_of_districts(spark, rows):

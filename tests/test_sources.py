@@ -131,6 +131,18 @@ def test_landing_replaces_only_the_months_it_brings(spark, tmp_path):
     assert W.stored_row_count(spark, str(tmp_path / "none")) is None and not W.is_stored(spark, str(tmp_path / "none"))
 
 
+def test_a_month_with_most_rows_is_written_by_many_tasks(spark, tmp_path):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        day = F.when(F.col("id") % 20 > 0, F.lit("2024-01-15")).otherwise(F.lit("2024-02-15")).cast("timestamp_ntz")
+        W.land_months(spark.range(0, 200000, 1, 8).select("id", day.alias("t")), str(tmp_path / "hot"), "t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = {m: len(list((tmp_path / "hot" / "year=2024" / f"month={m}").glob("*.parquet"))) for m in (1, 2)}
+    assert files[1] >= 4 > files[2]
+
+
 def test_change_status():
     assert W.change_status(None, 5) == "Created new output file."
     assert W.change_status(5, 5) == "Up to date (row count unchanged)."

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from panelspark.levels import STATION
-from panelspark.operators import filters as P
 from panelspark.operators import grid as G
 from panelspark.operators import months as I
 from panelspark.operators import monthly as M
