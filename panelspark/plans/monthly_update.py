@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.levels import CITY, DISTRICT, LEVELS, STATION, Level
+from panelspark.levels import DISTRICT, LEVELS, STATION, Level
 from panelspark.operators.baseline import roll_up_baseline, station_baseline
 from panelspark.operators.compare import compare
 from panelspark.operators.enrich import published_order, with_name
@@ -55,6 +55,27 @@ def wide_long(wide: DataFrame) -> DataFrame:
     )
 
 
+def district_mapping(dims: Dimensions, level: Level) -> tuple[DataFrame | None, str | None]:
+    return (dims.districts, level.key) if level is DISTRICT else (None, None)
+
+
+def level_panel(station: DataFrame, dims: Dimensions, level: Level) -> DataFrame:
+    """The panel of a level, from the station panel."""
+    return station if level is STATION else roll_up(station, *district_mapping(dims, level))
+
+
+def level_baseline(station: DataFrame, dims: Dimensions, level: Level) -> DataFrame:
+    """The baseline of a level, from the station baseline."""
+    return station if level is STATION else roll_up_baseline(station, *district_mapping(dims, level))
+
+
+def final_table(panel: DataFrame, baseline: DataFrame, dims: Dimensions, level: Level) -> DataFrame:
+    """A level's panel compared with its baseline, with readable names."""
+    compared = compare(panel, baseline, level)
+    names = {STATION.name: dims.entity_names, DISTRICT.name: dims.district_names}.get(level.name)
+    return compared if names is None else with_name(compared, names, level.key, level.label)
+
+
 def baselines(
     wide: DataFrame, dims: Dimensions, years=BASELINE_YEARS, bad_periods=BAD_PERIODS, keep: Keep = lambda _, df: df
 ) -> dict[str, DataFrame]:
@@ -65,28 +86,11 @@ def baselines(
     sums = wide_long(wide.filter(F.col("year").isin(*years)))
     station = keep(STATION.name, station_baseline(sums, dims.special, dims.ids, years, bad_periods))
     return {
-        STATION.name: station,
-        DISTRICT.name: keep(DISTRICT.name, roll_up_baseline(station, dims.districts, DISTRICT.key)),
-        CITY.name: keep(CITY.name, roll_up_baseline(station, None, None)),
+        name: station if level is STATION else keep(name, level_baseline(station, dims, level))
+        for name, level in LEVELS.items()
     }
 
 
-def panels(station: DataFrame, dims: Dimensions) -> dict[str, DataFrame]:
-    return {
-        STATION.name: station,
-        DISTRICT.name: roll_up(station, dims.districts, DISTRICT.key),
-        CITY.name: roll_up(station),
-    }
-
-
-def finals(panel: dict[str, DataFrame], base: dict[str, DataFrame], dims: Dimensions) -> dict[str, DataFrame]:
-    """Panels compared with their baselines, with readable names."""
-    out = {name: compare(panel[name], base[name], LEVELS[name]) for name in panel}
-    out[STATION.name] = with_name(out[STATION.name], dims.entity_names, STATION.key, STATION.label)
-    out[DISTRICT.name] = with_name(out[DISTRICT.name], dims.district_names, DISTRICT.key, DISTRICT.label)
-    return out
-
-
 def final_order(df: DataFrame, level: Level) -> DataFrame:
     """Published order: year, month, name or district code as text, then id and day group."""
     text = {"station": level.label, "puma": level.key}.get(level.name)
@@ -257,8 +261,10 @@ def run_monthly_update(
 
     base_tables, _ = baseline_or_reuse(spark, base, build, rebuild_baseline)
     panel_tables = {
-        name: df if name == STATION.name else stored(df, name, f"{base}/ridership_{name}")
-        for name, df in panels(station, dims).items()
+        name: station
+        if level is STATION
+        else stored(level_panel(station, dims, level), name, f"{base}/ridership_{name}")
+        for name, level in LEVELS.items()
     }
     for name, level in LEVELS.items():
         for table, keys, label in (
@@ -268,9 +274,10 @@ def run_monthly_update(
             require_enum(table, "day_group", label)
             require_unique(table, keys, label)
     status = {}
-    for name, df in finals(panel_tables, base_tables, dims).items():
+    for name, level in LEVELS.items():
         path = f"{base}/final_{name}"
         before = stored_row_count(spark, path)
-        final_order(df, LEVELS[name]).write.mode("overwrite").parquet(path)
+        final = final_table(panel_tables[name], base_tables[name], dims, level)
+        final_order(final, level).write.mode("overwrite").parquet(path)
         status[name] = change_status(before, spark.read.parquet(path).count())
     return status

@@ -506,13 +506,17 @@ def station_comparison(spark, d):
     return C.compare(panel_of(spark, d), base_of(spark, d), STATION)
 
 
-def all_finals(spark, d):
+def final_at(spark, d, level):
+    """A level's published table; the sums of the fact are stored once for panel and baseline."""
     wide = wide_of(spark, d)
     dims = U.Dimensions(
         S.station_ids(spark, d), S.districts(spark, d), S.station_names(spark, d), S.district_names(spark, d), S.special(spark, d)
     )
-    tables = U.panels(G.dense_panel(wide, dims.ids), dims)
-    return U.finals(tables, U.baselines(wide, dims, S.YEARS, S.BAD), dims)
+    sums = U.wide_long(wide.filter(F.col("year").isin(*S.YEARS)))
+    base = B.station_baseline(sums, dims.special, dims.ids, S.YEARS, S.BAD)
+    panel = G.dense_panel(wide, dims.ids)
+    final = U.final_table(U.level_panel(panel, dims, level), U.level_baseline(base, dims, level), dims, level)
+    return U.final_order(final, level)
 
 
 @query("district_comparison", f"WITH {DISTRICT_FINAL} SELECT * FROM final")
@@ -592,7 +596,7 @@ def name_coverage(spark, d):
 
 @query("station_published", f"WITH {NAMED_SQL}")
 def station_published(spark, d):
-    return U.final_order(all_finals(spark, d)["station"], STATION)
+    return final_at(spark, d, STATION)
 
 
 @query(
@@ -600,9 +604,9 @@ def station_published(spark, d):
     f"WITH {DISTRICT_FINAL} SELECT puma, n_name AS puma_name, final.* EXCLUDE (puma) FROM final LEFT JOIN nation ON n_nationkey = puma",
 )
 def district_published(spark, d):
-    return U.final_order(all_finals(spark, d)["puma"], DISTRICT)
+    return final_at(spark, d, DISTRICT)
 
 
 @query("city_published", f"WITH {CITY_FINAL} SELECT * FROM final")
 def city_published(spark, d):
-    return U.final_order(all_finals(spark, d)["nyc"], CITY)
+    return final_at(spark, d, CITY)
