@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, minhash, toxicity
+from panelspark.llm import decontamination, minhash, personal, pieces, toxicity
 from panelspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded_col="decoded").select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # only the text is needed here, so the written table of spans holds no texts
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.find(docs, keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["rank"] < 4)
+    kinds = F.transform("spans", lambda s: s["kind"])
+    many = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in personal.RULES]
+    return found.select(
+        "doc_id", *many, F.sha2(personal.listing(base), 256).alias("base_sha256"), personal.listing(F.col("spans")).alias("spans")
+    )

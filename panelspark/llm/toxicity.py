@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from panelspark.llm.kernels import NOT_ALNUM, U64, Words, mix, text_slices
 from panelspark.llm.tables import col, fresh, in_batches
+from panelspark.workspace import stored
 
 LENGTH, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION, BUCKETS = 8, 8, 8, 8, 4096
@@ -268,19 +269,22 @@ def platt(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", seed: int = 0) -> dict:
     """The trained network; ``docs`` and ``labels`` share the id column and hold only what may be learnt from."""
-    marks = labels.groupBy(col(id_col).alias("_id")).agg(F.max(col(label_col)).alias("_y")).filter("_id IS NOT NULL AND _y IS NOT NULL")
-    both = docs.select(col(id_col).alias("_id"), F.coalesce(col(text_col), F.lit("")).alias("_text")).join(marks, "_id")
-    counts = {int(r["_y"] > 0): r["n"] for r in both.groupBy((F.col("_y") > 0).alias("_y")).agg(F.count("*").alias("n")).collect()}
+    marks = labels.groupBy(col(id_col).alias("id")).agg(F.max(col(label_col)).alias("y")).filter("id IS NOT NULL AND y IS NOT NULL")
+    texts = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    # only ids and lengths meet the labels; texts are read for the ids of the sample alone
+    known = stored(
+        texts.select("id", F.length("text").alias("n")).join(marks, "id").groupBy("id", (F.col("y") > 0).cast("int").alias("y")).agg(F.max("n").alias("n")),
+        "labelled",
+    )
+    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     if len(counts) < 2:
         return {"share": counts.get(1, 0) / total if total else 0.0}
     picked, y, w = [], [], []
     for k in (0, 1):
-        rows = (
-            both.filter((F.col("_y") > 0) == bool(k)).filter(F.length("_text") <= MAX_CHARS)
-            .orderBy(F.xxhash64("_id"), "_id", "_text").limit(MAX_TEXTS * (2 - k)).select("_text").collect()
-        )
-        picked += [r[0] for r in rows]
+        sample = known.filter((F.col("y") == k) & (F.col("n") <= MAX_CHARS)).orderBy(F.xxhash64("id"), "id").limit(MAX_TEXTS * (2 - k))
+        rows = texts.join(F.broadcast(sample.select("id")), "id").groupBy("id").agg(F.min("text").alias("text")).orderBy("id").collect()
+        picked += [r["text"] for r in rows]
         y += [k] * len(rows)
         w += [counts[k] / total / max(len(rows), 1)] * len(rows)
     y = np.array(y, float)
