@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, minhash, personal, pieces, toxicity
+from panelspark.llm import decontamination, minhash, personal, pieces, sharding, toxicity, urls, vectors
 from panelspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,29 @@ def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *many, F.sha2(personal.listing(base), 256).alias("base_sha256"), personal.listing(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op4_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [
+        ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+        ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+    ]
+    return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", "host", "path", "rule", "verdict", "template", "purity"
+    )
+
+
+@query
+def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
+        "text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    )
+    return sharding.sharded(docs, keep=["doc_id", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
