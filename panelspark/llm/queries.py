@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontamination, minhash, personal, pieces, sharding, toxicity, urls, vectors
+from panelspark.llm import brown, decontamination, minhash, personal, pieces, secret_scan, sharding, toxicity, urls, vectors
 from panelspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,21 @@ def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(docs, keep=["doc_id", "text_crc32"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", F.coalesce(crc(10) == 0, F.lit(False)))
+    model, counts = brown.fit(docs.filter(~F.col("held_out")).select("text"))
+    return brown.score(docs, model, counts, keep=["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity"
+    )
+
+
+@query
+def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return secret_scan.findings(docs).select(
+        "doc_id", "start", "end", F.sha2("found", 256).alias("found_sha256"), "label", F.round("score", 6).alias("score"),
+        (F.col("score") >= 0.5).alias("secret"),
+    )
