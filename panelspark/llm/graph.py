@@ -11,29 +11,25 @@ from panelspark.workspace import stored
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, component`` (its smallest node) for every node of an edge.
 
-    Each round takes the smallest label among a node and its neighbours, then the label of that label, so
-    rounds follow the logarithm of the longest path in practice. Labels are written tables in the shared
-    folder; only one count of changes reaches the driver.
+    In each round a node points to the smallest among itself and its neighbours, and on to where that one
+    points; then the graph is contracted to the nodes pointed to, so edges become fewer round by round. All tables
+    are written to the shared folder; only the news that no edge is left reaches the driver.
     """
-    one_way = edges.select(F.col(a).alias("node"), F.col(b).alias("near")).filter("node IS NOT NULL AND near IS NOT NULL")
-    both = stored(one_way.union(one_way.select("near", "node")).distinct(), "edges")
-    labels = stored(both.groupBy("node").agg(F.least(F.col("node"), F.min("near")).alias("component")), "labels")
+    some = edges.select(F.col(a).alias("node"), F.col(b).alias("near")).filter("node != near")
+    edges = stored(some.union(some.select("near", "node")).distinct(), "edges")
+    labels = None
     while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("near"), "component"), "near")
-            .groupBy("node")
-            .agg(F.min("component").alias("best"))
-        )
-        lower = stored(
-            labels.join(near, "node").select(
-                "node", F.least("component", "best").alias("component"), F.col("component").alias("before")
-            ),
-            "labels",
-        )
-        jump = lower.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        now = stored(
-            lower.join(jump, "component").select("node", F.col("further").alias("component"), "before"), "labels"
-        )
-        if not now.filter(F.col("component") != F.col("before")).limit(1).count():
-            return now.select("node", "component")
-        labels = now.select("node", "component")
+        if labels is not None and edges.isEmpty():
+            return labels
+        first = edges.groupBy("node").agg(F.least(F.col("node"), F.min("near")).alias("to"))
+        first = stored(first, "pointers")
+        second = first.select(F.col("node").alias("to"), F.col("to").alias("further"))
+        to = stored(first.join(second, "to").select("node", F.col("further").alias("to")), "pointers")
+        if labels is None:
+            labels = to.withColumnRenamed("to", "component")
+        else:
+            step = to.withColumnRenamed("node", "component")
+            labels = stored(labels.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
+        one = edges.join(to, "node").select(F.col("to").alias("node"), "near")
+        two = one.join(to.select(F.col("node").alias("near"), F.col("to").alias("other")), "near").select("node", F.col("other").alias("near"))
+        edges = stored(two.filter("node != near").distinct(), "edges")

@@ -8,7 +8,7 @@ the probability of their weighted Jaccard similarity, and a process stops once i
 component, so that long texts cost about one point a shingle.
 
 Signatures are cut into ``BANDS`` bands of ``ROWS`` components (a pair of similarity 0.8 meets in one with
-probability 0.9995). Texts that meet, also over others, form a cluster; all pairs of a cluster are compared
+probability 0.9993). Texts that meet, also over others, form a cluster; all pairs of a cluster are compared
 exactly, in blocks of bounded size, so no pair is ever a row and no task holds a whole cluster.
 
 Defined cases: equal word sequences (words are separated by white space, case of A-Z ignored) are one class;
@@ -35,9 +35,11 @@ from panelspark.llm.tables import col, fresh, in_batches
 from panelspark.workspace import stored
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 32, 7
+BANDS, ROWS = 24, 6
 #: Texts and bytes of a block; two blocks are compared at a time.
 BLOCK_TEXTS, BLOCK_BYTES = 128, 1 << 20
+#: Up to so many texts that met another (24 bytes each) are sent to all executors; beyond it texts are shuffled.
+BROADCAST_TEXTS = 2_000_000
 #: Distinct shingles per matrix product of a comparison.
 COLUMNS = 4096
 _GOLD = U64(0x9E3779B97F4A7C15)
@@ -192,14 +194,22 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         in_batches(numbered, text_col, [T.StructField(n, k) for n, k in zip(names[1:], kinds)], _prepared), "signed"
     )
     first = stored(rows.groupBy(col(node).alias("node")).agg(F.min(col(rid)).alias("first"), F.count("*").alias("copies")), "texts")
-    reps = rows.join(first.select(F.col("first").alias(rid)), rid, "left_semi")
-    met = reps.select(col(node).alias("node"), F.explode(col(keys)).alias("key"))
-    buckets = stored(met.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "buckets")
-    clusters = components(met.join(buckets, "key").filter("node != lead").select("node", "lead").distinct(), "node", "lead")
-    # the smallest node of a bucket is its lead, so every node that met another is in an edge
+    # copies have equal keys, so one row of each text is enough from here on
+    one = stored(rows.groupBy(col(node).alias("node")).agg(F.first(col(keys)).alias("keys")), "bands")
+    met = one.select("node", F.explode("keys").alias("key"))
+    buckets = stored(
+        met.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("most")).filter("lead != most").drop("most"), "buckets"
+    )
+    edges = met.join(buckets, "key").filter("node != lead").select("node", "lead").distinct()
+    clusters = components(edges, "node", "lead").join(first, "node").select(
+        F.col("node").alias(node), F.col("first").alias(rid), F.col("component").alias("cluster")
+    )
+    clusters = stored(clusters, "clusters")
+    if clusters.count() <= BROADCAST_TEXTS:
+        clusters = F.broadcast(clusters)  # the texts stay where they are
     candidates = stored(
-        reps.select(col(node).alias("node"), col(text_col).alias("text"), col(size).alias("bytes")).join(
-            clusters.withColumnRenamed("component", "cluster"), "node"
+        rows.join(clusters, [node, rid]).select(
+            col(node).alias("node"), "cluster", F.coalesce(col(text_col), F.lit("")).alias("text"), col(size).alias("bytes")
         ),
         "candidates",
     )
