@@ -15,15 +15,17 @@ def round_even(x: Column, places: int) -> Column:
 
 
 def lenient_double(text: str | Column) -> Column:
-    """A number, or 0.0 where the text is missing or not a number."""
-    return F.coalesce(col(text).try_cast("double"), F.lit(0.0))
+    """A number, or 0.0 where the text is missing or not a number; type suffixes and ``NaN`` are no numbers."""
+    value = col(text).try_cast("double")
+    bad = F.isnan(value) | col(text).cast("string").rlike(r"[0-9.][dDfF]\s*$")
+    return F.when(bad, 0.0).otherwise(F.coalesce(value, F.lit(0.0)))
 
 
 def strict_bigint(text: str | Column, label: str = "ridership") -> Column:
     """A whole number, thousands separators allowed; anything else fails the query."""
     clean = F.regexp_replace(col(text).cast("string"), ",", "")
     value = clean.try_cast("decimal(38,6)")
-    bad = clean.isNotNull() & (value.isNull() | (value != F.floor(value)))
+    bad = clean.isNotNull() & (value.isNull() | ~clean.rlike(r"^\s*[+-]?[0-9]+(\.0*)?\s*$"))
     message = F.concat(F.lit(f"Failed to parse '{label}' as integer: "), clean)
     return F.when(bad, F.raise_error(message).cast("bigint")).otherwise(value.cast("bigint"))
 

@@ -142,20 +142,23 @@ def daily_sums(fact: DataFrame, spec: FactSpec = FactSpec()) -> DataFrame:
 
 
 def pivot_categories(daily: DataFrame, categories: Sequence[str], share_category: str) -> DataFrame:
-    """One column per category for each entity, month and day group, their sum, and the share.
+    """One column per category for each entity, month and day group, the sum of all rows, and the share.
 
-    The categories are given, so no extra pass is needed to find them and the schema is stable.
+    The categories are given, so no extra pass is needed to find them and the schema is stable. A row of a
+    category that isn't given fails the query, so nothing is left out of the sum unseen.
     """
+    unlisted = F.concat(F.lit("category not listed: "), F.coalesce(F.col("payment_method"), F.lit("null")))
+    listed = F.when(F.col("payment_method").isin(list(categories)), F.col("ridership"))
+    every = whole_sum(listed.otherwise(F.raise_error(unlisted).cast("bigint"))).alias("ridership")
     sums = [
         whole_sum(F.when(F.col("payment_method") == c, F.col("ridership"))).alias(c) for c in categories
     ]
     observed = daily.groupBy(
         "station_complex_id", *year_month("date"), day_group("date").alias("day_group")
-    ).agg(*sums)
-    pivoted = add_total(observed, categories)
-    whole = sum((col(c) for c in categories), F.lit(0).cast("bigint"))
+    ).agg(*sums, every)
+    pivoted = add_total(observed, [*categories, "ridership"])
     part = col(share_category) if share_category in categories else F.lit(0)
-    return pivoted.withColumn("ridership", whole).select(
+    return pivoted.withColumn("ridership", F.coalesce("ridership", F.lit(0).cast("bigint"))).select(
         "station_complex_id",
         "year",
         "month",

@@ -13,6 +13,7 @@ from panelspark.operators.compare import compare_totals
 from panelspark.operators.filters import in_scope
 from panelspark.operators.grid import fill_grid, panel_grid
 from panelspark.operators.monthly import completeness, daily_sums, of_complete_months, pivot_categories
+from panelspark.operators.quality import require_non_negative
 from panelspark.operators.rollup import roll_up_categories
 from panelspark.specs import EXCLUDED_COMPLEXES, SUBWAY_MODES, FactSpec
 from panelspark.workspace import stored
@@ -26,7 +27,8 @@ def daily_table(
     modes: Sequence = SUBWAY_MODES,
     excluded: Sequence = EXCLUDED_COMPLEXES,
 ) -> DataFrame:
-    """Scope filter and daily sums."""
+    """Scope filter and daily sums; negative counts are refused."""
+    require_non_negative(in_scope(hourly, spec, modes, excluded), spec.measure, "hourly rows")
     return daily_sums(in_scope(hourly, spec, modes, excluded), spec)
 
 

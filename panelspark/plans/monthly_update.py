@@ -19,7 +19,7 @@ from panelspark.operators.months import candidate_months, missing_months, month_
 from panelspark.operators.monthly import complete_months, monthly_wide
 from panelspark.operators.quality import require_enum, require_unique
 from panelspark.operators.rollup import roll_up
-from panelspark.sources.sinks import change_status, entity_path, is_stored, land_months, stored_row_count
+from panelspark.sources.sinks import change_status, entity_folder, is_stored, land_months, stored_row_count
 from panelspark.sources.tables import load_stored_panel
 from panelspark.specs import BAD_PERIODS, BASELINE_YEARS, FactSpec
 from panelspark.workspace import stored
@@ -180,7 +180,7 @@ def store_entity_panel(
     fact: DataFrame, path: str, entity, months: list[tuple[int, int]], spec: FactSpec = FactSpec()
 ) -> DataFrame:
     """Write one entity's panel beside the full one, which is left alone."""
-    return stored(entity_panel(fact, entity, months, spec), "entity-panel", entity_path(path, entity))
+    return stored(entity_panel(fact, entity, months, spec), "entity-panel", entity_folder(path, entity))
 
 
 def update_station_table(
@@ -205,6 +205,8 @@ def update_station_table(
     )
     if months:
         wide, complete = fresh_wide(fact, months, spec)
+        if complete.isEmpty():  # nothing to put in its place, so the stored panel stays as it is
+            return months
         fresh = dense_panel(wide, ids, complete)
         if full_refresh:
             fresh.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
@@ -279,5 +281,5 @@ def run_monthly_update(
         before = stored_row_count(spark, path)
         final = final_table(panel_tables[name], base_tables[name], dims, level)
         final_order(final, level).write.mode("overwrite").parquet(path)
-        status[name] = change_status(before, spark.read.parquet(path).count())
+        status[name] = change_status(spark, before, spark.read.parquet(path).count())
     return status

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.operators.joins import lookup
 from panelspark.schemas import READINGS
 from panelspark.specs import FIRST_WEEKLY_FILE
+from panelspark.workspace import stored
 
 WEEKLY_NAME = r"turnstile_(\d{6})\.txt"
 
@@ -40,10 +41,14 @@ def weekly_file_report(
 
 
 def read_weekly_readings(
-    spark: SparkSession, path: str, pattern: str = WEEKLY_NAME, first: int = FIRST_WEEKLY_FILE
+    spark: SparkSession, path: str, pattern: str = WEEKLY_NAME, first: int = FIRST_WEEKLY_FILE, ordered: bool = False
 ) -> DataFrame:
-    """Readings of all usable files, columns named by position."""
-    good = weekly_file_report(spark, path, pattern, first).filter("usable").select("file")
+    """Readings of all usable files, columns named by position.
+
+    With ``ordered`` a column ``seq`` says where a reading stands: file name, start of the block, line. It is
+    set before anything is joined, so neither how files are packed into tasks nor a later join changes it.
+    """
+    good = stored(weekly_file_report(spark, path, pattern, first).filter("usable").select("file"), "usable-files")
     rows = (
         spark.read.schema(READINGS)
         .option("header", True)
@@ -53,4 +58,8 @@ def read_weekly_readings(
         .csv(path)
         .withColumn("file", F.col("_metadata.file_path"))
     )
+    if ordered:
+        # a block is read by one task from front to back, so the number within the task orders its lines
+        line = F.monotonically_increasing_id().alias("line")
+        rows = rows.withColumn("seq", F.struct("file", F.col("_metadata.file_block_start").alias("start"), line))
     return lookup(rows, good, ["file"], "left_semi").drop("file")

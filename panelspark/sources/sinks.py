@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.functions.calendar import col
@@ -27,10 +29,9 @@ def write_panel(
     writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path)
 
 
-def entity_path(path: str, entity: str) -> str:
-    """Where one entity's panel goes, apart from the full one: letters, digits, ``-`` and ``_`` are kept."""
-    safe = "".join(c for c in str(entity).strip() if c.isalnum() or c in "-_")
-    return f"{path.rstrip('/')}_{safe or 'station'}"
+def entity_folder(path: str, entity: object) -> str:
+    """Where the panel of one entity is kept: a partition folder beside the full panel, one for each id."""
+    return f"{path.rstrip('/')}-by-entity/entity={quote(str(entity), safe='')}"
 
 
 def land_months(df: DataFrame, path: str, time: str | None = None) -> None:
@@ -57,31 +58,38 @@ def is_stored(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
+#: Row count of an output that is there and can't be read.
+UNREADABLE = -1
+
+
 def stored_row_count(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
-    """Rows now stored at the path, or None where there is nothing to read."""
+    """Rows now stored at the path; None where there is nothing, ``UNREADABLE`` where what is there is no table."""
     try:
         df = read_text_columns(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
         return df.count()
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        return None if e.getCondition() == "PATH_NOT_FOUND" else UNREADABLE
+    except Py4JJavaError:  # files that are there and damaged
+        return UNREADABLE
 
 
-def change_status(previous: int | None, current: int) -> str:
-    """What a write did, in words."""
-    if previous is None:
-        return "Created new output file."
-    if previous == current:
-        return "Up to date (row count unchanged)."
-    return f"Updated ({previous:,} → {current:,} rows)."
+def _status(previous: Column, current: Column) -> Column:
+    """``created`` where nothing was there, ``unchanged`` for as many rows as before, else the two counts."""
+    before = F.when(previous == UNREADABLE, "unreadable").otherwise(previous.cast("string"))
+    both = F.concat_ws(" → ", before, current.cast("string"))
+    return F.when(previous.isNull(), "created").when(previous == current, "unchanged").otherwise(both)
 
 
-def change_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before and after and the status, as a table: two counts."""
+def change_status(spark: SparkSession, previous: int | None, current: int) -> str:
+    """What a write did, from the row counts before and after."""
+    counts = spark.range(1).select(F.lit(previous).cast("bigint").alias("a"), F.lit(current).cast("bigint").alias("b"))
+    return counts.select(_status(F.col("a"), F.col("b"))).first()[0]
+
+
+def change_report(before: DataFrame | None, after: DataFrame) -> DataFrame:
+    """The same as a table, with both counts; ``before`` is None where nothing was stored."""
     n = F.count(F.lit(1))
-    counts = before.agg(n.alias("previous_rows"), after.agg(n).scalar().alias("current_rows"))
-    status = (
-        F.when(F.col("previous_rows") == 0, "created")
-        .when(F.col("previous_rows") == F.col("current_rows"), "unchanged")
-        .otherwise(F.concat_ws(" → ", F.col("previous_rows").cast("string"), F.col("current_rows").cast("string")))
-    )
-    return counts.select(status.alias("status"), "previous_rows", "current_rows")
+    counts = after.agg(n.alias("current_rows"))
+    previous = F.lit(None).cast("bigint") if before is None else before.agg(n).scalar()
+    counts = counts.select(previous.alias("previous_rows"), "current_rows")
+    return counts.select(_status(F.col("previous_rows"), F.col("current_rows")).alias("status"), "previous_rows", "current_rows")

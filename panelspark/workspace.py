@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a local one is made only where none is named."""
+    """The shared folder the session names. Only where all tasks run in this one process is one made where none is
+    named; anywhere else that would be a folder each machine has for itself, so it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
     made = tempfile.mkdtemp(prefix="panelspark-")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir()

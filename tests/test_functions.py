@@ -48,9 +48,9 @@ def test_shares_and_ratios_survive_zero_and_missing(spark):
 
 
 def test_lenient_and_strict_numbers(spark):
-    assert one(spark, *[N.lenient_double(F.lit(v)).alias(f"c{i}") for i, v in enumerate(["1.5", "x", ""])]) == (1.5, 0.0, 0.0)
+    assert one(spark, *[N.lenient_double(F.lit(v)).alias(f"c{i}") for i, v in enumerate(["1.5", "x", "", "NaN", "1.5d", " -2e3 "])]) == (1.5, 0.0, 0.0, 0.0, 0.0, -2000.0)
     assert one(spark, N.strict_bigint(F.lit("1,234,567")), N.strict_bigint(F.lit(None).cast("string")), N.strict_bigint(F.lit("5.0"))) == (1234567, None, 5)
-    for bad in ("12.5", "abc", "1 2"):
+    for bad in ("12.5", "abc", "1 2", "1.0000001", "1.5", "1d"):
         with pytest.raises(Exception, match="Failed to parse"):
             one(spark, N.strict_bigint(F.lit(bad)))
 

@@ -206,12 +206,12 @@ def test_single_entity_uses_everybody_for_completeness(spark):
 
 
 def test_entity_panel_has_its_own_place(spark, tmp_path):
-    from panelspark.sources.sinks import entity_path
+    from panelspark.sources.sinks import entity_folder
 
     path = str(tmp_path / "station")
     U.store_entity_panel(fact(spark, month_rows(2024, 1, 31, "1")), path, "1", [(2024, 1)])
-    assert spark.read.parquet(f"{path}_1").count() == 3
-    assert entity_path("p/x", " 4/../5 ") == "p/x_45" and entity_path("p/x/", "//") == "p/x_station"
+    assert spark.read.parquet(entity_folder(path, "1")).count() == 3
+    assert entity_folder("p/x/", "4/5") == "p/x-by-entity/entity=4%2F5" != entity_folder("p/x", "45")
 
 
 def test_local_panels_drop_missing_categories_and_leave_zero_districts_blank(spark):
@@ -295,7 +295,7 @@ def test_whole_run_statuses_baselines_and_outputs(spark, tmp_path):
     old = [r for y in (2017, 2018, 2019) for r in month_rows(y, 1, 31, "1", n=y - 2016) + month_rows(y, 1, 31, "2", n=5)]
     new = month_rows(2024, 1, 31, "1", n=7) + month_rows(2024, 1, 31, "2", "cash", n=10)
     args = dict(dims=dims, sources=sources(spark, 2024), root=root, as_of=date(2024, 2, 5), baseline_fact=fact(spark, old))
-    assert set(U.run_monthly_update(fact(spark, new), **args).values()) == {"Created new output file."}
+    assert set(U.run_monthly_update(fact(spark, new), **args).values()) == {"created"}
 
     def final(name):
         spark.catalog.refreshByPath(f"{root}/final_{name}")
@@ -310,7 +310,7 @@ def test_whole_run_statuses_baselines_and_outputs(spark, tmp_path):
     assert (city["ridership"], city["baseline"], city["omny_pct"]) == (527.0, 232.5, 41.18)
     assert {r["puma"]: r["puma_name"] for r in final("puma")} == {"4108": "North", "4109": None}
 
-    assert set(U.run_monthly_update(fact(spark, new), **args).values()) == {"Up to date (row count unchanged)."}
+    assert set(U.run_monthly_update(fact(spark, new), **args).values()) == {"unchanged"}
     args["baseline_fact"] = fact(spark, [r for r in old if r[2] == "1"])
     more = new + [("2024-01-09 10:00:00", "subway", "1", "cash", 1000)]
     U.run_monthly_update(fact(spark, more), **args, year=2024)

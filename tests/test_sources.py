@@ -143,14 +143,17 @@ def test_a_month_with_most_rows_is_written_by_many_tasks(spark, tmp_path):
     assert files[1] >= 4 > files[2]
 
 
-def test_change_status():
-    assert W.change_status(None, 5) == "Created new output file."
-    assert W.change_status(5, 5) == "Up to date (row count unchanged)."
-    assert W.change_status(1000, 2500) == "Updated (1,000 → 2,500 rows)."
+def test_change_status(spark, tmp_path):
+    got = [W.change_status(spark, a, b) for a, b in ((None, 5), (5, 5), (1000, 2500), (W.UNREADABLE, 3))]
+    assert got == ["created", "unchanged", "1000 → 2500", "unreadable → 3"]
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "part-0.parquet").write_text("no table")
+    assert W.stored_row_count(spark, str(tmp_path / "none")) is None
+    assert W.stored_row_count(spark, str(tmp_path / "old")) == W.UNREADABLE
 
 
 def test_change_report_as_a_table(spark):
-    got = [W.change_report(spark.range(a), spark.range(b)).first() for a, b in ((0, 5), (5, 5), (5, 7))]
+    got = [W.change_report(a if a is None else spark.range(a), spark.range(b)).first() for a, b in ((None, 5), (5, 5), (5, 7))]
     assert [r["status"] for r in got] == ["created", "unchanged", "5 → 7"]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -22,6 +23,7 @@ def session(cpus: str = "8", partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelspark-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

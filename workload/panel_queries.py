@@ -325,13 +325,13 @@ def dense_station_panel(spark, d):
 @query(
     "grid_fill",
     f"""WITH {S.FACT_SQL}, {S.STATION_SQL}, {S.GROUPS_SQL}, months AS (SELECT CAST(m AS INTEGER) AS m FROM range(1, 13) r(m)),
-t AS (SELECT e, m, dg, sum(q) AS q FROM fact WHERE y = 1997 GROUP BY ALL)
+t AS (SELECT e, m, dg, sum(q) AS q FROM fact GROUP BY ALL)
 SELECT complex_id, months.m AS month, day_group, CAST(coalesce(q, 0) AS BIGINT) AS ridership
 FROM ids CROSS JOIN months CROSS JOIN groups LEFT JOIN t ON e = complex_id AND t.m = months.m AND dg = day_group""",
 )
 def grid_fill(spark, d):
-    rows = P.in_month_list(S.scoped(spark, d), [(1997, m) for m in range(1, 13)], S.FACT)
-    sums = M.day_group_sums(rows, S.FACT).drop("year")
+    sums = M.day_group_sums(S.scoped(spark, d), S.FACT)
+    sums = sums.groupBy("complex_id", "month", "day_group").agg(F.sum("ridership").alias("ridership"))
     return G.fill_grid(G.baseline_grid(S.station_ids(spark, d)), sums, ["complex_id", "month", "day_group"], ["ridership"])
 
 

@@ -55,16 +55,22 @@ def year_routing(spark, d):
 @query(
     "routed_rows",
     """SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate FROM lineitem WHERE year(l_shipdate) IN (SELECT year(o_orderdate) FROM orders)
-AND year(l_shipdate) BETWEEN 1997 AND 2000 AND (year(l_shipdate) >= 1998 OR l_linenumber <> 2)""",
+AND (year(l_shipdate) >= 1998 OR l_linenumber <> 2)""",
 )
 def routed_rows(spark, d):
     """Two source tables with overlapping rows: each year comes from the one it is routed to."""
     df = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
-    months = [(y, m) for y in range(1997, 2001) for m in range(1, 13)]
+    months = all_months(df, "l_shipdate")
     tables = {"early": df.filter("l_linenumber <> 2"), "late": df}
     return U.routed_fact(tables, S.sources(spark, d), months, S.FACT)
 
 
+def all_months(df, time):
+    """Every month of the years that the rows span."""
+    first, last = df.agg(F.min(F.year(time)), F.max(F.year(time))).first()
+    return [(y, m) for y in range(first, last + 1) for m in range(1, 13)] if first else []
+
+
 def old_panel(spark, d):
     """A stored panel made from part of the fact: its numbers differ from the full fact's."""
     part = S.scoped(spark, d).filter("l_linenumber <= 3 and l_shipdate < timestamp_ntz'2000-01-01 00:00:00'")
@@ -134,12 +140,12 @@ def full_refresh(spark, d):
     f"""WITH {S.FACT_SQL}, {S.COMPLETE_SQL}, {S.GROUPS_SQL}, {S.CELLS_SQL}, own AS (SELECT DISTINCT y, m FROM fact WHERE e = 3)
 SELECT CAST(3 AS BIGINT) AS complex_id, c.y AS year, c.m AS month, printf('%04d-%02d-01', c.y, c.m) AS period, g.day_group,
   CAST(coalesce(k.whole, 0) AS DOUBLE) AS ridership, {S.pct('coalesce(k.part, 0)', 'coalesce(k.whole, 0)')} AS omny_pct
-FROM (SELECT * FROM complete SEMI JOIN own USING (y, m) WHERE y BETWEEN 1995 AND 2001) c CROSS JOIN groups g
+FROM (SELECT * FROM complete SEMI JOIN own USING (y, m)) c CROSS JOIN groups g
 LEFT JOIN cells k ON k.e = 3 AND k.y = c.y AND k.m = c.m AND k.day_group = g.day_group""",
 )
 def single_entity_panel(spark, d):
-    months = [(y, m) for y in range(1995, 2002) for m in range(1, 13)]
-    return U.entity_panel(S.scoped(spark, d), 3, months, S.FACT)
+    fact = S.scoped(spark, d)
+    return U.store_entity_panel(fact, new_path(spark, "panels"), 3, all_months(fact, S.FACT.time), S.FACT)
 
 
 @query(
