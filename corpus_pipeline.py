@@ -45,7 +45,7 @@ STAGES = [
     ("sentencepiece", encoded),
 ]
 
-#: A network and a BPE model are no SQL; tests/llm/test_pipeline.py has the brute-force version.
+#: A network and a BPE model are no SQL; tests/llm holds each operator against a brute-force version.
 ORACLE_SQL = None
 
 
