@@ -15,6 +15,7 @@ never names a component that has other ids.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.llm.graph import components
 from panelspark.llm.tables import col
@@ -62,19 +64,19 @@ def tile_links(a: np.ndarray, b: np.ndarray, same: bool, threshold: float = THRE
     return i[keep], j[keep]
 
 
-def _packed(block: pd.DataFrame) -> pd.DataFrame:
+def _packed(kind: str, block: pd.DataFrame) -> pd.DataFrame:
     block = block.sort_values("node")
-    vectors = np.stack(block["v"].to_numpy()).astype("<f4")
+    vectors = np.stack(block["v"].to_numpy()).astype(kind)
     return pd.DataFrame({
         "block": [block["block"].iloc[0]], "nodes": [block["node"].to_numpy("<i8").tobytes()],
         "copies": [block["copies"].to_numpy("<i8").tobytes()], "vectors": [vectors.tobytes()], "length": [vectors.shape[1]],
     })
 
 
-def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tile(kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for t in batch.to_pylist():
-            side = lambda s: [np.frombuffer(t[s + k], d) for k, d in (("nodes", "<i8"), ("copies", "<i8"), ("vectors", "<f4"))]
+            side = lambda s: [np.frombuffer(t[s + k], d) for k, d in (("nodes", "<i8"), ("copies", "<i8"), ("vectors", kind))]
             (na, ca, va), (nb, cb, vb) = side("a_"), side("b_")
             same = t["i"] == t["j"]
             i, j = tile_links(va.reshape(len(na), -1).astype(float), vb.reshape(len(nb), -1).astype(float), same)
@@ -99,8 +101,10 @@ def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def linked(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``id, n_links, component_id, kept`` for every row."""
     v = col(vector_col)
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    v, kind = (v, "<f4") if single else (v.cast("array<double>"), "<f8")  # components keep all their digits
     usable = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(col(id_col).alias("id"), F.when(usable, F.transform(v, lambda x: x + F.lit(0.0).cast("float"))).alias("v"))
+    rows = vectors.select(col(id_col).alias("id"), F.when(usable, F.transform(v, lambda x: x + F.lit(0.0).cast("float" if single else "double"))).alias("v"))
     distinct = stored(
         rows.filter("v IS NOT NULL").groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
         .withColumn("node", F.monotonically_increasing_id()).withColumn("length", F.size("v")),
@@ -110,9 +114,13 @@ def linked(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     dealt = distinct.join(F.broadcast(many), "length").withColumn(
         "block", F.struct("length", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("at"), "blocks")
     )
+
+    def pack(block: pd.DataFrame) -> pd.DataFrame:
+        return _packed(kind, block)
+
     blocks = stored(
         dealt.select(F.to_json("block").alias("block"), "node", "copies", "v").groupBy("block").applyInPandas(
-            _packed, "block string, nodes binary, copies binary, vectors binary, length int"
+            pack, "block string, nodes binary, copies binary, vectors binary, length int"
         ).withColumn("block", F.from_json("block", "length int, at int, blocks int")),
         "blocks",
     )
@@ -122,7 +130,7 @@ def linked(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     left = side("a", F.sequence("block.at", F.col("block.blocks") - 1)).withColumnsRenamed({"at": "i", "other": "j"})
     right = side("b", F.sequence(F.lit(0), "block.at")).withColumnsRenamed({"at": "j", "other": "i"})
     tiles = left.hint("merge").join(right, ["length", "i", "j"]).drop("length")
-    found = stored(tiles.mapInArrow(_tile, "node long, near long, links long"), "links")
+    found = stored(tiles.mapInArrow(functools.partial(_tile, kind), "node long, near long, links long"), "links")
     joined = components(found.select("node", "near"), "node", "near")
     degree = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = distinct.join(joined, "node", "left").join(degree, "node", "left").withColumn("component", F.coalesce("component", "node"))

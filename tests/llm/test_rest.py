@@ -49,6 +49,14 @@ def test_vectors_against_all_pairs(spark):
     assert vectors.linked(df.limit(0)).count() == 0
 
 
+def test_double_vectors_keep_their_digits(spark):
+    # cosine 0.9 - 5e-10, which single precision can't tell from 0.9
+    c = 0.9 - 5e-10
+    rows = [[1.0, 0.0], [c, math.sqrt(1 - c * c)], [0.9 + 5e-10, math.sqrt(1 - (0.9 + 5e-10) ** 2)]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    assert {r["vec_id"]: r["n_links"] for r in vectors.linked(df).collect()} == {0: 1, 1: 1, 2: 2}
+
+
 def test_error_bound_is_rigorous():
     rng = np.random.default_rng(2)
     u = rng.standard_normal((300, 1500))
@@ -95,6 +103,20 @@ def test_language_model_is_a_distribution_and_counts_are_exact(spark):
     assert np.allclose(within[within > 0], 1)
 
 
+def test_scores_do_not_depend_on_what_is_sent_to_the_tasks(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    docs = documents(spark, [" ".join(rng.choices(words, weights=[100 / (i + 9) for i in range(3000)], k=400)) for _ in range(40)])
+    results = []
+    for most in (10_000, 1200):  # all words; some of them, so that the others are looked up by a join
+        monkeypatch.setattr(brown, "FREQUENT", most)
+        model, counts = brown.fit(docs.filter("doc_id % 2 = 0").select("text"))
+        assert brown.CLUSTERED <= len(model.lexicon.words) <= most
+        rows = brown.score(docs, model, counts, keep=["doc_id"]).orderBy("doc_id").collect()
+        results.append([(r["n_known"], r["base_score"], r["score"]) for r in rows])
+    assert np.allclose(*results) and model.types > 1200
+
+
 def test_exchange_never_lowers_the_likelihood():
     rng = np.random.default_rng(3)
     pairs = rng.poisson(2.0, (32, 32)) * (1 + 9 * (np.add.outer(np.arange(32), np.arange(32)) % 2))
