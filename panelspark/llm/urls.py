@@ -66,7 +66,8 @@ def templates(urls: DataFrame) -> DataFrame:
             .filter((F.col("children") >= CHILDREN) & (F.col("children") >= PER_PAGE * F.col("all")) & (F.col("own") < RARE * F.col("all")))
             .select(*parents, "here", F.lit("*").alias("general"))
         )
-        out = out.join(rare, [*parents, "here"], "left").withColumn(
+        # written first: joined to a plain table, a branch with many paths is split over tasks or meets a broadcast
+        out = out.join(stored(rare, "rare"), [*parents, "here"], "left").withColumn(
             name, F.when(F.col("here").rlike("[0-9]"), "*").otherwise(F.coalesce("general", "here"))
         ).drop("general", "here")
         parents.append(name)
@@ -101,7 +102,7 @@ def judged(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url") -> Dat
             "host", "path", "pages", "by", labelled.alias("labelled"), F.when(F.col("by.verdict") == "allow", labelled).otherwise(0).alias("allowed")
         )
     )
-    tree = tree.join(purities(tree), ["host", "t1", "t2", "t3"])
+    tree = tree.join(stored(purities(tree), "purities"), ["host", "t1", "t2", "t3"])
     learnt = F.when(F.col("purity") < REJECT, "block").otherwise("allow")
     found = stored(
         tree.select(
