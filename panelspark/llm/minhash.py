@@ -31,14 +31,15 @@ from pyspark.sql import types as T
 
 from panelspark.llm.graph import components
 from panelspark.llm.kernels import U64, Words, fingerprints, grams, mix, text_slices
-from panelspark.llm.tables import col, fresh, in_batches
+from panelspark.llm.tables import col, fresh, in_batches, sent_if
 from panelspark.workspace import stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
 #: Texts and bytes of a block; two blocks are compared at a time.
 BLOCK_TEXTS, BLOCK_BYTES = 128, 1 << 20
-#: Up to so many texts that met another (24 bytes each) are sent to all executors; beyond it texts are shuffled.
+#: Up to so many texts that met another (24 bytes each), or rows that go (8 bytes), are sent to all executors;
+#: beyond it texts are shuffled.
 BROADCAST_TEXTS = 2_000_000
 #: Distinct shingles per matrix product of a comparison.
 COLUMNS = 4096
@@ -267,4 +268,6 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
         .agg(F.min("best").alias("best"))
     )
     keep = stored(best.select(F.col("best.row").alias(rid)), "kept")
-    return rows.join(keep, rid, "left_semi").select(*[col(c) for c in docs.columns])
+    # fewer rows go than stay, and their numbers are small, so the texts stay where they are
+    gone = stored(rows.select(col(rid)).join(keep, rid, "left_anti"), "gone")
+    return rows.join(sent_if(gone, gone.count() <= BROADCAST_TEXTS), rid, "left_anti").select(*[col(c) for c in docs.columns])

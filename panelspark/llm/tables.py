@@ -30,6 +30,11 @@ def fresh(columns: Iterable[str], *names: str) -> list[str]:
     return out
 
 
+def sent_if(df: DataFrame, few: bool) -> DataFrame:
+    """A written table of measured size, marked to go to every executor where it is small enough; else joins shuffle."""
+    return F.broadcast(df) if few else df
+
+
 def in_batches(df: DataFrame, column: str, added: list[T.StructField], work) -> DataFrame:
     """The rows with more columns: ``work(array)`` gets an Arrow array of the column and yields, for consecutive
     runs of rows, the arrays of the added columns."""
