@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.tables import col, fresh
+from panelspark.llm.tables import col, fresh, sent_if
 from panelspark.workspace import stored
 
 #: Places of a window that count. Six of nine: any two substitutions at unlucky places still leave windows that hit.
@@ -28,6 +28,8 @@ SPAN = 9
 LEAST, SHARE = 12, 0.4
 #: The test side goes to every executor up to so many hits in its tables; beyond it both sides are shuffled.
 BROADCAST_SEEDS = 500_000
+#: So do the digests (32 bytes) of contaminated texts; beyond it texts are shuffled.
+BROADCAST_TEXTS = 500_000
 #: Of the bitmap of the items' words, which is part of the plan: 64 kB.
 MAX_BITS = 1 << 19
 SEPARATORS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
@@ -134,7 +136,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str =
     """The rows that no item contaminates, with the columns they had. Equal texts share one verdict, so rows are
     left out by the 256-bit digest of their text and need no id."""
     (digest,) = fresh(docs.columns, "_digest")
-    marked = docs.withColumn(digest, F.sha2(F.coalesce(col(text_col), F.lit("")), 256))
+    marked = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce(col(text_col), F.lit("")), 256)))
     texts = marked.select(col(digest).alias("digest"), col(text_col).alias("text"))
     bad = stored(_hits(texts, benchmark, item_col, item_text).select(F.col("digest").alias(digest)).distinct(), "contaminated")
-    return marked.join(bad, digest, "left_anti").drop(digest)
+    return marked.join(sent_if(bad, bad.count() <= BROADCAST_TEXTS), digest, "left_anti").drop(digest)
