@@ -18,7 +18,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.tables import col, fresh
+from panelspark.llm.tables import col, fresh, sent_if
 from panelspark.workspace import stored
 
 #: Kinds in the order in which spans of one place are listed.
@@ -36,6 +36,8 @@ HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x
 CANDIDATE = r"(?<![0-9A-Za-z])[0-9]++(?:[-/.][0-9]++)*+(?![0-9A-Za-z])"
 LEAST_DIGITS, CONTEXT = 6, 40
 ROUNDS, SMOOTH, SUPPORT, GOOD, SURE = 3, 2.0, 3, 0.5, 0.8
+#: Up to so many added spans (some 50 bytes each) are sent to all executors; beyond it texts are shuffled.
+BROADCAST_SPANS = 500_000
 SPAN = "struct<start:int,end:int,found:string>"
 
 
@@ -165,13 +167,15 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "spans", keep
         "row", "u.start", "u.end", "u.seed", F.col("u.found").alias("instance"), F.explode("u.patterns").alias("pattern")
     )
     sure = stored(scored_patterns(each).filter(F.col("confidence") >= SURE), "sure")
-    new = (
+    new = stored(
         each.filter("NOT seed").join(sure, "pattern", "left_semi").select("row", "start", "end").distinct()
-        .groupBy("row").agg(F.collect_list(struct({"start": F.col("start"), "end": F.col("end")}, 4)).alias("new"))
+        .groupBy("row").agg(F.collect_list(struct({"start": F.col("start"), "end": F.col("end")}, 4)).alias("new")),
+        "found",
     )
+    few = (new.agg(F.sum(F.size("new"))).first()[0] or 0) <= BROADCAST_SPANS
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     both = F.array_sort(F.concat(col(rules), F.coalesce("new", none)))
-    return rows.join(new.withColumnRenamed("row", row), row, "left").select(*kept, both.alias(spans_col))
+    return rows.join(sent_if(new.withColumnRenamed("row", row), few), row, "left").select(*kept, both.alias(spans_col))
 
 
 def listing(spans: Column) -> Column:
