@@ -30,13 +30,17 @@ from panelspark.workspace import new_path, stored
 
 
 def staged_readings(readings: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Filtered readings with device, station and entity ids and a proper timestamp."""
-    kept = with_ids(by_station_lists(readings))
+    """Filtered readings with device, station and entity ids and a proper timestamp.
+
+    Readings that don't say where they stand are numbered before the map is joined, which may move them.
+    """
+    placed = readings if "seq" in readings.columns else readings.withColumn("seq", F.monotonically_increasing_id())
+    kept = with_ids(by_station_lists(placed))
     return with_reading_time(drop_present(map_to_entity(kept, mapping)))
 
 
 # Readings per chunk beyond which there are more chunks than shuffle partitions.
-ROWS_PER_CHUNK = 20_000_000
+ROWS_PER_CHUNK = 2_000_000
 
 
 def in_chunks(
@@ -110,6 +114,7 @@ def run_counter_baseline(
     root: str,
     years: Sequence[int] = COUNTER_BASELINE_YEARS,
     force_staging: bool = False,
+    factor: float = OUTLIER_FACTOR,
 ) -> dict[str, DataFrame]:
     """The whole counter run under ``root``; staged readings are reused unless staging is forced."""
     spark = readings.sparkSession
@@ -118,7 +123,7 @@ def run_counter_baseline(
         staged = in_chunks(staged_readings(readings, mapping), path=path)
     else:
         staged = spark.read.parquet(path)
-    daily = in_years(daily_table(staged), "YEAR", min(years), max(years))
+    daily = in_years(daily_table(staged, factor=factor), "YEAR", min(years), max(years))
     kept = stored(daily, "daily", f"{root.rstrip('/')}/daily")
     out = counter_baselines(kept, special, ids, districts, years)
     return {name: stored(df, name, f"{root.rstrip('/')}/counter_baseline_{name}") for name, df in out.items()}

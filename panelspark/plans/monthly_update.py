@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.functions.calendar import col
 from panelspark.levels import DISTRICT, LEVELS, STATION, Level
 from panelspark.operators.baseline import roll_up_baseline, station_baseline
 from panelspark.operators.compare import compare
@@ -17,15 +18,18 @@ from panelspark.operators.filters import in_month_list, of_entity
 from panelspark.operators.grid import dense_panel
 from panelspark.operators.months import candidate_months, missing_months, month_list, upsert_months
 from panelspark.operators.monthly import complete_months, monthly_wide
-from panelspark.operators.quality import require_enum, require_unique
+from panelspark.operators.quality import require_enum, require_special_cases, require_unique
 from panelspark.operators.rollup import roll_up
 from panelspark.sources.sinks import change_status, entity_folder, is_stored, land_months, stored_row_count
-from panelspark.sources.tables import load_stored_panel
+from panelspark.sources.tables import load_stored_panel, special_years
 from panelspark.specs import BAD_PERIODS, BASELINE_YEARS, FactSpec
 from panelspark.workspace import stored
 
 
 Keep = Callable[[str, DataFrame], DataFrame]
+# One table, or several by the names that years are routed to.
+Fact = DataFrame | dict[str, DataFrame]
+REUSED = "reusing existing baseline files"
 
 
 @dataclass(frozen=True)
@@ -42,6 +46,24 @@ class Dimensions:
     special: DataFrame
 
 
+def special_cases(config: DataFrame) -> DataFrame:
+    """Special baseline years of a configuration table; one with unusable rows is refused."""
+    require_special_cases(config)
+    return special_years(config)
+
+
+def dimension_digest(dims: Dimensions) -> DataFrame:
+    """``name, rows, digest`` of the tables that finals are made with besides panel and baseline."""
+    tables = {"districts": dims.districts, "entity_names": dims.entity_names, "district_names": dims.district_names}
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        digest = F.sum(F.xxhash64(*[col(c) for c in df.columns]).cast("decimal(20,0)"))
+        return df.agg(F.count(F.lit(1)).alias("rows"), digest.alias("digest")).select(F.lit(name).alias("name"), "rows", "digest")
+
+    parts = [one(name, df) for name, df in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def wide_long(wide: DataFrame) -> DataFrame:
     """Weekday and weekend sums of a wide monthly table as rows, where there is data."""
     c = F.col
@@ -183,8 +205,12 @@ def store_entity_panel(
     return stored(entity_panel(fact, entity, months, spec), "entity-panel", entity_folder(path, entity))
 
 
+def session_of(fact: Fact) -> SparkSession:
+    return (next(iter(fact.values())) if isinstance(fact, dict) else fact).sparkSession
+
+
 def update_station_table(
-    fact: DataFrame,
+    fact: Fact,
     path: str,
     sources: DataFrame,
     ids: DataFrame,
@@ -194,27 +220,44 @@ def update_station_table(
     full_refresh: bool = False,
     spec: FactSpec = FactSpec(),
 ) -> list[tuple[int, int]]:
-    """Bring the stored station panel up to date in place and give the months that were looked at.
+    """Bring the stored station panel up to date in place and give the months that were looked at."""
+    return refresh_station_table(fact, path, sources, ids, as_of, year, month, full_refresh, spec)[0]
+
+
+def refresh_station_table(
+    fact: Fact,
+    path: str,
+    sources: DataFrame,
+    ids: DataFrame,
+    as_of: date,
+    year: int | None,
+    month: int | None,
+    full_refresh: bool,
+    spec: FactSpec,
+) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """The same; gives the months that were looked at and those that were written.
 
     The panel is kept in year/month folders. Only folders of refreshed months are replaced, so
     the cost follows the refreshed months and not the panel's length.
     """
-    spark = fact.sparkSession
+    spark = session_of(fact)
     months = months_to_compute(
         spark, sources, load_stored_panel(spark, path), as_of, year, month, full_refresh
     )
-    if months:
-        wide, complete = fresh_wide(fact, months, spec)
-        if complete.isEmpty():  # nothing to put in its place, so the stored panel stays as it is
-            return months
-        fresh = dense_panel(wide, ids, complete)
-        if full_refresh:
-            fresh.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
-                "partitionOverwriteMode", "static"
-            ).partitionBy("year", "month").parquet(path)
-        else:
-            land_months(fresh, path)
-    return months
+    if not months:
+        return months, []
+    rows = routed_fact(fact, sources, months, spec) if isinstance(fact, dict) else fact
+    wide, complete = fresh_wide(rows, months, spec)
+    if complete.isEmpty():  # nothing to put in its place, so the stored panel stays as it is
+        return months, []
+    fresh = dense_panel(wide, ids, complete)
+    if full_refresh:
+        fresh.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy("year", "month").parquet(path)
+    else:
+        land_months(fresh, path)
+    return months, month_list(complete)
 
 
 def baseline_or_reuse(
@@ -226,16 +269,16 @@ def baseline_or_reuse(
     if force or missing:
         reason = "forced rebuild requested" if force else "missing baseline file(s)"
         return build(lambda name, df: stored(df, name, paths[name])), reason
-    return {name: spark.read.parquet(path) for name, path in paths.items()}, "reusing existing baseline files"
+    return {name: spark.read.parquet(path) for name, path in paths.items()}, REUSED
 
 
 def run_monthly_update(
-    fact: DataFrame,
+    fact: Fact,
     dims: Dimensions,
     sources: DataFrame,
     root: str,
     as_of: date,
-    baseline_fact: DataFrame | None = None,
+    baseline_fact: Fact | None = None,
     year: int | None = None,
     month: int | None = None,
     full_refresh: bool = False,
@@ -247,21 +290,35 @@ def run_monthly_update(
     """The whole monthly run under ``root``; gives each level's change status.
 
     Station panel, roll-ups, baselines (built only when needed), comparison, names, output. The
-    fact is scanned once for its months; each later step starts from a stored table.
+    fact is scanned once for its months; each later step starts from a stored table. A fact of
+    several tables is routed by ``sources``.
+
+    A run that writes no month and no baseline, and finds the names and districts of the last
+    finished run, writes no roll-up and no final table. What the last run had is in a table that
+    stays empty while a run is under way, so a run that died is followed by a whole one.
     """
-    spark = fact.sparkSession
+    spark = session_of(fact)
     base = root.rstrip("/")
-    update_station_table(
+    mark = f"{base}/finished"
+    before = spark.read.parquet(mark).collect() if is_stored(spark, mark) else []
+    digest = dimension_digest(dims)
+    stored(digest.limit(0), "finished", mark)
+    _, written = refresh_station_table(
         fact, f"{base}/ridership_station", sources, dims.ids, as_of, year, month, full_refresh, spec
     )
     station = load_stored_panel(spark, f"{base}/ridership_station")
 
     def build(keep: Keep) -> dict[str, DataFrame]:
         every = [(y, m) for y in baseline_years for m in range(1, 13)]
-        rows = in_month_list(baseline_fact if baseline_fact is not None else fact, every, spec)
+        old = fact if baseline_fact is None else baseline_fact
+        rows = routed_fact(old, sources, every, spec) if isinstance(old, dict) else in_month_list(old, every, spec)
         return baselines(stored(monthly_wide(rows, spec), "baseline-sums"), dims, baseline_years, bad_periods, keep)
 
-    base_tables, _ = baseline_or_reuse(spark, base, build, rebuild_baseline)
+    base_tables, why = baseline_or_reuse(spark, base, build, rebuild_baseline)
+    unchanged = not written and why == REUSED and {r["name"]: r for r in before} == {r["name"]: r for r in digest.collect()}
+    if unchanged and all(is_stored(spark, f"{base}/final_{name}") for name in LEVELS):
+        stored(digest, "finished", mark)
+        return {name: "unchanged" for name in LEVELS}
     panel_tables = {
         name: station
         if level is STATION
@@ -278,8 +335,9 @@ def run_monthly_update(
     status = {}
     for name, level in LEVELS.items():
         path = f"{base}/final_{name}"
-        before = stored_row_count(spark, path)
+        rows_before = stored_row_count(spark, path)
         final = final_table(panel_tables[name], base_tables[name], dims, level)
         final_order(final, level).write.mode("overwrite").parquet(path)
-        status[name] = change_status(spark, before, spark.read.parquet(path).count())
+        status[name] = change_status(spark, rows_before, spark.read.parquet(path).count())
+    stored(digest, "finished", mark)
     return status

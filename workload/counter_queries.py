@@ -9,9 +9,11 @@ from panelspark.operators import counters as K
 from panelspark.operators import filters as P
 from panelspark.operators import monthly as M
 from panelspark.plans import counter_baseline as U
-from panelspark.workspace import stored
+from panelspark.sources.readings import read_weekly_readings
+from panelspark.workspace import new_path, stored
 from workload import standins as S
 from workload.registry import query
+from workload.source_queries import WEEK, weekly_files
 
 # At these sizes the published factor removes no device, so a higher one is used.
 FACTOR = 0.9
@@ -262,3 +264,56 @@ def counter_baseline_run(spark, d):
     daily = counter_daily_table(spark, d)
     none = S.special(spark, d).filter("false")
     return U.counter_baselines(daily, none, S.station_ids(spark, d), S.districts(spark, d), (2024,))["station"]
+
+
+WEEKLY_RUN = f"""WITH {S.STATION_SQL}, raw AS (
+  SELECT event_id, user_id, date_trunc('minute', ts) AS ts, CAST(round(value * 100) AS BIGINT) AS n, event_id AS x, minute(ts) AS mi,
+         (length(event_type) * 3 + event_id % 3) % 10 + 1 AS place, event_id % 13 = 0 OR event_id % 11 = 0 AS dropped
+  FROM events WHERE {WEEK} <> '240113'),
+readings AS (SELECT * EXCLUDE (dropped), CASE WHEN place <> 4 THEN place END AS e FROM raw WHERE NOT dropped),
+counts AS (SELECT user_id, count(*) AS readings FROM readings GROUP BY user_id),
+freq AS (SELECT readings, count(*) AS devices FROM counts GROUP BY readings),
+modal AS (SELECT readings AS mode FROM freq ORDER BY devices DESC, readings LIMIT 1),
+kept AS (SELECT * FROM readings WHERE mi IN (0, 22, 30)
+  AND user_id NOT IN (SELECT user_id FROM counts CROSS JOIN modal WHERE counts.readings < mode * {FACTOR}::DOUBLE)),
+{LAG_SQL.format(source='kept')}, {DELTA_SQL},
+sums AS (SELECT e, year(d) AS y, month(d) AS m, sum(cn) AS n, sum(cx) AS x FROM delta WHERE e IS NOT NULL GROUP BY ALL),
+means AS (
+  SELECT e, m, sum(n) / 2.0::DOUBLE AS n, sum(x) / 2.0::DOUBLE AS x FROM sums WHERE y IN (2023, 2024) AND e NOT IN (3, 5) GROUP BY e, m
+  UNION ALL SELECT e, m, sum(n) / 1.0::DOUBLE, sum(x) / 1.0::DOUBLE FROM sums WHERE (e = 3 AND y = 2024) OR (e = 5 AND y = 2023) GROUP BY e, m),
+base AS (SELECT complex_id, CAST(r.m AS INTEGER) AS month, coalesce(n, 0.0::DOUBLE) AS entries, coalesce(x, 0.0::DOUBLE) AS exits
+  FROM ids CROSS JOIN range(1, 13) r(m) LEFT JOIN means ON means.e = complex_id AND means.m = r.m)
+SELECT 'station' AS level, CAST(complex_id AS VARCHAR) AS key, month, entries, exits FROM base
+UNION ALL SELECT 'puma', CAST(puma AS VARCHAR), month, {LOCAL_SUM} FROM base JOIN station USING (complex_id) WHERE puma IS NOT NULL GROUP BY puma, month
+UNION ALL SELECT 'nyc', NULL, month, {LOCAL_SUM} FROM base GROUP BY month"""
+
+
+@query("weekly_baseline_run", WEEKLY_RUN)
+def weekly_baseline_run(spark, d):
+    """The whole counter run from weekly files, with a denied station, a division out of scope and a map with gaps,
+    then a second one that has no readings and reuses the staged ones."""
+    weekly = read_weekly_readings(spark, weekly_files(spark, d), r"week=(\d{6})", ordered=True)
+    n = F.col("EXITS")
+    readings = stored(
+        weekly.withColumns(
+            {
+                "STATION": F.when(n % 13 == 0, "ORCHARD BEACH").otherwise(F.col("STATION")),
+                "DIVISION": F.when(n % 11 == 0, "SIR").otherwise(F.col("DIVISION")),
+                "TIME": F.concat(F.substring("TIME", 1, 5), F.lit(":00")),
+            }
+        ),
+        "weekly-readings",
+    )
+    names = K.with_ids(readings).select("station_id", "STATION", "LINENAME").distinct()
+    place = (F.length("STATION") * 3 + F.substring("LINENAME", 2, 1).cast("int")) % 10 + 1
+    mapping = names.select("station_id", place.cast("bigint").alias("Complex ID")).filter("`Complex ID` <> 4")
+    years = F.when(F.col("complex_id") == 3, F.array(F.lit(2024))).otherwise(F.array(F.lit(2023)))
+    special = S.station_ids(spark, d).filter("complex_id in (3, 5)").select("complex_id", years.alias("years"))
+    root = new_path(spark, "weekly-run")
+    for rows in (readings, readings.limit(0)):
+        out = U.run_counter_baseline(
+            rows, mapping, special, S.station_ids(spark, d), S.districts(spark, d), root, (2023, 2024), factor=FACTOR
+        )
+    keys = {"station": F.col("complex_id").cast("string"), "puma": F.col("puma").cast("string"), "nyc": F.lit(None).cast("string")}
+    parts = [out[k].select(F.lit(k).alias("level"), key.alias("key"), "month", "entries", "exits") for k, key in keys.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -17,7 +17,7 @@ from panelspark.sources.tables import load_stored_panel
 from panelspark.streaming.refresh import start_refresh
 from panelspark.workspace import new_path, stored
 from workload import standins as S
-from workload.panel_queries import CATEGORIES_SQL, STATION_FINAL, panel_of, wide_of
+from workload.panel_queries import CATEGORIES_SQL, CITY_FINAL, DISTRICT_FINAL, STATION_FINAL, panel_of, wide_of
 from workload.registry import query
 
 AS_OF = date(2001, 5, 20)
@@ -135,6 +135,32 @@ def full_refresh(spark, d):
     return U.refreshed_panel(S.scoped(spark, d), None, S.station_ids(spark, d), months, S.FACT)
 
 
+@query(
+    "full_refresh_stored",
+    f"""WITH {S.PANEL_SQL}, {CANDIDATES_SQL}, t AS (SELECT panel.* FROM panel SEMI JOIN candidates USING (year, month))
+SELECT * REPLACE (CAST(complex_id AS VARCHAR) AS complex_id) FROM t""",
+)
+def full_refresh_stored(spark, d):
+    """The stored panel is replaced as a whole."""
+    path = new_path(spark, "station-panel")
+    W.land_months(old_panel(spark, d), path)
+    U.update_station_table(S.scoped(spark, d), path, S.sources(spark, d), S.station_ids(spark, d), AS_OF, full_refresh=True, spec=S.FACT)
+    return load_stored_panel(spark, path)
+
+
+@query(
+    "full_refresh_without_complete_month",
+    f"WITH {S.PANEL_SQL}, {OLD_SQL} SELECT * REPLACE (CAST(complex_id AS VARCHAR) AS complex_id) FROM old_panel",
+)
+def full_refresh_without_complete_month(spark, d):
+    """Every month of the new fact lacks a day, so the stored panel stays as it is."""
+    path = new_path(spark, "station-panel")
+    W.land_months(old_panel(spark, d), path)
+    fact = S.scoped(spark, d).filter("day(l_shipdate) <> 15")
+    U.update_station_table(fact, path, S.sources(spark, d), S.station_ids(spark, d), AS_OF, full_refresh=True, spec=S.FACT)
+    return load_stored_panel(spark, path)
+
+
 @query(
     "single_entity_panel",
     f"""WITH {S.FACT_SQL}, {S.COMPLETE_SQL}, {S.GROUPS_SQL}, {S.CELLS_SQL}, own AS (SELECT DISTINCT y, m FROM fact WHERE e = 3)
@@ -277,8 +303,8 @@ def local_comparison(spark, d):
     return L.local_comparison(panels, {"station": base})["station"]
 
 
-def run_of(spark, d):
-    """A whole run into stored tables, then a second one that finds no new month."""
+def run_of(spark, d, routed=False):
+    """A whole run into stored tables, then a second one that finds no new month; the fact may be two routed tables."""
     root = new_path(spark, "run")
     as_text = F.col("complex_id").cast("string").alias("complex_id")
     dims = U.Dimensions(
@@ -286,13 +312,14 @@ def run_of(spark, d):
         S.districts(spark, d).select(as_text, "puma"),
         S.station_names(spark, d).select(as_text, "station_name"),
         S.district_names(spark, d),
-        S.special(spark, d).select(as_text, "years"),
+        U.special_cases(S.special_config(spark, d)),
     )
     fact = S.scoped(spark, d).withColumn("l_suppkey", F.col("l_suppkey").cast("string"))
     for _ in range(2):
         U.run_monthly_update(
-            fact, dims, S.sources(spark, d), root, AS_OF, baseline_years=S.YEARS, bad_periods=S.BAD, spec=S.FACT
-        )
+            {"early": fact, "late": fact} if routed else fact, dims, S.sources(spark, d), root, AS_OF, baseline_fact=fact,
+            baseline_years=S.YEARS, bad_periods=S.BAD, spec=S.FACT,
+        )
     return root
 
 
@@ -306,3 +333,20 @@ FROM final LEFT JOIN (SELECT * FROM station WHERE named) s USING (complex_id) WH
 )
 def monthly_update_run(spark, d):
     return spark.read.parquet(f"{run_of(spark, d)}/final_{STATION.name}")
+
+
+FINAL_COLUMNS = "year, month, period, day_group, ridership, baseline, baseline_comparison, omny_pct"
+
+
+@query(
+    "monthly_levels_run",
+    f"""SELECT 'puma' AS level, CAST(puma AS VARCHAR) AS key, {FINAL_COLUMNS} FROM (WITH {DISTRICT_FINAL} SELECT * FROM final WHERE {AS_OF_SQL})
+UNION ALL SELECT 'nyc', NULL, {FINAL_COLUMNS} FROM (WITH {CITY_FINAL} SELECT * FROM final WHERE {AS_OF_SQL})""",
+)
+def monthly_levels_run(spark, d):
+    """District and city tables of a whole run over routed tables."""
+    root = run_of(spark, d, routed=True)
+    columns = FINAL_COLUMNS.split(", ")
+    puma = spark.read.parquet(f"{root}/final_puma").select(F.lit("puma").alias("level"), F.col("puma").cast("string").alias("key"), *columns)
+    city = spark.read.parquet(f"{root}/final_nyc")
+    return puma.unionByName(city.select(F.lit("nyc").alias("level"), F.lit(None).cast("string").alias("key"), *columns))
