@@ -1,20 +1,19 @@
-"""Benchmark decontamination by spaced seeds, in DataFrame functions only.
-
-A mask looks at some of the words in a window and ignores the others, so a substituted word at an ignored
-place doesn't hide the window. Masks slide over test items and texts; equal hashes are hits. Around each hit
-text and item are laid side by side and the best stretch is found: a matching word counts 1, another one -2.
-A text is contaminated by an item if the stretch counts ``LEAST`` or, for shorter items, ``SHARE`` of the
-item's words, which allows about a fifth of them to be substituted.
-
-Words are runs of letters and digits in lower case; separators are white space and ASCII punctuation. Items
-of fewer words than ``SPAN`` can't be matched. Defined cases: null and empty texts hold nothing; repeated items
-and rows each count; a null id is kept as a row's id; the tables may have further columns of any name.
+"""Benchmark decontamination by seeds of three words, in DataFrame functions only.
+
+Seeds slide over test items and texts; equal hashes are hits. Around each hit text and item are laid side by side
+and the best stretch is found: a matching word counts 1, another one -2. A text is contaminated by an item if the
+stretch counts ``LEAST`` or, for shorter items, ``SHARE`` of the item's words, which allows a fifth of them to be
+substituted. No overlap that this accepts is without a hit: where at most two words in a row match, each run adds at
+most 2 and the word after it takes 2 away, so a stretch that counts 3 holds three matching words in a row.
+
+Words are runs of letters and digits in lower case; separators are white space and ASCII punctuation. Items of fewer
+words than ``WHOLE`` contaminate a text that holds all their words in a row, even if it is a single word. Defined
+cases: null and empty texts and items hold nothing; repeated items and rows each count; a null id is kept as a row's
+id; the tables may have further columns of any name.
 """
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +21,17 @@ from pyspark.sql import functions as F
 from panelspark.llm.tables import col, fresh, sent_if
 from panelspark.workspace import stored
 
-#: Places of a window that count. Six of nine: any two substitutions at unlucky places still leave windows that hit.
-MASKS = ((0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 7, 8))
-SPAN = 9
+#: Places of a window that count, and how long it is. A stretch that counts ``SPAN`` holds such a window.
+MASKS = ((0, 1, 2),)
+SPAN = 3
+#: Items of so many words may differ from the text (they need a stretch of 4 at least), shorter ones must be there whole.
+WHOLE = 8
 LEAST, SHARE = 12, 0.4
 #: The test side goes to every executor up to so many hits in its tables; beyond it both sides are shuffled.
 BROADCAST_SEEDS = 500_000
 #: So do the digests (32 bytes) of contaminated texts; beyond it texts are shuffled.
 BROADCAST_TEXTS = 500_000
-#: Of the bitmap of the items' words, which is part of the plan: 64 kB.
+#: Of the bitmap of the items' seeds, which is part of the plan: 64 kB.
 MAX_BITS = 1 << 19
 SEPARATORS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 
@@ -40,27 +41,36 @@ def word_hashes(text: Column) -> Column:
     return F.transform(split, lambda w: F.xxhash64(w))
 
 
-def seeds(words: Column, mask: tuple[int, ...], known: Column | None = None) -> Column:
-    """Place and hash of every window; of those only whose counted words may be known, where that is given.
-    Null for a text that is shorter than a window."""
-    last = F.size(words) - SPAN
-    at = F.when(last >= 0, F.sequence(F.lit(0), F.when(last >= 0, last)))
-    if known is not None:
-        at = F.filter(at, lambda i: functools.reduce(Column.__and__, [F.get(known, i + k) for k in mask]))
-    return F.transform(
-        at, lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(words, i + k) for k in mask], F.lit(mask[1])).alias("seed"))
-    )
+def seed(words: Column, at: Column, span: int) -> Column:
+    return F.xxhash64(*[F.get(words, at + k) for k in range(span)], F.lit(span))
+
+
+def places(words: Column, span: int) -> Column:
+    """Where windows of so many words begin; empty for a text that is shorter."""
+    last = F.size(words) - span
+    return F.when(last >= 0, F.sequence(F.lit(0), F.when(last >= 0, last))).otherwise(F.array().cast("array<int>"))
+
 
+def planted_seeds(words: Column) -> Column:
+    """Place and hash of the seeds of an item; one where it must be there whole."""
 
-def word_filter(items: DataFrame) -> tuple[Column, int]:
-    """A bitmap of the words of the items as a constant, and how many bits of a hash it looks at. It lets through
-    all their words and, of others, one in 64 (more where the items have over ``MAX_BITS`` / 64 words)."""
-    words = items.select(F.explode("item_words").alias("word"))
-    n = words.agg(F.approx_count_distinct("word")).first()[0]
+    def of(span: int, at: Column) -> Column:
+        return F.transform(at, lambda i: F.struct(i.alias("at"), seed(words, i, span).alias("seed")))
+
+    out = F.when(F.size(words) >= WHOLE, of(SPAN, places(words, SPAN)))
+    for span in range(1, SPAN):
+        out = out.when(F.size(words) == span, of(span, F.array(F.lit(0))))
+    return out.otherwise(of(SPAN, F.array(F.lit(0))))
+
+
+def seed_filter(planted: DataFrame) -> tuple[Column, int]:
+    """A bitmap of the seeds of the items as a constant, and how many bits of a hash it looks at. It lets through
+    all their seeds and, of others, one in 64 (more where the items have over ``MAX_BITS`` / 64 seeds)."""
+    n = planted.agg(F.approx_count_distinct("seed")).first()[0]
     bits = min(MAX_BITS, max(1 << 14, 1 << (64 * int(n)).bit_length()))
-    place = F.col("word").bitwiseAND(F.lit(bits - 1))
+    place = F.col("seed").bitwiseAND(F.lit(bits - 1))
     rows = (
-        words.select(F.shiftright(place, 6).cast("int").alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+        planted.select(F.shiftright(place, 6).cast("int").alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
         .groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
     )
     packed = np.zeros(bits // 64, np.int64)  # at most MAX_BITS / 64 rows come
@@ -69,12 +79,21 @@ def word_filter(items: DataFrame) -> tuple[Column, int]:
     return F.lit(packed), bits
 
 
-def may_be_known(words: Column, bitmap: Column, bits: int) -> Column:
-    def known(word: Column) -> Column:
-        place = word.bitwiseAND(F.lit(bits - 1))
-        return F.getbit(F.get(bitmap, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+def may_be_planted(hashed: Column, bitmap: Column, bits: int) -> Column:
+    place = hashed.bitwiseAND(F.lit(bits - 1))
+    return F.getbit(F.get(bitmap, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
 
-    return F.transform(words, known)
+def around(words: Column, span: int, reach: int, bitmap: Column, bits: int) -> Column:
+    """Hash, place and surroundings of every window that may be a seed of an item; ``reach`` is the longest item's words."""
+    maybe = F.filter(places(words, span), lambda i: may_be_planted(seed(words, i, span), bitmap, bits))
+
+    def near(i: Column) -> Column:
+        begin = F.greatest(i - reach, F.lit(0))
+        part = F.slice(words, begin + 1, F.lit(2 * reach))
+        return F.struct((i - begin).alias("place"), seed(words, i, span).alias("seed"), part.alias("words"))
+
+    return F.transform(maybe, near)
 
 
 def stretch(words: Column, item: Column, shift: Column) -> Column:
@@ -105,29 +124,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def _hits(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str) -> DataFrame:
     """A row for each place where an item contaminates a text; ``docs`` has a column ``text``, the others are kept."""
     items = benchmark.select(col(item_col).alias("item"), word_hashes(col(item_text)).alias("item_words"))
-    items = items.filter(F.size("item_words") >= SPAN)
+    items = items.filter(F.size("item_words") > 0)
     planted = stored(
-        items.select("item", "item_words", F.explode(F.concat(*[seeds(F.col("item_words"), m) for m in MASKS])).alias("s")).select(
-            "item", "item_words", "s.*"
-        ),
+        items.select("item", "item_words", F.explode(planted_seeds(F.col("item_words"))).alias("s")).select("item", "item_words", "s.*"),
         "seeds",
     )
-    small = planted.count() <= BROADCAST_SEEDS
-    bitmap, bits = word_filter(planted.select("item", "item_words").distinct())
+    sizes = planted.agg(
+        F.count("*").alias("all"), F.max(F.size("item_words")).alias("longest"),
+        *[F.count_if(F.size("item_words") == k).alias(f"of_{k}") for k in range(1, SPAN)],
+    ).first()
+    small, reach = sizes["all"] <= BROADCAST_SEEDS, int(sizes["longest"] or 0)
+    spans = [k for k in range(1, SPAN) if sizes[f"of_{k}"]] + [SPAN]
+    bitmap, bits = seed_filter(planted)
     kept = [c for c in docs.columns if c != "text"]
     words = docs.select(*kept, word_hashes(F.col("text")).alias("words"))
-    words = words.withColumn("known", may_be_known(F.col("words"), bitmap, bits))
-    found = F.concat(*[F.coalesce(seeds(F.col("words"), m, F.col("known")), F.array().cast("array<struct<at:int,seed:bigint>>")) for m in MASKS])
+    found = F.concat(*[around(F.col("words"), k, reach, bitmap, bits) for k in spans])
     # not the plain explode(): for that one the optimizer adds a filter that computes all seeds once more
-    placed = words.select(*kept, "words", F.explode_outer(found).alias("s")).select(
-        *kept, "words", F.col("s.at").alias("place"), "s.seed"
-    )
+    placed = words.select(*kept, F.explode_outer(found).alias("s")).select(*kept, "s.*")
     hits = placed.join(F.broadcast(planted) if small else planted, "seed")
-    shift = F.col("place") - F.col("at")
+    shift, n = F.col("place") - F.col("at"), F.col("n_item")
+    least = F.when(n < WHOLE, n).otherwise(F.least(F.lit(LEAST), F.ceil(n * SHARE)))
     return (
         hits.withColumn("n_item", F.size("item_words"))
         .withColumn("found", stretch(F.col("words"), F.col("item_words"), shift))
-        .filter(F.col("found.best") >= F.least(F.lit(LEAST), F.ceil(F.col("n_item") * SHARE)))
+        .filter(F.col("found.best") >= least)
         .select(*kept, "item", F.col("found.best").alias("score"), F.col("found.same").alias("n_same"), "n_item")
     )
 

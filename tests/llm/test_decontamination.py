@@ -96,3 +96,33 @@ def test_null_ids_and_repeated_rows(spark):
     docs = spark.createDataFrame([(None, "x a b c d e f g h i j k l"), (None, "x a b c d e f g h i j k l")], "doc_id long, text string")
     assert [tuple(r) for r in dec.leaks(docs, bench).collect()] == [(None, 1, 12, 12, 12)]
     assert dec.without_contaminated(docs, bench).count() == 0
+
+
+def test_what_verification_accepts_is_found_at_every_length(spark):
+    # whatever places are substituted, up to a fifth of the words: against the stretch alone, without any seed
+    rng = random.Random(6)
+    texts, bench = [], []
+    for n in range(8, 32):
+        item = [f"i{n}x{k}" for k in range(n)]
+        bench.append((n, " ".join(item)))
+        spread = [set(range(p, n, q)) for q in (3, 4, 5) for p in range(q)]
+        for gone in [set(rng.sample(range(n), n // 5)) for _ in range(20)] + spread:
+            texts.append(" ".join("other" if k in gone else w for k, w in enumerate(item)))
+    items = [(b, words(t)) for b, t in bench]
+    expected = set()
+    for d, t in enumerate(texts):
+        ws = words(t)
+        for b, item in items:
+            if any(best(ws, item, shift)[0] >= min(dec.LEAST, -(-len(item) * 2 // 5)) for shift in ([0] if len(ws) == len(item) else [])):
+                expected.add((d, b))
+    got = dec.leaks(documents(spark, texts), spark.createDataFrame(bench, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == expected
+    assert len(expected) >= 24 * 20
+
+
+def test_short_items_are_found_whole(spark):
+    bench = spark.createDataFrame([(n, " ".join(f"s{n}x{k}" for k in range(n))) for n in range(1, 8)], "item_id long, text string")
+    whole = [f"so {t} it is" for (_, t) in bench.collect()]
+    cut = [f"so {t.rsplit(' ', 1)[0]} other" for (n, t) in bench.collect() if n > 1]
+    got = {(r["doc_id"], r["item_id"], r["score"], r["n_item"]) for r in dec.leaks(documents(spark, whole + cut), bench).collect()}
+    assert got == {(n - 1, n, n, n) for n in range(1, 8)}
