@@ -4,8 +4,10 @@ Four kinds are found by rules (``RULES``). Their spans are the seeds. What stand
 patterns: the word before with the shape of the span, the word after with the shape, the two words. A
 pattern also meets other runs of digits that no rule took. Over the graph of patterns and instances scores go
 round: a pattern is as good as the mean score of its instances, smoothed; an instance that is no seed has the
-combined score of its good patterns. Patterns that end above ``SURE`` mark the unseen instances they meet as kind
-``id``. Spans of the rules stay as they are.
+combined score of its good patterns. An instance whose score reaches ``SURE`` becomes a seed itself, in all its
+patterns, so identifiers may be found over any number of steps. Rounds end when no pattern or instance is added.
+Patterns that end above ``SURE`` mark the unseen instances they meet as kind ``id``. Spans of the rules stay as they
+are.
 
 Defined cases: null and empty texts have no spans; each row counts by itself, also where rows repeat; a pattern
 needs ``SUPPORT`` different seeds; the input may have further columns of any name.
@@ -35,7 +37,9 @@ HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x
 #: Runs of digits, whole or grouped, that stand by themselves and may be identifiers: at least six digits.
 CANDIDATE = r"(?<![0-9A-Za-z])[0-9]++(?:[-/.][0-9]++)*+(?![0-9A-Za-z])"
 LEAST_DIGITS, CONTEXT = 6, 40
-ROUNDS, SMOOTH, SUPPORT, GOOD, SURE = 3, 2.0, 3, 0.5, 0.8
+SMOOTH, SUPPORT, GOOD, SURE = 2.0, 3, 0.5, 0.8
+#: Rounds go on while a score still rises by this much, even if it has added nothing yet.
+RISE = 0.001
 #: Up to so many added spans (some 50 bytes each) are sent to all executors; beyond it texts are shuffled.
 BROADCAST_SPANS = 500_000
 SPAN = "struct<start:int,end:int,found:string>"
@@ -120,25 +124,43 @@ def patterns(text: Column, span: Column) -> Column:
 def scored_patterns(uses: DataFrame) -> DataFrame:
     """``pattern, confidence`` from ``pattern, instance, seed``, one row for each pair."""
     edges = stored(uses.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    scores = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
-    for _ in range(ROUNDS):
+    # what meets fewer than SUPPORT instances can't have as many seeds, whatever is found later
+    size = stored(
+        edges.groupBy("pattern").agg(F.count("*").alias("n"), F.sum(F.col("seed").cast("int")).alias("rule_seeds"))
+        .filter(F.col("n") >= SUPPORT),
+        "sizes",
+    )
+    loose = stored(edges.filter("NOT seed").join(size, "pattern", "left_semi").select("pattern", "instance"), "loose")
+    # an instance that a rule takes at one place is a seed at the others too
+    scores = (
+        loose.join(edges.filter("seed").select("instance").distinct(), "instance", "left_semi").select("instance").distinct()
+        .select("instance", F.lit(1.0).alias("score"), F.lit(1.0).alias("rise"))
+    )
+    reached = None
+    while True:
         held = stored(scores, "scores")
+        found = held.agg(F.count_if(F.col("score") == 1), F.max("rise")).first()
+        gained = loose.join(held, "instance").groupBy("pattern").agg(
+            F.sum("score").alias("more"), F.count_if(F.col("score") == 1).alias("new_seeds")
+        )
         confidence = stored(
-            edges.join(held, "instance")
-            .groupBy("pattern")
-            .agg(
-                (F.sum("score") / (F.count("*") + SMOOTH)).alias("confidence"), F.sum(F.col("seed").cast("int")).alias("seeds")
-            )
-            .filter(F.col("seeds") >= SUPPORT)
-            .select("pattern", "confidence"),
+            size.join(gained, "pattern", "left")
+            .filter(F.col("rule_seeds") + F.coalesce("new_seeds", F.lit(0)) >= SUPPORT)
+            .select("pattern", ((F.col("rule_seeds") + F.coalesce("more", F.lit(0.0))) / (F.col("n") + SMOOTH)).alias("confidence")),
             "patterns",
         )
+        ranks = confidence.agg(F.count_if(F.col("confidence") >= GOOD), F.count_if(F.col("confidence") >= SURE)).first()
+        now = (found[0], *ranks)
+        if now == reached and (found[1] or 0.0) < RISE:
+            return confidence
+        reached = now
         seen = (
-            edges.filter("NOT seed").join(confidence.filter(F.col("confidence") >= GOOD), "pattern")
+            loose.join(confidence.filter(F.col("confidence") >= GOOD), "pattern")
             .groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("new"))
         )
-        scores = held.join(seen, "instance", "left").select("instance", F.greatest("score", F.coalesce("new", F.lit(0.0))).alias("score"))
-    return confidence
+        old, new = F.coalesce("score", F.lit(0.0)), F.when(F.col("new") >= SURE, 1.0).otherwise(F.coalesce("new", F.lit(0.0)))
+        best = F.greatest(old, new)
+        scores = held.join(seen, "instance", "full").select("instance", best.alias("score"), (best - old).alias("rise"))
 
 
 def find(docs: DataFrame, text_col: str = "text", spans_col: str = "spans", keep: list[str] | None = None) -> DataFrame:

@@ -79,3 +79,18 @@ def test_empty_table_and_repeated_rows(spark):
     docs = documents(spark, ["me@x.yz"])
     assert personal.find(docs.limit(0)).count() == 0
     assert [r["doc_id"] for r in personal.find(docs.union(docs)).collect()] == [0, 0]
+
+
+def test_discovered_identifiers_are_seeds_of_further_patterns(spark):
+    seeds = [t for t in (f"card no: 4{i:03d} 0000 0000 0000 end" for i in range(300)) if brute(t)]
+    first = [f"card no: 70000{i} end" for i in range(10)]
+    second = [f"member ref: 70000{i} done" for i in range(10)]
+    third = [f"staff key: 71234{i} here" for i in range(10)]
+    texts = [*seeds, *first, *second, *[f"member ref: 71234{i} done" for i in range(2)], *third, "staff key: 719999 here", "page 719998 of"]
+    rows = personal.find(documents(spark, texts)).select("doc_id", personal.listing(F.col("spans")).alias("l")).collect()
+    got = {r["doc_id"]: r["l"] for r in rows}
+    n = len(seeds)
+    assert [got[i] for i in range(n)] == [brute(t) for t in seeds]
+    assert {got[i] for i in range(n, n + 10)} == {"id:9:15"}
+    assert {got[i] for i in range(n + 10, n + 22)} == {"id:12:18"}  # a second step: no rule takes anything there
+    assert {got[i] for i in range(n + 22, n + 34)} == {""}  # two of eleven are too few to trust the third
