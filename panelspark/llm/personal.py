@@ -2,7 +2,7 @@
 
 Four kinds are found by rules (``RULES``). Their spans are the seeds. What stands around them makes lexical
 patterns: the word before with the shape of the span, the word after with the shape, the two words. A
-pattern also meets other runs of digits that no rule took. Over the graph of patterns and instances scores go
+pattern also meets other tokens with a digit, and runs of tokens, that no rule took. Over the graph of patterns and instances scores go
 round: a pattern is as good as the mean score of its instances, smoothed; an instance that is no seed has the
 combined score of its good patterns. An instance whose score reaches ``SURE`` becomes a seed itself, in all its
 patterns, so identifiers may be found over any number of steps. Rounds end when no pattern or instance is added.
@@ -10,7 +10,7 @@ Patterns that end above ``SURE`` mark the unseen instances they meet as kind ``i
 are.
 
 Defined cases: null and empty texts have no spans; each row counts by itself, also where rows repeat; a pattern
-needs ``SUPPORT`` different seeds; the input may have further columns of any name.
+needs ``SUPPORT`` different seeds; one or two characters are no identifier; the input may have further columns of any name.
 """
 
 from __future__ import annotations
@@ -34,9 +34,16 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 RULES = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 #: What each rule can't do without, tested first.
 HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
-#: Runs of digits, whole or grouped, that stand by themselves and may be identifiers: at least six digits.
-CANDIDATE = r"(?<![0-9A-Za-z])[0-9]++(?:[-/.][0-9]++)*+(?![0-9A-Za-z])"
-LEAST_DIGITS, CONTEXT = 6, 40
+#: What may be an identifier: a token of letters and digits, whole or in groups, that holds a digit; and a run of such
+#: tokens, or groups of up to four capitals between them, with single spaces. Confidence decides, not the form.
+_PART = r"[A-Za-z0-9]++(?:[-/.][A-Za-z0-9]++)*+"
+_ALONE = r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][-/.])"
+TOKEN = _ALONE + r"(?=[A-Za-z./-]*+[0-9])" + _PART
+_WITH_DIGIT = r"(?=[A-Za-z./-]*+[0-9])" + _PART
+#: Up to so many tokens follow the first one of a run.
+MORE = 8
+RUN = _ALONE + _WITH_DIGIT + r"(?:\x20(?:[A-Z]{1,4}\x20)?" + _WITH_DIGIT + "){1,%d}" % MORE
+LEAST_CHARACTERS, CONTEXT = 3, 40
 SMOOTH, SUPPORT, GOOD, SURE = 2.0, 3, 0.5, 0.8
 #: Rounds go on while a score still rises by this much, even if it has added nothing yet.
 RISE = 0.001
@@ -175,8 +182,9 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "spans", keep
     based = based.select("*", *[c.alias(a) for c, a in zip(rule_spans(t), arrays)])
     taken = F.concat(*[col(a) for a in arrays])
     loose = F.filter(
-        matches(t, CANDIDATE, r"[0-9]"),
-        lambda s: (F.length(digits(s["found"])) >= LEAST_DIGITS)
+        F.concat(matches(t, TOKEN, "[0-9]"), matches(t, RUN, r"[0-9][A-Za-z./-]*\x20")),
+        lambda s: (F.length(F.regexp_replace(s["found"], "[^A-Za-z0-9]", "")) >= LEAST_CHARACTERS)
+        & s["found"].rlike("[0-9]")
         & ~F.exists(taken, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
     use = lambda seed: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found"), patterns(t, s).alias("patterns"), F.lit(seed).alias("seed"))

@@ -94,3 +94,14 @@ def test_discovered_identifiers_are_seeds_of_further_patterns(spark):
     assert {got[i] for i in range(n, n + 10)} == {"id:9:15"}
     assert {got[i] for i in range(n + 10, n + 22)} == {"id:12:18"}  # a second step: no rule takes anything there
     assert {got[i] for i in range(n + 22, n + 34)} == {""}  # two of eleven are too few to trust the third
+
+
+def test_identifiers_of_any_form_are_found_in_sure_contexts(spark):
+    seeds = [t for t in (f"card no: 4{i:03d} 0000 0000 0000 end" for i in range(300)) if brute(t)]
+    forms = ["C01X00T47", "GB82WEST12345698765432", "AB123456", "EMP-20418", "12 34 56 78", "GB82 WEST 1234 5698 7654 32", "77/B.4"]
+    texts = [*seeds, *[f"card no: {f} end" for f in forms], *[f"version {f} of" for f in forms], "card no: none end"]
+    rows = personal.find(documents(spark, texts)).select("doc_id", personal.listing(F.col("spans")).alias("l")).collect()
+    got = {r["doc_id"]: r["l"] for r in rows}
+    n = len(seeds)
+    assert [got[n + i] for i in range(len(forms))] == [f"id:9:{9 + len(f)}" for f in forms]
+    assert {got[i] for i in range(n + len(forms), len(texts))} == {""}
