@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import brown, decontamination, minhash, personal, pieces, secret_scan, sharding, toxicity, urls, vectors
+from panelspark.llm import balls, brown, decontamination, gnat, merkle, minhash, personal, pieces, secret_scan, sharding, toxicity, twins, urls, vectors
 from panelspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +110,28 @@ def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "end", F.sha2("found", 256).alias("found_sha256"), "label", F.round("score", 6).alias("score"),
         (F.col("score") >= 0.5).alias("secret"),
     )
+
+
+@query
+def op13_merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    found = merkle.manifest(docs, others={"tampered": ({"text": lower}, crc(5) == 0)})
+    folded = merkle.fold(F.col("tampered"), F.col("up"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("up")), 256).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = gnat.coded(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("codebooks_sha256", F.lit(gnat.digest(books)))
+
+
+@query
+def op11_ball_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balls.top_products(table(spark, sf_dir, "embeddings"), every=50)
+
+
+SQL |= {"op11_ball_trees": twins.OP11, "op12_gnat_codes": twins.OP12, "op13_merkle_intervals": twins.OP13}
