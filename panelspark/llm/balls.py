@@ -5,9 +5,9 @@ a pivot's vectors are dealt by a hash of the row over as many shards as it takes
 often fills many shards and not one task. A ball tree halves a shard along the axis between two far vectors until
 leaves are small; a node keeps the centre and radius of its vectors and their smallest id.
 
-No vector of a ball has a larger inner product with q than q.centre + |q| radius, rounded up. A query opens nodes in
-the order of that bound and stops where it is below its k-th score so far, or equal to it with no smaller id in the
-node. Queries go in blocks: first to a shard of their own pivot, which gives a k-th score; this score goes with them
+No vector of a ball has a larger inner product with q than q.centre + |q| radius, rounded up. A query follows the
+highest bound to a first leaf, then takes nodes in the order of their bound and leaves out those whose bound is below
+its k-th score so far, or equal to it with no smaller id in the node. Queries go in blocks: first to a shard of their own pivot, which gives a k-th score; this score goes with them
 to all other shards, and shards whose bound can't reach it are not visited.
 
 The pivots come from at most ``SAMPLE`` vectors, those of the smallest hash; they say where a vector is stored and
@@ -120,31 +120,44 @@ class Best:
 
 
 def search(q: np.ndarray, own: np.ndarray, tree: dict[str, np.ndarray], v: np.ndarray, ids: np.ndarray, best: Best) -> int:
-    """Best first through one shard, all queries side by side: in each step every query opens the node of its
-    highest bound. Gives the number of inner products."""
-    bound = bounds(q, tree["centre"], tree["radius"])
-    front = np.full(bound.shape, -np.inf)
-    front[:, 0] = bound[:, 0]
-    rows, done = np.arange(len(q)), 0
-    while len(rows):
-        node = front[rows].argmax(1)
-        top = front[rows, node]
-        on = (top > -np.inf) & best.reached(rows, top, np.full(len(rows), -(2**63)))
-        rows, node = rows[on], node[on]  # a query whose highest bound can't reach its k-th score is done
-        front[rows, node] = -np.inf
-        useful = best.reached(rows, bound[rows, node], tree["least"][node])
-        some, at = rows[useful], node[useful]
-        inner = tree["left"][at] >= 0
-        for side in ("left", "right"):
-            child = tree[side][at[inner]]
-            front[some[inner], child] = np.minimum(bound[some[inner], child], bound[some[inner], at[inner]])
-        for leaf in np.unique(at[~inner]):
-            who = some[~inner][at[~inner] == leaf]
-            span = slice(tree["lo"][leaf], tree["hi"][leaf])
-            score, names = products(q[who], v[span]), np.broadcast_to(ids[span], (len(who), tree["hi"][leaf] - tree["lo"][leaf]))
-            done += score.size
-            mine = names == own[who][:, None]
-            best.take(who, np.where(mine, NONE, score), np.where(mine, NO_ID, names))
+    """Branch and bound through one shard, all queries side by side. Gives the number of inner products.
+
+    Each query first goes down to a leaf, always to the child of the higher bound. Then nodes are opened from the
+    root on where their bound still reaches the query's k-th score, and the leaves that stay are taken in the order
+    of their highest bound, each by the queries that it can still serve by then.
+    """
+    bound, every = bounds(q, tree["centre"], tree["radius"]), np.arange(len(q))
+    left, right, least = tree["left"], tree["right"], tree["least"]
+    nodes, done = np.flatnonzero(left >= 0), 0
+    for node in nodes:  # parents come before their children
+        for child in (left[node], right[node]):
+            np.minimum(bound[:, child], bound[:, node], out=bound[:, child])
+
+    def scan(leaf: int, who: np.ndarray) -> int:
+        span = slice(tree["lo"][leaf], tree["hi"][leaf])
+        score, names = products(q[who], v[span]), np.broadcast_to(ids[span], (len(who), tree["hi"][leaf] - tree["lo"][leaf]))
+        mine = names == own[who][:, None]
+        best.take(who, np.where(mine, NONE, score), np.where(mine, NO_ID, names))
+        return score.size
+
+    at = np.zeros(len(q), np.int64)
+    while (left[at] >= 0).any():
+        better = np.where(bound[every, left[at]] >= bound[every, right[at]], left[at], right[at])
+        at = np.where(left[at] >= 0, better, at)
+    for leaf in np.unique(at):
+        who = np.flatnonzero(at == leaf)
+        done += scan(leaf, who[best.reached(who, bound[who, leaf], least[leaf])])
+    is_open = np.ones(bound.shape, bool)
+    for node in nodes:
+        on = is_open[:, node] & best.reached(every, bound[:, node], least[node])
+        is_open[:, left[node]] = is_open[:, right[node]] = on
+    is_open[every, at] = False
+    leaves = np.flatnonzero((left < 0) & is_open.any(0))
+    for leaf in leaves[np.argsort(-np.where(is_open, bound, -np.inf)[:, leaves].max(0), kind="stable")]:
+        who = np.flatnonzero(is_open[:, leaf])
+        who = who[best.reached(who, bound[who, leaf], least[leaf])]
+        if len(who):
+            done += scan(leaf, who)
     return done
 
 
