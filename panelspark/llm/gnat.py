@@ -33,14 +33,17 @@ from panelspark.workspace import stored
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Split points of a node; nodes of at most ``LEAF`` entries are compared whole.
-SPLITS, LEAF = 8, 8
+SPLITS, LEAF = 8, 32
 #: Far more than the rounding of a square root and a sum of doubles.
 _SLACK = 1e-12
 _FAR = np.iinfo(np.int64).max
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of rows, in whole numbers."""
+    """Squared distances of rows, in whole numbers; by doubles where these hold every term exactly."""
+    if 4 * a.shape[1] * float(max(np.abs(a).max(initial=0), np.abs(b).max(initial=0))) ** 2 < 2**53:
+        x, y = a.astype(float), b.astype(float)
+        return ((x * x).sum(1)[:, None] - 2 * (x @ y.T) + (y * y).sum(1)).astype(np.int64)
     out = np.zeros((len(a), len(b)), np.int64)
     for d in range(a.shape[1]):
         step = a[:, d, None] - b[None, :, d]
