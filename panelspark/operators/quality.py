@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +50,25 @@ def require_enum(df: DataFrame, column: str, label: str, allowed: Sequence[str]
         raise QualityError(f"{label}: {column} breaks {sorted(allowed)}: {[tuple(r) for r in found]}")
 
 
+def require_day_group_keys(tables: Sequence[tuple[DataFrame, Sequence[str], str]]) -> None:
+    """``require_enum`` of the day group and ``require_unique`` of the keys, which hold it, for (table, keys, label)s.
+
+    One job over all tables, one aggregate each; the table that breaks a rule is looked at again to say how.
+    """
+    dg = F.col("day_group")
+    seen = [F.count_if(dg == g).alias(f"n{i}") for i, g in enumerate(DAY_GROUPS)]
+    wrong = F.count_if(dg.isNull() | ~dg.isin(*DAY_GROUPS) | (F.col("_n") > 1)).alias("wrong")
+    parts = [
+        df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")).agg(wrong, *seen).select(F.lit(i).alias("i"), "*")
+        for i, (df, keys, _) in enumerate(tables)
+    ]
+    for r in functools.reduce(DataFrame.unionByName, parts).collect() if parts else []:
+        if r["wrong"] or not all(r[f"n{k}"] for k in range(len(DAY_GROUPS))):
+            df, keys, label = tables[r["i"]]
+            require_enum(df, "day_group", label)
+            require_unique(df, keys, label)
+
+
 def negative_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(col(column) < 0).alias("negative"))
 

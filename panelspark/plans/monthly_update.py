@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.functions.calendar import col
@@ -18,12 +19,26 @@ from panelspark.operators.filters import in_month_list, of_entity
 from panelspark.operators.grid import dense_panel
 from panelspark.operators.months import candidate_months, missing_months, month_list, upsert_months
 from panelspark.operators.monthly import complete_months, monthly_wide
-from panelspark.operators.quality import require_enum, require_special_cases, require_unique
+from panelspark.operators.quality import require_day_group_keys, require_special_cases
 from panelspark.operators.rollup import roll_up
-from panelspark.sources.sinks import change_status, entity_folder, is_stored, land_months, stored_row_count
+from panelspark.schemas import STATION_PANEL
+from panelspark.sources.publishing import (
+    MONTHS,
+    Version,
+    current,
+    forget,
+    month_parts,
+    months_of,
+    propagate,
+    publish,
+    read_published,
+    read_version,
+    stale_parts,
+)
+from panelspark.sources.sinks import change_status, entity_folder, is_stored
 from panelspark.sources.tables import load_stored_panel, special_years
 from panelspark.specs import BAD_PERIODS, BASELINE_YEARS, FactSpec
-from panelspark.workspace import stored
+from panelspark.workspace import stored, together
 
 
 Keep = Callable[[str, DataFrame], DataFrame]
@@ -113,11 +128,21 @@ def baselines(
     }
 
 
-def final_order(df: DataFrame, level: Level) -> DataFrame:
-    """Published order: year, month, name or district code as text, then id and day group."""
+def sort_keys(level: Level) -> tuple[str | None, tuple[str, ...]]:
+    """Name or district code as text, and what settles ties: id and day group."""
     text = {"station": level.label, "puma": level.key}.get(level.name)
-    ties = tuple(k for k in (level.key, "day_group") if k and k != text)
-    return published_order(df, text, ties)
+    return text, tuple(k for k in (level.key, "day_group") if k and k != text)
+
+
+def final_order(df: DataFrame, level: Level) -> DataFrame:
+    """Published order: year, month, then ``sort_keys``."""
+    return published_order(df, *sort_keys(level))
+
+
+def month_order(level: Level) -> list[Column]:
+    """The same within one month."""
+    text, ties = sort_keys(level)
+    return [col(c).asc_nulls_last() for c in ([text] if text else []) + list(ties)]
 
 
 def months_to_compute(
@@ -234,42 +259,57 @@ def refresh_station_table(
     month: int | None,
     full_refresh: bool,
     spec: FactSpec,
-) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """The same; gives the months that were looked at and those that were written.
+) -> tuple[list[tuple[int, int]], Version | None]:
+    """The same; gives the months that were looked at and the version the table has then, if any.
 
-    The panel is kept in year/month folders. Only folders of refreshed months are replaced, so
-    the cost follows the refreshed months and not the panel's length.
+    The panel is published in year/month folders. Only folders of refreshed months are written, so
+    the cost follows the refreshed months and not the panel's length; a full refresh replaces all
+    of them at once. A panel that was written before there were versions is taken over as it is.
     """
     spark = session_of(fact)
-    months = months_to_compute(
-        spark, sources, load_stored_panel(spark, path), as_of, year, month, full_refresh
-    )
+    before = current(spark, path)
+    unversioned = load_stored_panel(spark, path) if before is None else None
+    known = spark.createDataFrame(months_of(before.parts), "year int, month int") if before else unversioned
+    months = months_to_compute(spark, sources, known, as_of, year, month, full_refresh)
     if not months:
-        return months, []
+        return months, before
     rows = routed_fact(fact, sources, months, spec) if isinstance(fact, dict) else fact
     wide, complete = fresh_wide(rows, months, spec)
-    if complete.isEmpty():  # nothing to put in its place, so the stored panel stays as it is
-        return months, []
-    fresh = dense_panel(wide, ids, complete)
-    if full_refresh:
-        fresh.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("year", "month").parquet(path)
-    else:
-        land_months(fresh, path)
-    return months, month_list(complete)
+    written = month_list(complete)
+    if not written:  # there is nothing to put in its place, so the stored panel stays as it is
+        return months, before
+    if before is None and is_stored(spark, path):
+        publish(stored(unversioned, "taken-over"), path, MONTHS)
+    return months, publish(dense_panel(wide, ids, complete), path, MONTHS, None if full_refresh else month_parts(written))
+
+
+def baseline_paths(root: str) -> dict[str, str]:
+    return {name: f"{root.rstrip('/')}/baseline_{name}" for name in LEVELS}
 
 
 def baseline_or_reuse(
     spark: SparkSession, root: str, build: Callable[[Keep], dict[str, DataFrame]], force: bool = False
 ) -> tuple[dict[str, DataFrame], str]:
-    """Stored baselines when all three are there and no rebuild is forced; else build and store them."""
-    paths = {name: f"{root.rstrip('/')}/baseline_{name}" for name in LEVELS}
-    missing = [name for name, path in paths.items() if not is_stored(spark, path)]
-    if force or missing:
-        reason = "forced rebuild requested" if force else "missing baseline file(s)"
-        return build(lambda name, df: stored(df, name, paths[name])), reason
-    return {name: spark.read.parquet(path) for name, path in paths.items()}, REUSED
+    """Published baselines when all three are there and no rebuild is forced; else build and publish them."""
+    versions, why = baseline_versions(spark, root, build, force)
+    return {name: read_version(spark, path, versions[name]) for name, path in baseline_paths(root).items()}, why
+
+
+def baseline_versions(
+    spark: SparkSession, root: str, build: Callable[[Keep], dict[str, DataFrame]], force: bool
+) -> tuple[dict[str, Version], str]:
+    paths = baseline_paths(root)
+    versions = dict(zip(paths, together(*[functools.partial(current, spark, p) for p in paths.values()])))
+    if not force and all(versions.values()):
+        return versions, REUSED
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        versions[name] = publish(df, paths[name])
+        return read_version(spark, paths[name], versions[name])
+
+    reason = "forced rebuild requested" if force else "missing baseline file(s)"
+    build(keep)
+    return versions, reason
 
 
 def run_monthly_update(
@@ -286,27 +326,24 @@ def run_monthly_update(
     baseline_years=BASELINE_YEARS,
     bad_periods=BAD_PERIODS,
     spec: FactSpec = FactSpec(),
+    keep_versions: int = 2,
 ) -> dict[str, str]:
     """The whole monthly run under ``root``; gives each level's change status.
 
     Station panel, roll-ups, baselines (built only when needed), comparison, names, output. The
-    fact is scanned once for its months; each later step starts from a stored table. A fact of
+    fact is scanned once for its months; each later step starts from a published table. A fact of
     several tables is routed by ``sources``.
 
-    A run that writes no month and no baseline, and finds the names and districts of the last
-    finished run, writes no roll-up and no final table. What the last run had is in a table that
-    stays empty while a run is under way, so a run that died is followed by a whole one.
+    Roll-ups and finals are built for those months only whose inputs changed: the station panel's
+    folder of the month, the baseline, the districts or the names. What a folder was made from is in
+    its table's manifest, so after a run that died the next one renews what that run left behind.
+    Every table stays readable in its last whole version until the next one is complete.
     """
     spark = session_of(fact)
     base = root.rstrip("/")
-    mark = f"{base}/finished"
-    before = spark.read.parquet(mark).collect() if is_stored(spark, mark) else []
-    digest = dimension_digest(dims)
-    stored(digest.limit(0), "finished", mark)
-    _, written = refresh_station_table(
-        fact, f"{base}/ridership_station", sources, dims.ids, as_of, year, month, full_refresh, spec
-    )
-    station = load_stored_panel(spark, f"{base}/ridership_station")
+    panel_paths = {name: f"{base}/ridership_{name}" for name in LEVELS}
+    final_paths = {name: f"{base}/final_{name}" for name in LEVELS}
+    base_paths = baseline_paths(base)
 
     def build(keep: Keep) -> dict[str, DataFrame]:
         every = [(y, m) for y in baseline_years for m in range(1, 13)]
@@ -314,30 +351,54 @@ def run_monthly_update(
         rows = routed_fact(old, sources, every, spec) if isinstance(old, dict) else in_month_list(old, every, spec)
         return baselines(stored(monthly_wide(rows, spec), "baseline-sums"), dims, baseline_years, bad_periods, keep)
 
-    base_tables, why = baseline_or_reuse(spark, base, build, rebuild_baseline)
-    unchanged = not written and why == REUSED and {r["name"]: r for r in before} == {r["name"]: r for r in digest.collect()}
-    if unchanged and all(is_stored(spark, f"{base}/final_{name}") for name in LEVELS):
-        stored(digest, "finished", mark)
-        return {name: "unchanged" for name in LEVELS}
-    panel_tables = {
-        name: station
-        if level is STATION
-        else stored(level_panel(station, dims, level), name, f"{base}/ridership_{name}")
-        for name, level in LEVELS.items()
-    }
-    for name, level in LEVELS.items():
-        for table, keys, label in (
-            (panel_tables[name], level.panel_key, f"{name} ridership"),
-            (base_tables[name], level.baseline_key, f"{name} baseline"),
-        ):
-            require_enum(table, "day_group", label)
-            require_unique(table, keys, label)
-    status = {}
+    def refresh() -> Version:
+        path = panel_paths[STATION.name]
+        found = refresh_station_table(fact, path, sources, dims.ids, as_of, year, month, full_refresh, spec)[1]
+        return found or publish(spark.createDataFrame([], STATION_PANEL), path, MONTHS)
+
+    others = [p for name, p in panel_paths.items() if name != STATION.name] + list(final_paths.values())
+    station, (base_versions, why), digest, *found = together(
+        refresh,
+        lambda: baseline_versions(spark, base, build, rebuild_baseline),
+        lambda: {r["name"]: f"{r['rows']}:{r['digest']}" for r in dimension_digest(dims).collect()},
+        *[functools.partial(current, spark, p) for p in others],
+    )
+    own = dict(zip(others, found))
+
+    def rolled_up(name: str, level: Level) -> Version:
+        if level is STATION:
+            return station
+        source = panel_paths[STATION.name]
+        return propagate(
+            station, panel_paths[name], own[panel_paths[name]], digest["districts"] if level is DISTRICT else "",
+            lambda parts: level_panel(read_version(spark, source, station, parts), dims, level),
+        )
+
+    panels = dict(zip(LEVELS, together(*[functools.partial(rolled_up, name, level) for name, level in LEVELS.items()])))
+    names = {STATION.name: digest["entity_names"], DISTRICT.name: digest["district_names"]}
+    settings = {name: f"{base_versions[name].parts[''].batch} {names.get(name, '')}" for name in LEVELS}
+    base_tables = {name: read_version(spark, path, base_versions[name]) for name, path in base_paths.items()}
+    checks = [] if why == REUSED else [(base_tables[n], level.baseline_key, f"{n} baseline") for n, level in LEVELS.items()]
     for name, level in LEVELS.items():
-        path = f"{base}/final_{name}"
-        rows_before = stored_row_count(spark, path)
-        final = final_table(panel_tables[name], base_tables[name], dims, level)
-        final_order(final, level).write.mode("overwrite").parquet(path)
-        status[name] = change_status(spark, rows_before, spark.read.parquet(path).count())
-    stored(digest, "finished", mark)
-    return status
+        if stale := stale_parts(panels[name], own[final_paths[name]], settings[name]):
+            checks.append((read_version(spark, panel_paths[name], panels[name], stale), level.panel_key, f"{name} ridership"))
+    require_day_group_keys(checks)
+
+    def finished(name: str, level: Level) -> Version:
+        def finals(parts: list[str]) -> DataFrame:
+            return final_table(read_version(spark, panel_paths[name], panels[name], parts), base_tables[name], dims, level)
+
+        path = final_paths[name]
+        return propagate(panels[name], path, own[path], settings[name], finals, order=month_order(level))
+
+    finals = together(*[functools.partial(finished, name, level) for name, level in LEVELS.items()])
+    together(*[functools.partial(forget, spark, p, keep_versions) for p in [*final_paths.values(), *panel_paths.values(), *base_paths.values()]])
+    before = {name: own[path] for name, path in final_paths.items()}
+    return {
+        name: change_status(spark, before[name].rows if before[name] else None, after.rows) for name, after in zip(LEVELS, finals)
+    }
+
+
+def published(spark: SparkSession, root: str, level: Level) -> DataFrame:
+    """The final table of a level as the last complete run left it."""
+    return read_published(spark, f"{root.rstrip('/')}/final_{level.name}")

@@ -14,6 +14,7 @@ from panelspark.functions.numbers import lenient_double, strict_bigint
 from panelspark.functions.text import year_list
 from panelspark.operators.filters import keep_first
 from panelspark.schemas import HOURLY, STATION_PANEL
+from panelspark.sources.publishing import current, read_version
 
 
 def require_columns(df: DataFrame, required: Sequence[str], label: str) -> DataFrame:
@@ -108,12 +109,17 @@ def read_source_map(spark: SparkSession, path: str) -> DataFrame:
 def load_stored_panel(
     spark: SparkSession, path: str, schema: T.StructType = STATION_PANEL, fmt: str = "parquet"
 ) -> DataFrame:
-    """The stored panel, or an empty one of the same schema where there is none to read.
+    """The stored panel, or an empty one of the same schema where there is none to read; of a published table, the
+    current version.
 
     Ids become text and measures numbers, bad numbers becoming zero.
     """
+    version = current(spark, path) if fmt == "parquet" else None
     try:
-        raw = read_text_columns(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+        if version is not None:
+            raw = read_version(spark, path, version)
+        else:
+            raw = read_text_columns(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
         require_columns(raw, schema.names, "stored panel")
     except (AnalysisException, ValueError):
         return spark.createDataFrame([], schema)

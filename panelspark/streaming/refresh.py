@@ -12,7 +12,7 @@ from panelspark.operators.monthly import year_month
 from panelspark.operators.months import month_list
 from panelspark.plans.monthly_update import fresh_wide
 from panelspark.operators.grid import dense_panel
-from panelspark.sources.sinks import land_months
+from panelspark.sources.publishing import MONTHS, month_parts, publish
 from panelspark.specs import FactSpec
 
 
@@ -23,7 +23,8 @@ def refresh_touched_months(
     months = month_list(batch.select(*year_month(spec.time)))
     if months:
         wide, complete = fresh_wide(fact, months, spec)
-        land_months(dense_panel(wide, ids, complete), panel_path)
+        if written := month_list(complete):
+            publish(dense_panel(wide, ids, complete), panel_path, MONTHS, month_parts(written))
     return months
 
 

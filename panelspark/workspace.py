@@ -5,9 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+R = TypeVar("R")
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the session names. Only where all tasks run in this one process is one made where none is
@@ -36,3 +41,10 @@ def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     at = path or new_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def together(*steps: Callable[[], R]) -> list[R]:
+    """What the steps give. Their jobs don't wait for each other, so small ones share the executors; the first error
+    is raised when all have ended."""
+    with ThreadPoolExecutor(max(len(steps), 1)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]

@@ -17,6 +17,7 @@ from panelspark.operators import monthly as M
 from panelspark.operators import months as I
 from panelspark.operators import rollup as R
 from panelspark.plans import monthly_update as U
+from panelspark.sources.publishing import read_published
 
 FACT = "transit_timestamp timestamp_ntz, transit_mode string, station_complex_id string, payment_method string, ridership bigint"
 
@@ -270,8 +271,7 @@ def test_stored_station_table_is_updated_in_place(spark, tmp_path):
     assert looked_at == [(2024, 2), (2024, 3)]
 
     def totals():
-        spark.catalog.refreshByPath(path)
-        rows = spark.read.parquet(path).filter("day_group = 'total'").collect()
+        rows = read_published(spark, path).filter("day_group = 'total'").collect()
         return {r["month"]: r["ridership"] for r in rows}
 
     assert totals() == {1: 310.0, 2: 203.0}
@@ -298,8 +298,7 @@ def test_whole_run_statuses_baselines_and_outputs(spark, tmp_path):
     assert set(U.run_monthly_update(fact(spark, new), **args).values()) == {"created"}
 
     def final(name):
-        spark.catalog.refreshByPath(f"{root}/final_{name}")
-        rows = spark.read.parquet(f"{root}/final_{name}").filter("day_group = 'total'").collect()
+        rows = read_published(spark, f"{root}/final_{name}").filter("day_group = 'total'").collect()
         return [r.asDict() for r in rows]
 
     one_, two = sorted(final("station"), key=lambda r: r["complex_id"])

@@ -6,13 +6,14 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from panelspark.levels import STATION
+from panelspark.levels import CITY, DISTRICT, LEVELS, STATION
 from panelspark.operators import grid as G
 from panelspark.operators import months as I
 from panelspark.operators import monthly as M
 from panelspark.plans import local_panel as L
 from panelspark.plans import monthly_update as U
 from panelspark.sources import sinks as W
+from panelspark.sources.publishing import read_published
 from panelspark.sources.tables import load_stored_panel
 from panelspark.streaming.refresh import start_refresh
 from panelspark.workspace import new_path, stored
@@ -251,7 +252,7 @@ def streamed_refresh(spark, d):
         S.FACT,
     )
     stream.awaitTermination()
-    return spark.read.parquet(panel)
+    return read_published(spark, panel)
 
 
 def local_of(spark, d):
@@ -303,17 +304,20 @@ def local_comparison(spark, d):
     return L.local_comparison(panels, {"station": base})["station"]
 
 
-def run_of(spark, d, routed=False):
-    """A whole run into stored tables, then a second one that finds no new month; the fact may be two routed tables."""
-    root = new_path(spark, "run")
+def text_dimensions(spark, d):
     as_text = F.col("complex_id").cast("string").alias("complex_id")
-    dims = U.Dimensions(
+    return U.Dimensions(
         S.station_ids(spark, d).select(as_text),
         S.districts(spark, d).select(as_text, "puma"),
         S.station_names(spark, d).select(as_text, "station_name"),
         S.district_names(spark, d),
         U.special_cases(S.special_config(spark, d)),
     )
+
+
+def run_of(spark, d, routed=False):
+    """A whole run into stored tables, then a second one that finds no new month; the fact may be two routed tables."""
+    root, dims = new_path(spark, "run"), text_dimensions(spark, d)
     fact = S.scoped(spark, d).withColumn("l_suppkey", F.col("l_suppkey").cast("string"))
     for _ in range(2):
         U.run_monthly_update(
@@ -332,7 +336,7 @@ AS_OF_SQL = "make_date(final.year, final.month, 1) <= DATE '2001-05-01' AND fina
 FROM final LEFT JOIN (SELECT * FROM station WHERE named) s USING (complex_id) WHERE {AS_OF_SQL}""",
 )
 def monthly_update_run(spark, d):
-    return spark.read.parquet(f"{run_of(spark, d)}/final_{STATION.name}")
+    return U.published(spark, run_of(spark, d), STATION)
 
 
 FINAL_COLUMNS = "year, month, period, day_group, ridership, baseline, baseline_comparison, omny_pct"
@@ -347,6 +351,39 @@ def monthly_levels_run(spark, d):
     """District and city tables of a whole run over routed tables."""
     root = run_of(spark, d, routed=True)
     columns = FINAL_COLUMNS.split(", ")
-    puma = spark.read.parquet(f"{root}/final_puma").select(F.lit("puma").alias("level"), F.col("puma").cast("string").alias("key"), *columns)
-    city = spark.read.parquet(f"{root}/final_nyc")
+    puma = U.published(spark, root, DISTRICT).select(F.lit("puma").alias("level"), F.col("puma").cast("string").alias("key"), *columns)
+    city = U.published(spark, root, CITY)
     return puma.unionByName(city.select(F.lit("nyc").alias("level"), F.lit(None).cast("string").alias("key"), *columns))
+
+
+PART_OF_FACT = "(year(l_shipdate) < 1999 OR l_linenumber <= 4 OR (year(l_shipdate) = 1999 AND month(l_shipdate) IN (3, 4)))"
+
+
+def _levels(sql: str) -> str:
+    """District and city rows of a run whose fact has only the rows of ``PART_OF_FACT``."""
+    return sql.replace("l_suppkey <> 7)", f"l_suppkey <> 7 AND {PART_OF_FACT})")
+
+
+@query(
+    "month_through_levels",
+    f"""SELECT 'station' AS level, CAST(complex_id AS VARCHAR) AS key, {FINAL_COLUMNS} FROM (WITH {_levels(STATION_FINAL)} SELECT * FROM final WHERE {AS_OF_SQL})
+UNION ALL SELECT 'puma', CAST(puma AS VARCHAR), {FINAL_COLUMNS} FROM (WITH {_levels(DISTRICT_FINAL)} SELECT * FROM final WHERE {AS_OF_SQL})
+UNION ALL SELECT 'nyc', NULL, {FINAL_COLUMNS} FROM (WITH {_levels(CITY_FINAL)} SELECT * FROM final WHERE {AS_OF_SQL})""",
+)
+def month_through_levels(spark, d):
+    """A run on part of the fact, then two months are computed anew from all of it and go through to every level."""
+    root = new_path(spark, "run")
+    fact = S.scoped(spark, d).withColumn("l_suppkey", F.col("l_suppkey").cast("string"))
+    some = fact.filter("year(l_shipdate) < 1999 or l_linenumber <= 4")
+    args = dict(baseline_fact=fact, baseline_years=S.YEARS, bad_periods=S.BAD, spec=S.FACT)
+    U.run_monthly_update(some, text_dimensions(spark, d), S.sources(spark, d), root, AS_OF, **args)
+    for month in (3, 4):
+        U.run_monthly_update(fact, text_dimensions(spark, d), S.sources(spark, d), root, AS_OF, year=1999, month=month, **args)
+    columns = FINAL_COLUMNS.split(", ")
+    parts = [
+        U.published(spark, root, level).select(
+            F.lit(level.name).alias("level"), (F.col(level.key) if level.key else F.lit(None)).cast("string").alias("key"), *columns
+        )
+        for level in LEVELS.values()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
