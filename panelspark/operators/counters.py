@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 from panelspark.functions.calendar import col, day_name, is_weekday, reading_time, service_day
 from panelspark.functions.numbers import clip, whole_sum
 from panelspark.functions.text import joined_key
-from panelspark.operators.joins import lookup
+from panelspark.operators.joins import is_small, lookup
 from panelspark.specs import COUNTER_CAP, MIDNIGHT_SPAN_HOUR, OUTLIER_FACTOR, CounterSpec
+from panelspark.workspace import stored
 
 
 def with_ids(readings: DataFrame) -> DataFrame:
@@ -70,43 +73,47 @@ def daily_chunk(time: str) -> Column:
     return service_day(time)
 
 
-def with_previous(readings: DataFrame, spec: CounterSpec = CounterSpec()) -> DataFrame:
+def last_readings(readings: DataFrame, keys: Sequence[str], spec: CounterSpec = CounterSpec()) -> DataFrame:
+    """The last reading of each group as a struct column ``end``: its time and counters."""
+    at = F.struct(*[col(c) for c in spec.order])
+    end = F.struct(col(spec.time).alias("time"), *[col(c) for c in spec.counters])
+    return readings.groupBy(*[col(k) for k in keys]).agg(F.max_by(end, at).alias("end"))
+
+
+def with_previous(readings: DataFrame, spec: CounterSpec = CounterSpec(), earlier: DataFrame | None = None) -> DataFrame:
     """Each reading with the previous reading of its device, as a struct column ``prev``.
 
     A plain window over the device would put a busy device's whole history in one task. Here the
     window runs within (device, chunk). What a chunk's first reading follows is the last reading
     of the device's chunk before; those last readings are one row per (device, chunk), found by a
-    map-side combined aggregate, and join back on the partitioning the window already has.
+    map-side combined aggregate. Where chunks follow the devices' order, at most one device of a
+    chunk was in an earlier one, so what is carried over is no more than one row a chunk.
 
-    Readings without a device have no history and are left out. Where the readings carry their
-    position as one number, that orders them; else time and tie do.
+    ``earlier`` holds the last reading of devices before all of these (device and ``end``). Readings
+    without a device have no history and are left out.
     """
     known = readings.filter(col(spec.device).isNotNull())
-    placed = spec.position in readings.columns
-    order = (spec.position,) if placed else spec.order
-    at = col(spec.position) if placed else F.struct(*[col(c) for c in order])
-    looked_at = {"time": spec.time, **{c: c for c in spec.counters}}
     keys = [spec.device, spec.chunk]
-
-    within = W.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c).asc() for c in order])
-    now = F.struct(*[col(c).alias(n) for n, c in looked_at.items()])
+    within = W.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c).asc() for c in spec.order])
+    now = F.struct(col(spec.time).alias("time"), *[col(c) for c in spec.counters])
     rows = known.select("*", F.lag(now).over(within).alias("_before"))
 
-    last = known.groupBy(*[col(k) for k in keys]).agg(
-        *[F.max_by(col(c), at).alias(f"_{n}") for n, c in looked_at.items()]
-    )
+    last = last_readings(known, keys, spec)
     across = W.partitionBy(col(spec.device)).orderBy(col(spec.chunk).asc())
-    end = F.struct(*[col(f"_{n}").alias(n) for n in looked_at])
-    carried = last.select(*[col(k) for k in keys], F.lag(end).over(across).alias("_carried"))
-
-    joined = rows.join(carried.filter(F.col("_carried").isNotNull()), keys, "left")
+    carried = last.select(*[col(k) for k in keys], F.lag("end").over(across).alias("_carried"))
+    if earlier is not None:
+        old = earlier.select(col(spec.device), F.col("end").alias("_old"))
+        carried = lookup(carried, stored(old, "earlier"), [spec.device], "left")
+        carried = carried.select(*[col(k) for k in keys], F.coalesce("_carried", "_old").alias("_carried"))
+    carried = stored(carried.filter(F.col("_carried").isNotNull()), "carried")
+    joined = rows.join(F.broadcast(carried) if is_small(carried) else carried, keys, "left")
     return joined.select(*[col(c) for c in readings.columns], F.coalesce("_before", "_carried").alias("prev"))
 
 
-def raw_deltas(readings: DataFrame, spec: CounterSpec = CounterSpec()) -> DataFrame:
+def raw_deltas(readings: DataFrame, spec: CounterSpec = CounterSpec(), earlier: DataFrame | None = None) -> DataFrame:
     """Unbounded counter differences, with the time of the previous reading; null for a first one."""
     return (
-        with_previous(readings, spec)
+        with_previous(readings, spec, earlier)
         .withColumn("prev_time", F.col("prev.time"))
         .withColumns({f"{c}_DIFF": col(c) - F.col("prev").getField(c) for c in spec.counters})
         .drop("prev")
@@ -125,8 +132,10 @@ def clean_deltas(deltas: DataFrame, spec: CounterSpec = CounterSpec(), cap: int
     )
 
 
-def counter_deltas(readings: DataFrame, spec: CounterSpec = CounterSpec(), cap: int = COUNTER_CAP) -> DataFrame:
-    return clean_deltas(raw_deltas(readings, spec), spec, cap)
+def counter_deltas(
+    readings: DataFrame, spec: CounterSpec = CounterSpec(), cap: int = COUNTER_CAP, earlier: DataFrame | None = None
+) -> DataFrame:
+    return clean_deltas(raw_deltas(readings, spec, earlier), spec, cap)
 
 
 def midnight_spans(deltas: DataFrame, spec: CounterSpec = CounterSpec(), hour: int = MIDNIGHT_SPAN_HOUR) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.functions.calendar import col
@@ -43,6 +44,21 @@ def staged_readings(readings: DataFrame, mapping: DataFrame) -> DataFrame:
 ROWS_PER_CHUNK = 2_000_000
 
 
+def chunk_labels(spark: SparkSession, n: int) -> list[int]:
+    """``n`` ascending numbers that fall into ``n`` different buckets, so that every bucket holds one chunk."""
+    labels: list[int] = []
+    taken: set[int] = set()
+    start, step = 0, 16 * n
+    while len(labels) < n:
+        some = spark.range(start, start + step).select(F.col("id").cast("int").alias("label"))
+        for r in some.withColumn("bucket", F.pmod(F.hash("label"), F.lit(n))).orderBy("label").collect():
+            if r["bucket"] not in taken and len(labels) < n:
+                taken.add(r["bucket"])
+                labels.append(r["label"])
+        start += step
+    return labels
+
+
 def in_chunks(
     readings: DataFrame, spec: CounterSpec = CounterSpec(), path: str | None = None, chunks: int | None = None
 ) -> DataFrame:
@@ -51,21 +67,42 @@ def in_chunks(
     There are as many chunks as shuffle partitions, or more where chunks would grow too large.
 
     Ranges are cut from a sample of the data, so a device with a third of all readings, a day with
-    a third of them, or a third of them being copies of one reading, spans many chunks. Chunk and
-    position are written with the rows and do not change when tasks run again.
+    a third of them, or a third of them being copies of one reading, spans many chunks. The input is
+    written first, so counting, sampling and moving it don't compute it again. Chunks are buckets of
+    the stored table, one each, so what is grouped by device and chunk stays where it is: from here
+    to the differences full rows move once and are sorted once.
     """
     spark = readings.sparkSession
-    n = chunks or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(readings.count() / ROWS_PER_CHUNK)
-    )
     if "seq" in spec.tie and "seq" not in readings.columns:
         readings = readings.withColumn("seq", F.monotonically_increasing_id())
-    order = [col(c) for c in (spec.device, *spec.order)]
-    ordered = readings.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    numbered = ordered.withColumn(spec.chunk, F.spark_partition_id()).withColumn(
-        spec.position, F.monotonically_increasing_id()
+    readings = stored(readings, "unordered-readings")
+    n = chunks or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(readings.count() / ROWS_PER_CHUNK)
     )
-    return stored(numbered, "readings", path or new_path(spark, "readings"))
+    labels = F.array(*[F.lit(label) for label in chunk_labels(spark, n)])
+    moved = readings.repartitionByRange(n, *[col(c) for c in (spec.device, *spec.order)])
+    numbered = moved.withColumn(spec.chunk, F.get(labels, F.spark_partition_id()))
+    return stored_in_buckets(numbered, spec.chunk, n, path or new_path(spark, "readings"))
+
+
+def stored_in_buckets(df: DataFrame, bucket: str, n: int, path: str) -> DataFrame:
+    """The rows read back from a table in ``n`` buckets, which the optimizer takes as partitioned by the column.
+
+    A task here holds one bucket, so it writes its file as rows come and nothing is sorted for the write. The
+    table's name is given up at once; its files stay.
+    """
+    spark = df.sparkSession
+    name = f"buckets_{uuid.uuid4().hex}"
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "8")
+    try:
+        df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(n, bucket).saveAsTable(name)
+    finally:
+        spark.conf.set(setting, before)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def daily_table(

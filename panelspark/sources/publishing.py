@@ -1,6 +1,6 @@
 """Tables published by version: readers see the last complete one, and a run that dies leaves it in place.
 
-A table is a folder with ``data/batch=…`` (what one write made, in partition folders) and ``manifest/at=…``, which
+A table is a folder with ``data/published-batch=…`` (what one write made, in partition folders) and ``manifest/at=…``, which
 names for every partition the batch it is in. A write adds a batch and then, last, one more manifest of a single
 file; the highest number is the current one. Replacing some partitions therefore writes these alone, and the new
 manifest names the old batches for all others.
@@ -84,7 +84,7 @@ def read_version(spark: SparkSession, path: str, version: Version, parts: Iterab
     """The table as of a version, or some of its parts; only their folders are listed and read."""
     base = f"{path.rstrip('/')}/data"
     wanted = list(version.parts) if parts is None else [p for p in parts if p in version.parts]
-    folders = [f"{base}/batch={version.parts[p].batch}/{p}".rstrip("/") for p in wanted]
+    folders = [f"{base}/published-batch={version.parts[p].batch}/{p}".rstrip("/") for p in wanted]
     if not folders:
         return spark.createDataFrame([], version.schema)
     return spark.read.schema(version.schema).option("basePath", base).parquet(*folders).select(*[col(c) for c in version.schema.names])
@@ -113,7 +113,7 @@ def publish(
     spark, base = df.sparkSession, path.rstrip("/")
     before = current(spark, base)
     batch = uuid.uuid4().hex
-    folder = f"{base}/data/batch={batch}"
+    folder = f"{base}/data/published-batch={batch}"
     rows = df.hint("rebalance", *[F.col(c) for c in by]) if by else df
     if order:
         rows = rows.sortWithinPartitions(*by, *order)
@@ -179,7 +179,7 @@ def forget(spark: SparkSession, path: str, keep: int = 2) -> int:
     last = sorted(files)[-keep:]
     if len(last) == len(files):
         return 0
-    named = {f"batch={p.batch}/{n}".rstrip("/") for at in last for n, p in current(spark, base, at).parts.items()}
+    named = {f"published-batch={p.batch}/{n}".rstrip("/") for at in last for n, p in current(spark, base, at).parts.items()}
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(base).getFileSystem(spark._jsc.hadoopConfiguration())
     old = [f"{base}/manifest/at={at:012d}" for at in files if at not in last]

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from panelspark.operators import counters as K
 from panelspark.operators import filters as P
 from panelspark.plans import counter_baseline as U
+from panelspark.plans import counter_staging as G
+from panelspark.schemas import READINGS
+from panelspark.sources import readings as R
 from panelspark.specs import CounterSpec
 
 SPEC = CounterSpec(device="dev", time="t", counters=("ENTRIES", "EXITS"), tie=("id",))
@@ -67,20 +71,104 @@ def test_copies_without_a_tie_are_ordered_by_input(spark):
     assert tuple(got) == (300, 4, 1)
 
 
-def test_readings_are_shuffled_and_sorted_once(spark):
-    rows = [(i, f"d{i % 5}", START + timedelta(hours=i), i, i) for i in range(100)]
-    chunked = U.in_chunks(spark.createDataFrame(rows, SCHEMA.rsplit(",", 1)[0]), SPEC, chunks=4)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        df = K.counter_deltas(chunked, SPEC)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    left = [ln for ln in plan.splitlines() if ln.lstrip().startswith(":")]
-    assert sum("Exchange" in ln for ln in left) == 1 and sum("Sort [" in ln for ln in left) == 1
-    assert "partial_max_by" in plan and "SortAggregate" not in plan
-    assert {i: v for i, v in spark_result(chunked).items()} == brute_force(rows)
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_full_rows_are_shuffled_once_and_sorted_once_from_raw_files_to_differences(spark, tmp_path, monkeypatch):
+    head = ",".join(READINGS.names)
+    for week in ("141018", "141025", "141101"):
+        lines = [f"A,R{k % 5},00,S,1,BMT,{week[2:4]}/{week[4:]}/2014,{h:02d}:00:00,REGULAR,{h * 9 + k},{h}" for k in range(5) for h in range(24)]
+        (tmp_path / f"turnstile_{week}.txt").write_text("\n".join([head, *lines]))
+    scans, written = [], []
+    keep_lines, keep_buckets = R.weekly_lines, U.stored_in_buckets
+    monkeypatch.setattr(R, "weekly_lines", lambda *a: scans.append(1) or keep_lines(*a))
+    monkeypatch.setattr(U, "stored_in_buckets", lambda df, *a: written.append(plan_of(df)) or keep_buckets(df, *a))
+    readings, _ = R.scan_weekly(spark, str(tmp_path))
+    raw = plan_of(readings)
+    assert scans == [1] and "FileScan text" not in raw and "FileScan csv" not in raw
+    mapping = spark.createDataFrame([("S_1", "7")], "station_id string, `Complex ID` string")
+    chunked = U.in_chunks(U.staged_readings(readings, mapping), chunks=4)
+    (write,) = written
+    assert write.count("Exchange rangepartitioning") == write.count("Exchange") == 1 and "Sort [" not in write
+    plan = plan_of(K.counter_deltas(chunked))
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1 and plan.count("Sort [") == 1 and "Bucketed: true" in plan
+    assert K.counter_deltas(chunked).count() == 3 * 5 * 24 - 5
+
+
+def test_every_chunk_is_a_bucket_of_its_own(spark):
+    for n in (1, 2, 7, 64):
+        labels = U.chunk_labels(spark, n)
+        df = spark.createDataFrame([(x,) for x in labels], "x int")
+        assert labels == sorted(labels) and df.select(F.pmod(F.hash("x"), F.lit(n))).distinct().count() == len(labels) == n
+
+
+def test_readings_after_earlier_ones(spark):
+    """Differences in two halves, the second with the last readings of the first, equal those at once."""
+    rows = [(i, f"d{i % 7}", START + timedelta(hours=i // 2), i * 37 % 9001, i * 11 % 8009) for i in range(400)]
+    schema = SCHEMA.rsplit(",", 1)[0]
+    first, second = (U.in_chunks(spark.createDataFrame(part, schema), SPEC, chunks=3) for part in (rows[:220], rows[220:]))
+    earlier = K.last_readings(first, [SPEC.device], SPEC)
+    both = [K.raw_deltas(first, SPEC), K.raw_deltas(second, SPEC, earlier)]
+    got = [r for df in both for r in df.select("id", "prev_time", "ENTRIES_DIFF", "EXITS_DIFF").collect()]
+    assert {r["id"]: tuple(r)[1:] for r in got} == brute_force(rows)
+
+
+def weekly(path, week, days, devices=("R1", "R2"), step=10):
+    head = ",".join(READINGS.names)
+    lines = [
+        f"A,{r},00,S,1,BMT,10/{d:02d}/2014,{h:02d}:00:00,REGULAR,{(d * 24 + h) * step},{d * 24 + h}"
+        for r in devices for d in days for h in (0, 4, 8, 12, 16, 20)
+    ]
+    (path / f"turnstile_{week}.txt").write_text("\n".join([head, *lines, ""]))
+
+
+def test_staging_grows_and_starts_anew_only_where_it_must(spark, tmp_path):
+    files, mapping = tmp_path / "files", spark.createDataFrame([("S_1", "7")], "station_id string, `Complex ID` string")
+    files.mkdir()
+    weekly(files, "141018", range(12, 19))
+
+    def stage(root="grown", path=files):
+        return G.stage_weekly(spark, str(path), str(tmp_path / root), mapping)
+
+    def daily(root="grown"):
+        return sorted(map(tuple, G.staged_daily(spark, str(tmp_path / root)).collect()))
+
+    def at_once(n):
+        assert stage(f"once{n}") == G.ANEW
+        return daily(f"once{n}")
+
+    assert [stage(), stage()] == [G.ANEW, G.NOTHING_NEW]
+    weekly(files, "141025", range(19, 26), ("R1", "R2", "R3"))
+    (files / "turnstile_141101.txt").write_text("C/A,UNIT\nA,R1")
+    assert [stage(), stage()] == [G.ADDED, G.NOTHING_NEW]
+    assert daily() == at_once(1) and sum(r[2] for r in daily()) == (2 * 83 + 41) * 40
+    assert len(list((tmp_path / "grown" / "deltas" / "data").glob("*/batch=0"))) == 1
+    weekly(files, "141108", range(5, 8))  # a late week: readings before those staged
+    assert stage() == G.ANEW and daily() == at_once(2)
+    weekly(files, "141025", range(19, 27), ("R1", "R2", "R3"))  # a file that changed
+    assert stage() == G.ANEW and daily() == at_once(3)
+
+
+def test_a_batch_that_was_cut_off_is_staged_again(spark, tmp_path, monkeypatch):
+    files, mapping = tmp_path / "files", spark.createDataFrame([("S_1", "7")], "station_id string, `Complex ID` string")
+    files.mkdir()
+    weekly(files, "141018", range(12, 19))
+    root = str(tmp_path / "grown")
+    G.stage_weekly(spark, str(files), root, mapping)
+    weekly(files, "141025", range(19, 26))
+    publish = G.publish
+
+    def dies(df, path, *a):
+        if path.endswith("files"):
+            raise RuntimeError("lost")
+        return publish(df, path, *a)
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+        m.setattr(G, "publish", dies)
+        G.stage_weekly(spark, str(files), root, mapping)
+    assert G.stage_weekly(spark, str(files), root, mapping) == G.ADDED
+    assert sum(r["ENTRIES"] for r in G.staged_daily(spark, root).collect()) == 2 * 83 * 40
 
 
 def test_readings_without_a_device_give_nothing(spark):

@@ -100,7 +100,7 @@ def weekly_files(spark, d):
 CAST(round(value * 100) AS BIGINT) AS entries, event_id AS exits FROM events WHERE {WEEK} <> '240113'""",
 )
 def weekly_counter_files(spark, d):
-    df = R.read_weekly_readings(spark, weekly_files(spark, d), r"week=(\d{6})")
+    df = R.read_weekly_readings(spark, weekly_files(spark, d), r"week=(\d{6})", ordered=False)
     names = {"C/A": "ca", "UNIT": "unit", "STATION": "station", "DATE": "day", "TIME": "clock", "ENTRIES": "entries", "EXITS": "exits"}
     return df.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items()])
 
