@@ -145,16 +145,28 @@ def midnight_spans(deltas: DataFrame, spec: CounterSpec = CounterSpec(), hour: i
 
 
 def daily_entity_sums(deltas: DataFrame, spec: CounterSpec = CounterSpec()) -> DataFrame:
-    """Daily sums per entity with the active devices, the most common station name and all lines."""
-    return (
-        deltas.filter(col(spec.entity).isNotNull())
-        .groupBy(col(spec.entity).alias("Complex ID"), F.col("service_date").alias("DATE"))
-        .agg(
-            *[whole_sum(col(f"{c}_DIFF")).alias(c) for c in spec.counters],
-            F.count_distinct(col(spec.device)).alias("TURNSTILE_COUNT"),
-            F.mode(col(spec.name), True).alias("PRIMARY_STATION_NAME"),
-            F.array_join(F.array_sort(F.collect_set(col(spec.line))), ", ").alias("LINES"),
-        )
+    """Daily sums per entity with the active devices, the most common station name (the smallest of equally common
+    ones) and all lines.
+
+    A reading counts once for its device, its name and its line. These are counted by value first, on the map side
+    too, so what meets for an entity's day is one row per device, name and line and never its readings.
+    """
+    kinds = {"device": spec.device, "name": spec.name, "line": spec.line}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), col(c).cast("string").alias("value")) for k, c in kinds.items()]))
+    rows = deltas.filter(col(spec.entity).isNotNull()).select(
+        col(spec.entity).alias("Complex ID"), F.col("service_date").alias("DATE"), *[col(f"{c}_DIFF") for c in spec.counters], each.alias("_e")
+    )
+    is_kind = {k: F.col("kind") == k for k in kinds}
+    values = rows.groupBy("Complex ID", "DATE", F.col("_e.kind").alias("kind"), F.col("_e.value").alias("value")).agg(
+        *[F.sum(F.when(F.col("_e.kind") == "device", col(f"{c}_DIFF"))).alias(c) for c in spec.counters], F.count(F.lit(1)).alias("_n")
+    )
+    there = F.col("value").isNotNull()
+    name = F.when(is_kind["name"] & there, F.struct(-F.col("_n"), F.col("value").alias("value")))
+    return values.groupBy("Complex ID", "DATE").agg(
+        *[whole_sum(col(c)).alias(c) for c in spec.counters],
+        F.count_if(is_kind["device"] & there).alias("TURNSTILE_COUNT"),
+        F.min(name)["value"].alias("PRIMARY_STATION_NAME"),
+        F.array_join(F.array_sort(F.collect_list(F.when(is_kind["line"], F.col("value")))), ", ").alias("LINES"),
     )
 
 

@@ -84,7 +84,7 @@ def day_group_slice(df: DataFrame, group: str = "total", label: str = "table") -
         return df
     part = df.filter(F.col("day_group") == group)
     if part.isEmpty():
-        raise ValueError(f"{label} has 'day_group' but contains no '{group}' rows.")
+        raise ValueError(f"{label}: day groups are there, {group} is not among them")
     return part
 
 
@@ -133,7 +133,7 @@ def with_baseline_name(baseline: DataFrame, name: str = "baseline_ridership") ->
     for candidate in (name, "entries", "ridership"):
         if candidate in baseline.columns:
             return baseline.withColumnRenamed(candidate, name)
-    raise ValueError(f"Baseline data must include one of: {name}, entries, ridership; found {baseline.columns}")
+    raise ValueError(f"no known baseline measure among the columns {baseline.columns}")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -189,9 +189,9 @@ def completeness_of_masks(masks: DataFrame) -> DataFrame:
     first = F.col("mask").bitwiseAND(1) != 0
     last = F.col("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1), expected - 1)) != 0
     reasons = F.array(
-        F.when(~first, "no data on first day"),
-        F.when(~last, "no data on last day"),
-        F.when(days != expected, F.concat(days.cast("string"), F.lit("/"), expected.cast("string"), F.lit(" days covered"))),
+        F.when(~first, "first day missing"),
+        F.when(~last, "last day missing"),
+        F.when(days != expected, F.concat(days.cast("string"), F.lit(" of "), expected.cast("string"), F.lit(" days"))),
     )
     return masks.select(
         "year",

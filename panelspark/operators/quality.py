@@ -75,7 +75,7 @@ def negative_count(df: DataFrame, column: str) -> DataFrame:
 
 def require_non_negative(df: DataFrame, column: str, label: str) -> None:
     if not df.filter(col(column) < 0).limit(1).isEmpty():
-        raise QualityError(f"{label}: negative {column} values encountered")
+        raise QualityError(f"{label}: {column} has negative counts")
 
 
 def row_count_change(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -148,20 +148,20 @@ def duplicate_samples(groups: DataFrame, n: int = 5) -> DataFrame:
 def special_case_errors(config: DataFrame) -> DataFrame:
     """Rows of a special-case table that cannot be used, with the line and what is wrong."""
     cid, years = F.col("complex_id").cast("string"), F.col("baseline_years")
-    at = F.concat(F.lit(" at row "), F.col("line").cast("string"))
+    row = F.concat(F.lit("row "), F.col("line").cast("string"))
     error = (
-        F.when(F.coalesce(F.trim(cid), F.lit("")) == "", F.concat(F.lit("Missing complex_id"), at))
+        F.when(F.coalesce(F.trim(cid), F.lit("")) == "", F.concat(row, F.lit(": no complex_id")))
         .when(
             F.coalesce(F.trim(years), F.lit("")) == "",
-            F.concat(F.lit("Missing baseline_years"), at, F.lit(" for complex_id "), cid),
+            F.concat(row, F.lit(", complex_id "), cid, F.lit(": no baseline_years")),
         )
         .when(
             F.trim(cid).try_cast("int").isNull(),
-            F.concat(F.lit("Invalid complex_id '"), cid, F.lit("'"), at, F.lit(" - must be an integer")),
+            F.concat(row, F.lit(": complex_id <"), cid, F.lit("> is no whole number")),
         )
         .when(
             ~year_list_is_valid(years),
-            F.concat(F.lit("Invalid baseline_years '"), years, F.lit("'"), at, F.lit(" - must be comma-separated integers")),
+            F.concat(row, F.lit(", complex_id "), cid, F.lit(": baseline_years <"), years, F.lit("> is no list of years")),
         )
     )
     return config.select("line", error.alias("error")).filter(F.col("error").isNotNull())
@@ -170,7 +170,7 @@ def special_case_errors(config: DataFrame) -> DataFrame:
 def require_special_cases(config: DataFrame) -> None:
     missing = [c for c in ("complex_id", "baseline_years") if c not in config.columns]
     if missing:
-        raise QualityError(f"Missing required columns in configuration: {missing}")
+        raise QualityError(f"special cases without {' and '.join(missing)}")
     found = special_case_errors(config).orderBy("line").limit(20).collect()
     if found:
         raise QualityError("; ".join(r["error"] for r in found))
@@ -193,7 +193,7 @@ def config_discrepancies(config: DataFrame, names: DataFrame, key: str = "comple
     """Config rows whose id is unknown, or whose name is none of the id's official ``names``."""
     ids = names.select(col(key)).distinct().withColumn("_known", F.lit(True))
     wrong = lookup(config.select("line", col(key), "station_name"), names, [key, "station_name"], "left_anti")
-    issue = F.when(F.col("_known").isNull(), "Complex ID not found in official file").otherwise("Station name mismatch")
+    issue = F.when(F.col("_known").isNull(), "unknown id").otherwise("name differs")
     return lookup(wrong, ids, [key]).withColumn("issue", issue).drop("_known")
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from panelspark.functions.calendar import col
 
 MONTHS = ("year", "month")
+OWN = "own"
 
 
 @dataclass(frozen=True)
@@ -101,11 +102,12 @@ def publish(
     df: DataFrame,
     path: str,
     by: Sequence[str] = (),
-    scope: Iterable[str] | None = None,
+    scope: Iterable[str] | str | None = None,
     made_from: dict[str, str] | None = None,
     order: Sequence[Column] = (),
 ) -> Version:
-    """Write the rows and make them current: as the whole table, or in place of the parts in ``scope`` only.
+    """Write the rows and make them current: as the whole table, or in place of the parts in ``scope`` only, which is
+    ``OWN`` for the parts that the rows are in.
 
     Files are sorted by ``order``. Rows are rebalanced by part first, so that a part that holds most rows gets many
     writers. If anything fails before the manifest is there, the table stays what it was.
@@ -126,7 +128,7 @@ def publish(
     for r in counts:
         name = part_name({c: r[c] for c in by})
         new[name] = Part(batch, r["count"], source.get(name))
-    gone = None if scope is None else set(scope)
+    gone = None if scope is None else set(new) if scope == OWN else set(scope)
     kept = {} if gone is None or before is None else {n: p for n, p in before.parts.items() if n not in gone}
     outside = set() if gone is None else new.keys() - gone
     if outside:

@@ -72,7 +72,7 @@ def test_non_negative_check(spark):
 
 def test_config_checks_raise_with_the_row(spark):
     config = spark.createDataFrame([("5", "2019", 2), ("x", "2019", 3)], "complex_id string, baseline_years string, line int")
-    with pytest.raises(Q.QualityError, match="'x' at row 3"):
+    with pytest.raises(Q.QualityError, match="row 3: complex_id <x>"):
         Q.require_special_cases(config)
     with pytest.raises(Q.QualityError, match="baseline_years"):
         Q.require_special_cases(config.drop("baseline_years"))
@@ -84,7 +84,7 @@ def test_config_names_may_equal_any_official_name(spark):
     names = Q.official_names(official)
     found = Q.config_discrepancies(config, names)
     assert {r["line"]: r["issue"] for r in found.collect()} == {
-        3: "Station name mismatch", 4: "Complex ID not found in official file", 5: "Station name mismatch"
+        3: "name differs", 4: "unknown id", 5: "name differs"
     }
     assert rows(Q.expected_names(found, names)) == [(1, "A (1)"), (1, "B (2)")]
 

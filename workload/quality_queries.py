@@ -121,10 +121,10 @@ def bad_config(spark, d):
 
 @query(
     "special_case_errors",
-    f"""WITH c AS ({BAD_CONFIG}), t AS (SELECT line, CASE WHEN complex_id IS NULL THEN 'Missing complex_id at row ' || line
-  WHEN baseline_years = '' THEN 'Missing baseline_years at row ' || line || ' for complex_id ' || complex_id
-  WHEN complex_id LIKE 'C%' THEN 'Invalid complex_id ''' || complex_id || ''' at row ' || line || ' - must be an integer'
-  WHEN baseline_years LIKE '%x%' THEN 'Invalid baseline_years ''' || baseline_years || ''' at row ' || line || ' - must be comma-separated integers'
+    f"""WITH c AS ({BAD_CONFIG}), t AS (SELECT line, CASE WHEN complex_id IS NULL THEN 'row ' || line || ': no complex_id'
+  WHEN baseline_years = '' THEN 'row ' || line || ', complex_id ' || complex_id || ': no baseline_years'
+  WHEN complex_id LIKE 'C%' THEN 'row ' || line || ': complex_id <' || complex_id || '> is no whole number'
+  WHEN baseline_years LIKE '%x%' THEN 'row ' || line || ', complex_id ' || complex_id || ': baseline_years <' || baseline_years || '> is no list of years'
   END AS error FROM c)
 SELECT * FROM t WHERE error IS NOT NULL""",
 )
@@ -166,7 +166,7 @@ def config_and_names(spark, d):
 @query(
     "config_discrepancies",
     f"""WITH {CONFIG_SQL} SELECT line, complex_id, station_name,
-CASE WHEN s_suppkey IS NULL THEN 'Complex ID not found in official file' ELSE 'Station name mismatch' END AS issue
+CASE WHEN s_suppkey IS NULL THEN 'unknown id' ELSE 'name differs' END AS issue
 FROM c WHERE s_suppkey IS NULL OR c_mktsegment = 'HOUSEHOLD'""",
 )
 def config_discrepancies(spark, d):
