@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.calendar import col, day_name, is_weekday, reading_time, service_day
 from panelspark.functions.numbers import clip, whole_sum
 from panelspark.functions.text import joined_key
-from panelspark.operators.joins import is_small, lookup
+from panelspark.operators.joins import BROADCAST_ROWS, lookup
 from panelspark.specs import COUNTER_CAP, MIDNIGHT_SPAN_HOUR, OUTLIER_FACTOR, CounterSpec
 from panelspark.workspace import stored
 
@@ -106,7 +106,8 @@ def with_previous(readings: DataFrame, spec: CounterSpec = CounterSpec(), earlie
         carried = lookup(carried, stored(old, "earlier"), [spec.device], "left")
         carried = carried.select(*[col(k) for k in keys], F.coalesce("_carried", "_old").alias("_carried"))
     carried = stored(carried.filter(F.col("_carried").isNotNull()), "carried")
-    joined = rows.join(F.broadcast(carried) if is_small(carried) else carried, keys, "left")
+    few = carried.count() <= BROADCAST_ROWS  # rows of a device, a chunk, a time and the counters
+    joined = rows.join(F.broadcast(carried) if few else carried, keys, "left")
     return joined.select(*[col(c) for c in readings.columns], F.coalesce("_before", "_carried").alias("prev"))
 
 

@@ -44,8 +44,14 @@ def staged_readings(readings: DataFrame, mapping: DataFrame) -> DataFrame:
 ROWS_PER_CHUNK = 2_000_000
 
 
+_LABELS: dict[int, list[int]] = {}
+
+
 def chunk_labels(spark: SparkSession, n: int) -> list[int]:
-    """``n`` ascending numbers that fall into ``n`` different buckets, so that every bucket holds one chunk."""
+    """``n`` ascending numbers that fall into ``n`` different buckets, so that every bucket holds one chunk. They
+    depend on ``n`` alone and are kept."""
+    if n in _LABELS:
+        return _LABELS[n]
     labels: list[int] = []
     taken: set[int] = set()
     start, step = 0, 16 * n
@@ -56,6 +62,7 @@ def chunk_labels(spark: SparkSession, n: int) -> list[int]:
                 taken.add(r["bucket"])
                 labels.append(r["label"])
         start += step
+    _LABELS[n] = labels
     return labels
 
 
