@@ -387,3 +387,39 @@ def month_through_levels(spark, d):
         for level in LEVELS.values()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+LEVEL_COLUMNS = "year, month, period, ridership, baseline_ridership, baseline_comparison, omny_pct"
+BY_ORDERS = "SELECT o_custkey AS complex_id, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS k FROM orders GROUP BY ALL"
+
+
+def _local_level(key: str, keys: str, base: str, base_key: str) -> str:
+    """One level's totals against its baseline; both sides are sums of the station rows."""
+    group, of_key = ("GROUP BY puma, year, month, period", " AND b.puma = t.puma") if keys else ("GROUP BY year, month, period", "")
+    return f"""SELECT {key} AS key, year, t.month, period, A + N + R AS ridership, b.k AS baseline_ridership,
+CASE WHEN b.k > 0 THEN {S.even('CAST(A + N + R AS DOUBLE) / b.k', 4)} END AS baseline_comparison, {EXACT_PCT} AS omny_pct
+FROM (SELECT {keys}year, month, period, {SUMS} FROM station_panel {base} AND day_group = 'total' {group}) t
+LEFT JOIN (SELECT {keys}month, CAST(sum(k) AS BIGINT) AS k FROM ({BY_ORDERS}) {base_key} GROUP BY {keys}month) b ON b.month = t.month{of_key}"""
+
+
+@query(
+    "local_levels_comparison",
+    f"""{LOCAL_SQL} SELECT 'puma' AS level, * FROM ({_local_level(
+        "CAST(t.puma AS VARCHAR)", "puma, ", "JOIN station USING (complex_id) WHERE puma IS NOT NULL", "JOIN station USING (complex_id) WHERE puma IS NOT NULL"
+    )}) UNION ALL SELECT 'nyc', * FROM ({_local_level("NULL", "", "WHERE true", "")})""",
+)
+def local_levels_comparison(spark, d):
+    """District and city totals against baselines that have one row per station, which are added up."""
+    base = stored(
+        S.table(spark, d, "orders").select(
+            F.col("o_custkey").alias("complex_id"), F.month("o_orderdate").alias("month"), F.lit(1).cast("bigint").alias("entries")
+        ),
+        "order-counts",
+    )
+    in_district = base.join(S.districts(spark, d), "complex_id").filter("puma IS NOT NULL").select("puma", "month", "entries")
+    panels = {name: df for name, df in local_of(spark, d).items() if name != STATION.name}
+    found = L.local_comparison(panels, {DISTRICT.name: in_district, CITY.name: base.select("month", "entries")})
+    columns = LEVEL_COLUMNS.split(", ")
+    puma = found[DISTRICT.name].select(F.lit("puma").alias("level"), F.col("puma").cast("string").alias("key"), *columns)
+    city = found[CITY.name].select(F.lit("nyc").alias("level"), F.lit(None).cast("string").alias("key"), *columns)
+    return puma.unionByName(city)
