@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.calendar import col
 from panelspark.levels import DISTRICT, LEVELS, STATION, Level
 from panelspark.operators.baseline import roll_up_baseline, station_baseline
-from panelspark.operators.compare import compare
+from panelspark.operators.compare import baseline_problems, compare
 from panelspark.operators.enrich import published_order, with_name
 from panelspark.operators.filters import in_month_list, of_entity
 from panelspark.operators.grid import dense_panel
@@ -337,7 +337,8 @@ def run_monthly_update(
     Roll-ups and finals are built for those months only whose inputs changed: the station panel's
     folder of the month, the baseline, the districts or the names. What a folder was made from is in
     its table's manifest, so after a run that died the next one renews what that run left behind.
-    Every table stays readable in its last whole version until the next one is complete.
+    Every table stays readable in its last whole version until the next one is complete. Beside the
+    finals a run leaves ``diagnostics`` of them.
     """
     spark = session_of(fact)
     base = root.rstrip("/")
@@ -392,13 +393,38 @@ def run_monthly_update(
         return propagate(panels[name], path, own[path], settings[name], finals, order=month_order(level))
 
     finals = together(*[functools.partial(finished, name, level) for name, level in LEVELS.items()])
-    together(*[functools.partial(forget, spark, p, keep_versions) for p in [*final_paths.values(), *panel_paths.values(), *base_paths.values()]])
     before = {name: own[path] for name, path in final_paths.items()}
+    tables = [*final_paths.values(), *panel_paths.values(), *base_paths.values()]
+    report = f"{base}/diagnostics"
+    if list(before.values()) != finals or current(spark, report) is None:
+        now = {name: read_version(spark, final_paths[name], version) for name, version in zip(LEVELS, finals)}
+        publish(diagnostics(now), report)
+        tables.append(report)
+    together(*[functools.partial(forget, spark, p, keep_versions) for p in tables])
     return {
         name: change_status(spark, before[name].rows if before[name] else None, after.rows) for name, after in zip(LEVELS, finals)
     }
 
 
+def diagnostics(finals: dict[str, DataFrame]) -> DataFrame:
+    """``level, kind, key, rows``: keys of station and district finals whose baseline is missing or not above zero, and
+    keys without a name, with the rows they have."""
+    parts = []
+    for name, level in LEVELS.items():
+        if level.key:
+            named = finals[name].withColumn("_key", col(level.key).cast("string"))
+            problems = baseline_problems(named, "_key").select("problem", "_key", "rows")
+            unnamed = named.filter(col(level.label).isNull()).groupBy("_key").agg(F.count(F.lit(1)).alias("rows"))
+            both = problems.unionByName(unnamed.select(F.lit("unnamed").alias("problem"), "_key", "rows"))
+            parts.append(both.select(F.lit(name).alias("level"), F.col("problem").alias("kind"), F.col("_key").alias("key"), "rows"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def published_diagnostics(spark: SparkSession, root: str) -> DataFrame:
+    """``diagnostics`` of the finals as the last run that changed them left it."""
+    return read_published(spark, f"{root.rstrip('/')}/diagnostics")
+
+
 def published(spark: SparkSession, root: str, level: Level) -> DataFrame:
     """The final table of a level as the last complete run left it."""
     return read_published(spark, f"{root.rstrip('/')}/final_{level.name}")

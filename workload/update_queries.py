@@ -423,3 +423,21 @@ def local_levels_comparison(spark, d):
     puma = found[DISTRICT.name].select(F.lit("puma").alias("level"), F.col("puma").cast("string").alias("key"), *columns)
     city = found[CITY.name].select(F.lit("nyc").alias("level"), F.lit(None).cast("string").alias("key"), *columns)
     return puma.unionByName(city)
+
+
+def _problems(final: str, level: str, key: str, names: str) -> str:
+    at = f"FROM (WITH {final} SELECT final.*, {names} WHERE {AS_OF_SQL})"
+    return f"""SELECT '{level}' AS level, CASE WHEN baseline IS NULL THEN 'missing' ELSE 'non_positive' END AS kind, CAST({key} AS VARCHAR) AS key, count(*) AS rows
+{at} WHERE baseline IS NULL OR baseline <= 0 GROUP BY ALL
+UNION ALL SELECT '{level}', 'unnamed', CAST({key} AS VARCHAR), count(*) {at} WHERE name IS NULL GROUP BY ALL"""
+
+
+@query(
+    "update_diagnostics",
+    _problems(STATION_FINAL, "station", "complex_id", "s.station_name AS name FROM final LEFT JOIN (SELECT * FROM station WHERE named) s USING (complex_id)")
+    + " UNION ALL "
+    + _problems(DISTRICT_FINAL, "puma", "puma", "n_name AS name FROM final LEFT JOIN nation ON n_nationkey = puma"),
+)
+def update_diagnostics(spark, d):
+    """What a whole run says about baselines and names of its finals."""
+    return U.published_diagnostics(spark, run_of(spark, d))
