@@ -9,7 +9,8 @@ patterns, so identifiers may be found over any number of steps. Rounds end when
 Patterns that end above ``SURE`` mark the unseen instances they meet as kind ``id``. Spans of the rules stay as they
 are.
 
-Defined cases: null and empty texts have no spans; each row counts by itself, also where rows repeat; a pattern
+Defined cases: null and empty texts have no spans; very long texts are taken whole, at a cost close to their length; of a
+neighbouring word longer than ``CONTEXT`` the characters next to the span count; each row counts by itself, also where rows repeat; a pattern
 needs ``SUPPORT`` different seeds; one or two characters are no identifier; the input may have further columns of any name.
 """
 
@@ -44,6 +45,8 @@ _WITH_DIGIT = r"(?=[A-Za-z./-]*+[0-9])" + _PART
 MORE = 8
 RUN = _ALONE + _WITH_DIGIT + r"(?:\x20(?:[A-Z]{1,4}\x20)?" + _WITH_DIGIT + "){1,%d}" % MORE
 LEAST_CHARACTERS, CONTEXT = 3, 40
+#: Matches gathered before they are joined with the others; code points of a piece that contexts are cut from.
+BLOCK, PIECE = 256, 1000
 SMOOTH, SUPPORT, GOOD, SURE = 2.0, 3, 0.5, 0.8
 #: Rounds go on while a score still rises by this much, even if it has added nothing yet.
 RISE = 0.001
@@ -87,20 +90,92 @@ VALID = {
 }
 
 
+def scanned(items: Column, zero: Column, step, result: str) -> Column:
+    """What ``step(carry, item)``, a struct of ``carry`` and ``out``, leaves for each item from left to right. Results
+    are gathered in blocks, so what is copied grows with the items to the power of one and a half at most."""
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+
+    def add(state: Column, item: Column) -> Column:
+        def append(done: Column) -> Column:
+            return F.struct(done["carry"].alias("carry"), F.concat(state["out"], F.array(done["out"])).alias("out"))
+
+        return bound(step(state["carry"], item), append)
+
+    def block(state: Column, at: Column) -> Column:
+        def close(s: Column) -> Column:
+            return F.struct(s["carry"].alias("carry"), F.concat(state["out"], F.array(s["out"])).alias("out"))
+
+        return F.aggregate(
+            F.slice(items, at + 1, F.lit(BLOCK)), F.struct(state["carry"].alias("carry"), none(result).alias("out")), add, close
+        )
+
+    begins = F.sequence(F.lit(0), F.size(items) - 1, F.lit(BLOCK))
+    start = F.struct(zero.alias("carry"), none(f"array<{result}>").alias("out"))
+    return F.when(F.size(items) > 0, F.aggregate(F.when(F.size(items) > 0, begins), start, block, lambda s: F.flatten(s["out"]))).otherwise(none(result))
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def matches(text: Column, pattern: str, hint: str | None = None) -> Column:
     """Place (code points, end exclusive) and text of all matches from left to right."""
-    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
+    cut = F.arrays_zip(
+        F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("found")
+    )
+
+    def step(at: Column, c: Column) -> Column:
+        start = at + F.length(c["between"])
+        end = start + F.length(c["found"])
+        span = F.struct(start.alias("start"), end.alias("end"), c["found"].alias("found"))
+        return F.struct(end.alias("carry"), span.alias("out"))
+
+    def placed(zipped: Column) -> Column:  # the last piece has no match after it
+        return scanned(F.slice(zipped, F.lit(1), F.size(zipped) - 1), F.lit(0), step, SPAN)
+
+    return F.when(text.rlike(hint or pattern), bound(cut, placed)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
-    def add(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(between, i))
-        end = start + F.length(F.get(found, i))
-        span = F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("found"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    none = F.array().cast(f"array<{SPAN}>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    all_of_them = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, add)["out"]
-    return F.when(text.rlike(hint or pattern), all_of_them).otherwise(none)
+def apart(spans: Column, taken: Column) -> Column:
+    """The spans that overlap none of the taken ones, by start: one pass from the left knows how far taken spans that
+    begin before reach, one from the right where the next one begins."""
+    event = lambda rank: lambda s: F.struct(
+        s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), s["found"].alias("found"), F.lit(True).alias("free")
+    )
+    kind = "struct<start:int,rank:int,end:int,found:string,free:boolean>"
+
+    def checked(reach, free):
+        def step(carry: Column, e: Column) -> Column:
+            now = F.when(e["rank"] == 0, reach(carry, e)).otherwise(carry)
+            out = F.struct(e["start"].alias("start"), e["rank"].alias("rank"), e["end"].alias("end"), e["found"].alias("found"), (e["free"] & free(carry, e)).alias("free"))
+            return F.struct(now.alias("carry"), out.alias("out"))
+
+        return step
+
+    forward = checked(lambda c, e: F.greatest(c, e["end"]), lambda c, e: c <= e["start"])
+    back = checked(lambda c, e: F.least(c, e["start"]), lambda c, e: c >= e["end"])
+    events = F.array_sort(F.concat(F.transform(taken, event(0)), F.transform(spans, event(1))))
+    first = bound(events, lambda x: scanned(x, F.lit(0), forward, kind))
+    both = bound(F.reverse(first), lambda x: scanned(x, F.lit(2**31 - 1), back, kind))
+    left = F.filter(both, lambda e: (e["rank"] == 1) & e["free"])
+    return F.transform(F.reverse(left), lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["found"].alias("found")))
+
+
+def pieces_of(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PIECE), 0)
+
+
+def cut(pieces: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end, at a cost that depends on their number and not on the text's."""
+
+    def part(j: Column) -> Column:
+        first = F.greatest(start - j * PIECE, F.lit(0))
+        return F.substring(F.get(pieces, j), first + 1, F.least(end - j * PIECE, F.lit(PIECE)) - first)
+
+    which = F.sequence(F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int"))
+    return F.when(end > start, F.array_join(F.transform(F.when(end > start, which), part), "")).otherwise(F.lit(""))
 
 
 def rule_spans(text: Column) -> list[Column]:
@@ -115,16 +190,18 @@ def shape(found: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(found, "[A-Za-z]+", "a"), "[0-9]", "9")
 
 
-def patterns(text: Column, span: Column) -> Column:
+def patterns(pieces: Column, span: Column) -> Column:
     """The lexical patterns that a span stands in."""
-    begin = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    before = F.lower(F.regexp_extract(F.substring(text, begin + 1, span["start"] - begin), r"(\S+)\s*$", 1))
-    after = F.lower(F.regexp_extract(F.substring(text, span["end"] + 1, F.lit(CONTEXT)), r"^\s*(\S+)", 1))
-    form = shape(span["found"])
-    return F.array(
-        F.concat_ws("\t", F.lit("before"), before, form),
-        F.concat_ws("\t", F.lit("after"), after, form),
-        F.concat_ws("\t", F.lit("both"), before, after),
+    before = F.lower(F.regexp_extract(cut(pieces, F.greatest(span["start"] - CONTEXT, F.lit(0)), span["start"]), r"(\S+)\s*$", 1))
+    after = F.lower(F.regexp_extract(cut(pieces, span["end"], span["end"] + CONTEXT), r"^\s*(\S+)", 1))
+    sides = F.struct(before.alias("before"), after.alias("after"), shape(span["found"]).alias("form"))
+    return bound(
+        sides,
+        lambda s: F.array(
+            F.concat_ws("\t", F.lit("before"), s["before"], s["form"]),
+            F.concat_ws("\t", F.lit("after"), s["after"], s["form"]),
+            F.concat_ws("\t", F.lit("both"), s["before"], s["after"]),
+        ),
     )
 
 
@@ -174,21 +251,19 @@ def find(docs: DataFrame, text_col: str = "text", spans_col: str = "spans", keep
     """The rows, or the columns to keep of them, with one more: all spans (``start, rank, end, kind``) by start
     and then kind."""
     kept = [col(c) for c in (docs.columns if keep is None else keep)]
-    text, row, rules, maybe = fresh([*docs.columns, spans_col], "_whole", "_row", "_rules", "_maybe")
+    text, row, rules, maybe, taken, parts, loose = fresh([*docs.columns, spans_col], "_whole", "_row", "_rules", "_maybe", "_taken", "_parts", "_loose")
     t = col(text)
     struct = lambda s, k: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end"), F.lit(KINDS[k]).alias("kind"))
-    arrays = fresh([*docs.columns, text, row, rules, maybe], *[f"_{k}" for k in RULES])
+    arrays = fresh([*docs.columns, text, row, rules, maybe, taken, parts, loose], *[f"_{k}" for k in RULES])
     based = docs.withColumn(text, F.coalesce(col(text_col), F.lit(""))).withColumn(row, F.monotonically_increasing_id())
     based = based.select("*", *[c.alias(a) for c, a in zip(rule_spans(t), arrays)])
-    taken = F.concat(*[col(a) for a in arrays])
-    loose = F.filter(
+    tokens = F.filter(
         F.concat(matches(t, TOKEN, "[0-9]"), matches(t, RUN, r"[0-9][A-Za-z./-]*\x20")),
-        lambda s: (F.length(F.regexp_replace(s["found"], "[^A-Za-z0-9]", "")) >= LEAST_CHARACTERS)
-        & s["found"].rlike("[0-9]")
-        & ~F.exists(taken, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        lambda s: (F.length(F.regexp_replace(s["found"], "[^A-Za-z0-9]", "")) >= LEAST_CHARACTERS) & s["found"].rlike("[0-9]"),
     )
-    use = lambda seed: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found"), patterns(t, s).alias("patterns"), F.lit(seed).alias("seed"))
-    uses = F.concat(F.transform(taken, use(True)), F.transform(loose, use(False)))
+    based = based.select("*", F.concat(*[col(a) for a in arrays]).alias(taken), tokens.alias(loose), pieces_of(t).alias(parts))
+    use = lambda seed: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found"), patterns(col(parts), s).alias("patterns"), F.lit(seed).alias("seed"))
+    uses = F.concat(F.transform(col(taken), use(True)), F.transform(apart(col(loose), col(taken)), use(False)))
     listed = F.array_sort(F.concat(*[F.transform(col(a), functools.partial(lambda k, s: struct(s, k), k)) for k, a in enumerate(arrays)]))
     rows = stored(
         based.select(*kept, row, listed.alias(rules), uses.alias(maybe)), "spans"
@@ -216,20 +291,21 @@ def listing(spans: Column) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span, or each run of spans that overlap, replaced by the first one's kind in brackets."""
 
-    def add(state: Column, s: Column) -> Column:
-        fresh_span = s["start"] >= state["at"]
-        kept = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        more = F.array(kept, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(fresh_span, F.concat(state["out"], more)).otherwise(state["out"]).alias("out"),
-        )
+    def whole(pieces: Column) -> Column:
+        def step(at: Column, s: Column) -> Column:
+            mark = F.concat(cut(pieces, at, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            out = F.struct(F.when(s["start"] >= at, mark).otherwise("").alias("text"), s["end"].alias("end"))
+            return F.struct(F.greatest(at, s["end"]).alias("carry"), out.alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    whole = F.aggregate(
-        spans, zero, add, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text)))
-    )
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+        def joined(done: Column) -> Column:
+            return F.concat(
+                F.array_join(F.transform(done, lambda d: d["text"]), ""),
+                cut(pieces, F.array_max(F.transform(done, lambda d: d["end"])), F.size(pieces) * PIECE),
+            )
+
+        return bound(scanned(spans, F.lit(0), step, "struct<text:string,end:int>"), joined)
+
+    return F.when(F.size(spans) > 0, bound(pieces_of(text), whole)).otherwise(text)
 
 
 def without_personal_data(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:

@@ -105,3 +105,23 @@ def test_identifiers_of_any_form_are_found_in_sure_contexts(spark):
     n = len(seeds)
     assert [got[n + i] for i in range(len(forms))] == [f"id:9:{9 + len(f)}" for f in forms]
     assert {got[i] for i in range(n + len(forms), len(texts))} == {""}
+
+
+def test_texts_of_very_many_matches(spark):
+    line = "host 10.0.0.1 took 12345 ms for a1-b2 c3, é\U00020000x9; mail me@x.yz "
+    texts = [line * 2000, "1.1.1.1" + " 7" * 20000, "+1.2.3.4-5 6(7)8 " * 1500]
+    docs = documents(spark, texts)
+    assert base_of(personal.find(docs)) == {i: brute(t) for i, t in enumerate(texts)}
+    got = {r["doc_id"]: r["text"] for r in personal.without_personal_data(docs).collect()}
+    assert got[0].count("[IP]") == got[0].count("[EMAIL]") == 2000 and got[0].endswith("; mail [EMAIL] ")
+
+
+def test_spans_apart_from_taken_ones(spark):
+    kind = "array<struct<start:int,end:int,found:string>>"
+    spans = lambda *pairs: [(a, b, f"{a}-{b}") for a, b in pairs]
+    loose = spans((0, 3), (0, 20), (4, 6), (9, 12), (12, 13), (30, 40), (31, 33))
+    taken = spans((3, 5), (10, 12), (32, 34))
+    row = spark.createDataFrame([(loose, taken), ([], taken), (loose, [])], f"a {kind}, b {kind}")
+    got = [sorted((s["start"], s["end"]) for s in r[0]) for r in row.select(personal.apart(F.col("a"), F.col("b"))).collect()]
+    free = lambda t: sorted((a, b) for a, b, _ in loose if all(d <= a or b <= c for c, d, _ in t))
+    assert got == [free(taken), [], free([])]
