@@ -111,12 +111,67 @@ def test_scores_do_not_depend_on_what_is_sent_to_the_tasks(spark, monkeypatch):
     for most in (10_000, 1200):  # all words; some of them, so that the others are looked up by a join
         monkeypatch.setattr(brown, "FREQUENT", most)
         model, counts = brown.fit(docs.filter("doc_id % 2 = 0").select("text"))
-        assert brown.CLUSTERED <= len(model.lexicon.words) <= most
+        assert brown.SEEDS <= len(model.lexicon.words) <= most
         rows = brown.score(docs, model, counts, keep=["doc_id"]).orderBy("doc_id").collect()
         results.append([(r["n_known"], r["base_score"], r["score"]) for r in rows])
     assert np.allclose(*results) and model.types > 1200
 
 
+def test_every_word_seen_often_gets_its_best_class(spark, monkeypatch):
+    monkeypatch.setattr(brown, "SEEDS", 20)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    kinds = [[w for i, w in enumerate(words) if i % 4 == k] for k in range(4)]
+    weights = [[1 / (i + 3) for i in range(100)]] * 4
+    lines = [" ".join(rng.choices(kinds[i % 4], weights=weights[0])[0] for i in range(rng.randint(20, 120))) for _ in range(200)]
+    texts = documents(spark, lines).select("text").repartition(5)
+    model, counts = brown.fit(texts)
+    often = sum(n >= brown.LEAST for n in Counter(w for t in lines for w in t.split()).values())
+    assert model.lexicon.clustered == often > 100
+    assert (model.of[:often] < brown.CLASSES).all() and model.of[often:].tolist() == [brown.CLASSES, brown.CLASSES + 1]
+
+    by_place = {int(p): int(w) for w, p in zip(model.lexicon.words.view(np.int64), model.lexicon.places)}
+    hashes = {w: int(brown.Words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])).hashes.view(np.int64)[0]) for w in words}
+    place = {w: p for w in words for p, h in by_place.items() if h == hashes[w]}
+    symbols = [[min(place[w], often) for w in t.split()] + [often + 1] for t in lines]
+    pairs = np.zeros((often + 2, often + 2))
+    for line in symbols:
+        for a, b in zip([often + 1, *line], line):
+            pairs[a, b] += 1
+    member = lambda of: np.eye(brown.KINDS)[of]
+    table = lambda of: member(of).T @ pairs @ member(of)
+    encoded = brown.stored(texts.mapInArrow(lambda b: brown._encoded(model.lexicon, b), "symbols binary"), "symbols")
+    assert np.array_equal(brown.pair_counts(encoded, model.of, brown.KINDS), table(model.of))
+
+    of = np.concatenate([np.arange(20), np.full(often - 19, brown.CLASSES), [brown.CLASSES + 1]])
+    movable = np.arange(often) % 3 > 0
+    got = brown.swept(encoded, of, table(of), movable)
+    for w in range(often):
+        values = []
+        for k in range(brown.CLASSES):
+            other = of.copy()
+            other[w] = k
+            values.append(brown.likelihood(table(other)))
+        if not movable[w]:
+            assert got[w] == of[w]
+        else:
+            assert values[got[w]] >= max(values) - 1e-6
+    start = brown.likelihood(table(of))
+    assert brown.likelihood(table(model.of)) > start
+
+
+def test_language_model_of_odd_tables(spark):
+    docs = documents(spark, ["a b", "a b", None, "", "a " * 200_000]).selectExpr("if(doc_id = 0, null, doc_id) doc_id", "text", "7 n_tokens", "8 _row")
+    empty = brown.fit(docs.limit(0).select("text"))
+    got = brown.score(docs, *empty).collect()
+    assert len(got) == 5 and all(math.isfinite(r["score"]) for r in got)
+    model, counts = brown.fit(docs.select("text"))
+    rows = {r["doc_id"]: r for r in brown.score(docs, model, counts, keep=["doc_id"]).collect()}
+    assert len(rows) == 5 and rows[4]["n_tokens"] == 200_001 and rows[None]["score"] == rows[1]["score"]
+    assert rows[2]["n_tokens"] == rows[3]["n_tokens"] == 1
+    assert brown.score(docs.limit(0), model, counts).count() == 0
+
+
 def test_exchange_never_lowers_the_likelihood():
     rng = np.random.default_rng(3)
     pairs = rng.poisson(2.0, (32, 32)) * (1 + 9 * (np.add.outer(np.arange(32), np.arange(32)) % 2))
