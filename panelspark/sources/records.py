@@ -35,6 +35,8 @@ def read_record_pages(
     Each page is one JSON array; records without the time field are skipped.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    pages = spark.read.schema(schema).option("multiLine", True).json(paths)
+    # A page is read as one line, as JSON holds no bare control characters. A multi-line reader goes back to the file for the
+    # text of each value that is no string, some kilobytes a time.
+    pages = spark.read.schema(schema).option("lineSep", "\x1e\x1e").json(paths)
     kept = pages.filter(col(time_field).isNotNull())
     return kept.select(*[without_json_spaces(c).alias(c) if c in nested else F.col(f"`{c}`") for c in columns])

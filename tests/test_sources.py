@@ -71,6 +71,23 @@ def test_record_pages(spark, tmp_path):
     assert rows["2024-01-02"]["zone"] is None
 
 
+def test_record_pages_are_read_once(spark, tmp_path):
+    def bytes_read():
+        stats = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+        return sum(s.getBytesRead() for s in stats if s.getScheme() == "file")
+
+    rows = [{"transit_timestamp": "2024-01-01", "ridership": i, "georeference": {"k": [i, 1.50], "t": "a \n\x85b"}} for i in range(3000)]
+    pages = [json.dumps(rows, indent=1), json.dumps(rows[0]), "", "[{", "[null, {}]", json.dumps(rows[:2], ensure_ascii=False)]
+    for i, page in enumerate(pages):
+        write(tmp_path / "pages" / f"{i}.json", page)
+    df = J.read_record_pages(spark, str(tmp_path / "pages"), ["transit_timestamp", "ridership", "georeference"])
+    before = bytes_read()
+    got = df.collect()
+    assert bytes_read() - before < 4 * len("".join(pages))
+    assert sorted(int(r["ridership"]) for r in got) == sorted([*range(3000), 0, 0, 1])
+    assert all(json.loads(r["georeference"]) == rows[int(r["ridership"])]["georeference"] for r in got)
+
+
 def test_special_cases_last_line_wins(spark, tmp_path):
     path = write(tmp_path / "s.csv", 'complex_id,baseline_years,station_name\n5,2019,"A (1,2)"\n6,"2017, 2018",B\n5,"2015,2016",A\n')
     config = L.read_special_cases(spark, path)
