@@ -1,18 +1,21 @@
 """Language-model scores by a class-based bigram model with Brown classes.
 
-Words are counted over all training texts. Every word seen at least ``LEAST`` times, and once in ``RARITY`` tokens, gets one
-of ``CLASSES`` classes by exchange, which moves a word to the class that raises the likelihood of the class bigrams
-most. The ``SEEDS`` most frequent words are exchanged first, one after the other, on their table of pairs. Then ``SWEEPS``
-jobs over all texts count, for each word, the classes before and after it: the first gives every other word its best class,
-later ones move one half of all words and then the other, as long as the likelihood rises. All rarer words form
-one class, the end of a text another; by arithmetic at most ``RARITY`` words have a class, whatever the size. A token's
-probability is that of its class after the class before it, smoothed towards the class's share, times that of the
-word in its class, smoothed by counts. In the rest each word gives a discount, estimated from the words seen once
-and twice, to the words never seen, which count as one word. All counts come from all training texts; the driver gets
-pairs of seeds, pairs of classes and the class of each word that has one.
-
-The words with a class, and beyond them the most frequent ones up to ``FREQUENT`` in all, go to the tasks with their counts (24 bytes
-each); all others are looked up by a join with the table of counts, one row for each distinct such word of a text.
+Words are counted over all training texts, and each of them gets one of ``CLASSES`` classes by exchange, which gives a word the
+class that raises the likelihood of the class bigrams most. The ``SEEDS`` most frequent words are exchanged first, one after the
+other, on their table of pairs. Then ``SWEEPS`` jobs over all texts count, for each further word seen at least ``LEAST`` times, and
+once in ``RARITY`` tokens, the classes before and after it: the first gives every such word its best class, later ones move one half
+of all words and then the other, as long as the likelihood rises. By arithmetic at most ``RARITY`` words are moved that way, as their
+classes go to the tasks. All other words, the late ones, are grouped by a shuffle: each gets the class that is best for the
+classes before and after all places where it occurs, other late words there being one class. As so few places tell less, late words
+of a class are a class apart from its other words. The end of a text is another, words never seen are the last.
+
+A token's probability is that of its class after the class before it, smoothed towards the class's share, times that of the
+word in its class, smoothed by counts. Each late word gives a discount, estimated from the words seen once and twice, to the words
+never seen, which count as one word. All counts come from all training texts; the driver gets pairs of seeds, pairs of classes and the
+class of each word that goes to the tasks.
+
+The words that are moved, and beyond them the most frequent ones up to ``FREQUENT`` in all, go to the tasks with their counts and classes
+(26 bytes each); all others are looked up by a join with the table of late words, one row for each place of such a word in a text.
 
 Tokens are runs of bytes other than space and ASCII 9 to 13, with A-Z in lower case, then one end. Words are known by
 64-bit hashes. Defined cases: null and empty texts consist of their end alone; repeated rows count each time; without
@@ -27,7 +30,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +48,8 @@ END = U64(0xE4D0FE4D0FE4D0F1)
 HELD = 1 << 20
 #: Words whose neighbours are counted together, and what is counted of each: classes after it, before it, itself.
 BLOCK, KINDS = 64, CLASSES + 2
+#: With a class of late words beside each class.
+ALL = KINDS + CLASSES
 WIDTH = 2 * KINDS + 1
 
 
@@ -81,7 +87,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """The frequent words by hash, with counts and places by frequency; the ``clustered`` first places have a class."""
+    """The frequent words by hash, with counts and places by frequency; sweeps move the ``clustered`` first places."""
 
     words: np.ndarray
     counts: np.ndarray
@@ -178,10 +184,10 @@ def _beside(of: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         twice = symbol[(symbol == before) & (symbol < n)] * WIDTH + 2 * KINDS
         held.append(np.unique(np.concatenate([*keys, twice]), return_counts=True))
         size += len(held[-1][0])
-        if size > 2 * HELD:
+        if size > HELD:
             held = [together()]
             size = len(held[0][0])
-            if size > HELD:
+            if size > HELD // 2:
                 yield rows(*held[0])
                 held, size = [], 0
     if size:
@@ -306,22 +312,104 @@ def exchanged(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SEED_SWEE
     return of
 
 
+def _smoothed(pairs: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of each kind, where ``weight`` is what counts add to it, and of each kind after each."""
+    share = pairs.sum(0) + weight
+    share = share / share.sum()
+    return share, (pairs + BACK_OFF * share) / (pairs.sum(1, keepdims=True) + BACK_OFF)
+
+
+def _around(lexicon: Lexicon, of: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each place of a late word: the classes before and after it, whether tasks know the word, the late word after it."""
+    for batch in batches:
+        for _, _, data, offsets in text_slices(batch.column(0)):
+            tokens, _, there, symbol = _symbols(lexicon, Words(data, offsets))
+            kind = of[symbol]
+            at = np.flatnonzero(kind == CLASSES)
+            before, after = _before(kind, CLASSES + 1)[at], kind[at + 1]  # a text closes with its end
+            around = ((there[at] * KINDS + before) * KINDS + after).astype(np.int32)
+            following = pa.array(tokens[at + 1].view(np.int64), mask=after != CLASSES)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[at].view(np.int64)), pa.array(around), following], names=["word", "around", "following"])
+
+
+#: What rows of the table of late words tell: a word's count and class, the class before a place of it, how often a class is beside another.
+WORD, PLACE, BESIDE = range(3)
+LATE = "what int, word long, n long, class int, sent boolean"
+
+
+def _classed(before_gain: np.ndarray, after_gain: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best class of each late word; rows come ordered by word."""
+    beside = np.zeros(2 * KINDS * CLASSES, np.int64)
+
+    def rows(what: int, word: np.ndarray, n: np.ndarray, kind: np.ndarray, sent: np.ndarray) -> pa.RecordBatch:
+        arrays = [pa.array(np.full(len(word), what, np.int32)), pa.array(word), pa.array(n), pa.array(kind.astype(np.int32)), pa.array(sent)]
+        return pa.RecordBatch.from_arrays(arrays, names=["what", "word", "n", "class", "sent"])
+
+    def whole(word: np.ndarray, around: np.ndarray, following: np.ndarray) -> Iterator[pa.RecordBatch]:
+        begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        n = np.diff(np.append(begin, len(word)))
+        sent, around = np.divmod(around.astype(np.int64), KINDS * KINDS)
+        before, after = np.divmod(around, KINDS)
+        best = np.argmax(np.round(np.add.reduceat(before_gain[before] + after_gain[after], begin), 9), 1)
+        kind = np.repeat(best, n)
+        beside[:] += np.bincount(before * CLASSES + kind, minlength=len(beside))
+        beside[:] += np.bincount((KINDS + after) * CLASSES + kind, minlength=len(beside))
+        yield rows(WORD, word[begin], n, best, sent[begin] > 0)
+        late = after == CLASSES
+        if late.any():
+            yield rows(PLACE, following[late], np.ones(int(late.sum()), np.int64), kind[late], np.zeros(int(late.sum()), bool))
+
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)]
+    for batch in batches:
+        new = [pc.fill_null(batch.column(c), 0).to_numpy() for c in ("word", "around", "following")]
+        held = [np.concatenate(x) for x in zip(held, new)]
+        cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last word may go on
+        if cut:
+            yield from whole(*(x[:cut] for x in held))
+            held = [x[cut:] for x in held]
+    if len(held[0]):
+        yield from whole(*held)
+    some = np.flatnonzero(beside)
+    yield rows(BESIDE, some, beside[some], np.zeros(len(some)), np.zeros(len(some), bool))
+
+
+def late_words(texts: DataFrame, lexicon: Lexicon, of: np.ndarray, g: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """The written table ``word, n, class, sent`` of all late words, and the counts of pairs of all classes."""
+    share, after = _smoothed(g, np.full(KINDS, 0.5))
+    gains = np.log(after[:, :CLASSES] / share[:CLASSES]), np.log(after[:CLASSES].T)
+    places = texts.mapInArrow(functools.partial(_around, lexicon, of), "word long, around int, following long")
+    ordered = places.repartition("word").sortWithinPartitions("word", "around")
+    found = stored(ordered.mapInArrow(functools.partial(_classed, *gains), LATE), "late-words")
+    words = found.filter(F.col("what") == WORD).select("word", "n", "class", "sent")
+    beside = found.filter(F.col("what") == BESIDE).groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(2 * KINDS * CLASSES)
+    count[beside["word"].to_numpy()] = beside["n"].to_numpy()
+    before, behind = count.reshape(2, KINDS, CLASSES)
+    first = found.filter(F.col("what") == PLACE).select("word", F.col("class").alias("first"))
+    both = first.join(words, "word").groupBy("first", "class").agg(F.count("*").alias("n")).toArrow()
+    pairs = np.zeros((ALL, ALL))
+    pairs[:KINDS, :KINDS], pairs[:KINDS, KINDS:], pairs[KINDS:, :KINDS] = g, before, behind.T
+    pairs[CLASSES], pairs[:, CLASSES] = 0, 0  # there each late word has its own class now
+    pairs[KINDS + both["first"].to_numpy(), KINDS + both["class"].to_numpy()] = both["n"].to_numpy()
+    return words, pairs
+
+
 @dataclass(frozen=True)
 class Model:
     lexicon: Lexicon
     tokens: int  # all training tokens
     types: int  # distinct ones
-    of: np.ndarray  # class by symbol
+    of: np.ndarray  # class by symbol, late words being one
+    kinds: np.ndarray  # class by place in the lexicon
     log_next: np.ndarray  # log10 of a class after a class
-    log_in: np.ndarray  # log10 of a clustered word, or the end, in its class; 0 for the rest
-    rest: float  # what counts of words of the rest are divided by
-    discount: float  # what each of them gives to words never seen
-    unseen: float  # what these have together, before the division
+    log_in: np.ndarray  # log10 of a clustered word, or the end, in its class; 0 for others
+    late: np.ndarray  # by class, what counts of its late words, less the discount, are divided by
+    discount: float  # what each late word gives to words never seen
     ends: int  # training texts
 
 
 def least_count(tokens: int) -> int:
-    """What a word must be seen to get a class."""
+    """What a word must be seen to be moved by sweeps, whose words go to the tasks; rarer ones get their class by a shuffle."""
     return max(LEAST, -(-tokens // RARITY))
 
 
@@ -343,7 +431,7 @@ def frequent(counts: DataFrame, least: int, most: int | None = None) -> DataFram
 
 
 def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of a table with one column of texts, and the written table of all counts."""
+    """The model of a table with one column of texts, and the written table of late words with counts and classes."""
     counts = stored(word_counts(texts), "word-counts")
     end = int(END.view(np.int64))
     whole = counts.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
@@ -356,18 +444,25 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     order = np.argsort(words)
     lexicon = Lexicon(words[order], many[order], order, int((many >= least).sum()))
     of, g = classes_of(stored(texts.mapInArrow(functools.partial(_encoded, lexicon), "symbols binary"), "symbols"), lexicon.clustered)
-    share = (g.sum(0) + 0.5) / (g.sum() + 0.5 * len(g))
-    log_next = np.log10((g + BACK_OFF * share) / (g.sum(1, keepdims=True) + BACK_OFF))
+    late, pairs = late_words(texts, lexicon, of, g)
+    kinds = of[np.minimum(lexicon.places, lexicon.clustered)].astype(np.int16)
+    sent = late.filter("sent").select("word", "class").toArrow()
+    kinds[lexicon.find(sent["word"].to_numpy().view(U64))[0]] = KINDS + sent["class"].to_numpy()
+    discount = min(0.9, max(0.1, whole[2] / (whole[2] + 2 * whole[3]) if whole[2] else 0.5))
+    seen, given = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in late.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        seen[r["class"]], given[r["class"]] = r["n"], discount * r["words"]
+    likely = _smoothed(pairs, np.where(np.arange(ALL) == CLASSES, 0.0, 0.5))[1]
+    likely[:, CLASSES] = likely[:, KINDS:] @ ((given + ADD) / (seen + ADD))
+    likely[:, KINDS:] *= (seen - given) / (seen + ADD)
+    log_next = np.log10(np.maximum(likely, 1e-300))
     clustered = many[: lexicon.clustered]
     c = np.append(clustered, [0, 0]).astype(float)
     real = np.arange(len(of)) < len(clustered)
     in_class = np.bincount(of, (c + ADD) * real, KINDS)
     log_in = np.where(real, np.log10((c + ADD) / np.maximum(in_class[of], ADD)), 0.0)
-    ends = int(g[:, CLASSES + 1].sum())
-    rest_types = types - len(clustered) - (ends > 0)
-    discount = min(0.9, max(0.1, whole[2] / (whole[2] + 2 * whole[3]) if whole[2] else 0.5))
-    rest = float(tokens - clustered.sum() - ends + ADD)
-    return Model(lexicon, tokens, types, of, log_next, log_in, rest, discount, float(discount * rest_types + ADD), ends), counts
+    ends = int(pairs[:, CLASSES + 1].sum())
+    return Model(lexicon, tokens, types, of, kinds, log_next, log_in, np.maximum(seen - given, ADD), discount, ends), late
 
 
 def _scored(m: Model, column: pa.Array) -> Iterator[list[pa.Array]]:
@@ -377,44 +472,67 @@ def _scored(m: Model, column: pa.Array) -> Iterator[list[pa.Array]]:
         tokens, index, there, symbol = _symbols(m.lexicon, words)
         n = to - at
         text = np.repeat(np.arange(n), words.counts + 1)
-        score = m.log_next[m.of[_before(symbol, m.lexicon.clustered + 1)], m.of[symbol]] + m.log_in[symbol]
-        count = np.zeros(len(tokens), np.int64)
-        count[there] = m.lexicon.counts[index[there]]
-        count[symbol == m.lexicon.clustered + 1] = m.ends
-        ours = there & (symbol == m.lexicon.clustered)
-        there = there | (symbol == m.lexicon.clustered + 1)
-        score[ours] += np.log10((count[ours] - m.discount) / m.rest)
+        count, kind = np.zeros(len(tokens), np.int64), np.full(len(tokens), -1, np.int32)
+        count[there], kind[there] = m.lexicon.counts[index[there]], m.kinds[index[there]]
+        end = symbol == m.lexicon.clustered + 1
+        count[end], kind[end] = m.ends, CLASSES + 1
+        there = there | end
+        before = _before(kind, CLASSES + 1)
+        score = np.where(there & (before >= 0), m.log_next[before, kind], 0.0) + m.log_in[symbol]
+        ours = kind >= KINDS
+        score[ours] += np.log10((count[ours] - m.discount) / m.late[kind[ours] - KINDS])
         base = np.where(there, np.log10((count + ADD) / divisor), 0.0)
-        many = np.bincount(text[~there], minlength=n)
+        rare = np.flatnonzero(~there)
+        ends = pa.array(np.append(0, np.cumsum(np.bincount(text[rare], minlength=n))), pa.int32())
+        around = (before[rare] + 1) * (ALL + 1) + kind[rare + 1] + 1
         yield [
             pa.array(words.counts + 1), pa.array(np.bincount(text, count > 0, n).astype(np.int64)), pa.array(np.bincount(text, base, n)),
-            pa.array(np.bincount(text, score, n)),
-            pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)), pa.int32()), pa.array(tokens[~there].view(np.int64))),
+            pa.array(np.bincount(text, score, n)), pa.ListArray.from_arrays(ends, pa.array(tokens[rare].view(np.int64))),
+            pa.ListArray.from_arrays(ends, pa.array(rare.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(around.astype(np.int32))),
         ]
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def _links(spark: SparkSession, model: Model) -> tuple[DataFrame, DataFrame]:
+    """log10 of a class after a class, for a looked-up word (with what its count is divided by) and for what comes after one."""
+    divided = np.zeros(ALL)
+    divided[KINDS:] = np.log10(model.late)
+    pair = np.indices((ALL, ALL), np.int32).reshape(2, -1)
+    table = lambda x, *names: spark.createDataFrame(pa.table([pa.array(pair[0]), pa.array(pair[1]), pa.array(x.ravel())], names=[*names]))
+    return F.broadcast(table(model.log_next - divided, "before", "kind", "into")), F.broadcast(table(model.log_next, "kind", "after", "on"))
+
+
+def score(docs: DataFrame, model: Model, late: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The rows, or the columns to keep of them, with ``n_tokens, n_known, base_score, score, perplexity``."""
     kept = docs.columns if keep is None else keep
-    names = fresh([*docs.columns, "n_tokens", "n_known", "base_score", "score", "perplexity"], "_row", "_n", "_known", "_base", "_score", "_rare")
-    row, n, known, base, part, rare = names
-    kinds = [T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.ArrayType(T.LongType())]
+    own = ["_row", "_n", "_known", "_base", "_score", "_rare", "_at", "_around"]
+    names = fresh([*docs.columns, "n_tokens", "n_known", "base_score", "score", "perplexity"], *own)
+    row, n, known, base, part, *rare = names
+    lists = [T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType()), T.ArrayType(T.IntegerType())]
+    kinds = [T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), *lists]
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     fields = [T.StructField(c, k) for c, k in zip(names[1:], kinds)]
     first = stored(
         in_batches(numbered, text_col, fields, functools.partial(_scored, model)).select(*[col(c) for c in [*kept, *names]]), "scored"
     )
-    looked_up = first.select(col(row).alias("row"), F.explode(rare).alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
+    places = first.select(col(row).alias("row"), F.inline(F.arrays_zip(*[col(c) for c in rare])).alias("word", "at", "around"))
+    looked_up = places.join(late.select("word", "n", "class"), "word", "left").select(
+        "row", "at", "n", F.coalesce(F.col("class") + KINDS, F.lit(CLASSES)).alias("kind"),
+        (F.floor(F.col("around") / (ALL + 1)) - 1).cast("int").alias("before"), (F.col("around") % (ALL + 1) - 1).alias("after"),
+    )
+    # a word that is looked up comes right after another one where the class before it isn't known yet
+    last = F.lag("kind").over(Window.partitionBy("row").orderBy("at"))
+    linked = looked_up.withColumn("before", F.when(F.col("before") >= 0, F.col("before")).otherwise(last))
+    into, on = _links(docs.sparkSession, model)
     c = F.coalesce(F.col("n"), F.lit(0))
-    times = F.col("k")
+    zero = lambda x: F.coalesce(x, F.lit(0))
+    within = F.when(c > 0, F.log10(c - model.discount)).otherwise(0)
     more = (
-        looked_up.join(counts, "word", "left").groupBy("row").agg(
-            F.sum(F.when(c > 0, times).otherwise(0)).alias("known"),
-            F.sum(times * F.log10((c + ADD) / (model.tokens + ADD * (model.types + 1)))).alias("base"),
-            F.sum(times * F.log10(F.when(c > 0, c - model.discount).otherwise(model.unseen) / model.rest)).alias("score"),
+        linked.join(into, ["before", "kind"], "left").join(on, ["kind", "after"], "left").groupBy("row").agg(
+            F.count_if(c > 0).alias("known"),
+            F.sum(F.log10((c + ADD) / (model.tokens + ADD * (model.types + 1)))).alias("base"),
+            F.sum(F.col("into") + zero(F.col("on")) + within).alias("score"),
         )
     )
-    zero = lambda x: F.coalesce(x, F.lit(0))
     whole = first.join(more.withColumnRenamed("row", row), row, "left")
     total: Column = col(part) + zero(F.col("score"))
     return whole.select(

@@ -97,8 +97,8 @@ def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", F.coalesce(crc(10) == 0, F.lit(False)))
-    model, counts = brown.fit(docs.filter(~F.col("held_out")).select("text"))
-    return brown.score(docs, model, counts, keep=["doc_id", "held_out"]).select(
+    model, late = brown.fit(docs.filter(~F.col("held_out")).select("text"))
+    return brown.score(docs, model, late, keep=["doc_id", "held_out"]).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity"
     )
 
