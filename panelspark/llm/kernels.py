@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _STEP = 0xD6E8FEB86659FD93

@@ -273,11 +273,12 @@ def _lenient(raw: bytes) -> str:
 
 def _encoded(path: str, decoded: bool, column: pa.Array) -> Iterator[list[pa.Array]]:
     m = load(path)
-    column = pc.replace_substring(pc.fill_null(column, ""), SPACE, " ")
-    for _, _, data, offsets in text_slices(column):
-        ids, counts = encode_slice(m, data, offsets)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids))
-        yield [lists, pa.array(decode_slice(m, ids, counts), pa.string())] if decoded else [lists]
+    for at, to, _, _ in text_slices(column):
+        spaced = pc.replace_substring(pc.fill_null(column.slice(at, to - at), ""), SPACE, " ")
+        for _, _, data, offsets in text_slices(spaced):  # one slice: no text is longer than before
+            ids, counts = encode_slice(m, data, offsets)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids))
+            yield [lists, pa.array(decode_slice(m, ids, counts), pa.string())] if decoded else [lists]
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
