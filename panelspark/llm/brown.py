@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.llm.kernels import U64, Words, text_slices
+from panelspark.llm.kernels import U64, Words
+from panelspark.llm.kernels import text_slices as slices_of
 from panelspark.llm.tables import col, fresh, in_batches
 from panelspark.workspace import stored
 
@@ -46,12 +47,19 @@ ADD, BACK_OFF = 0.1, 20.0
 END = U64(0xE4D0FE4D0FE4D0F1)
 #: Distinct words a task holds before it counts them together.
 HELD = 1 << 20
-#: Words whose neighbours are counted together, and what is counted of each: classes after it, before it, itself.
-BLOCK, KINDS = 64, CLASSES + 2
+#: Bytes of texts hashed at once, so that a slice's arrays stay in a core's cache.
+SLICE = 1 << 17
+#: Blocks that all words are dealt to for their neighbours, whatever their number, so that a task's counts are so many rows at most
+#: each time they are sent on; and what is counted of each word: classes after it, before it, itself.
+BLOCKS, KINDS = 512, CLASSES + 2
+#: Words whose gains are computed together.
+MOVED = 16
 #: With a class of late words beside each class.
 ALL = KINDS + CLASSES
 WIDTH = 2 * KINDS + 1
 
+text_slices = functools.partial(slices_of, max_bytes=SLICE)
+
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size, texts = [], 0, 0
@@ -94,11 +102,25 @@ class Lexicon:
     places: np.ndarray
     clustered: int
 
+    @functools.cached_property
+    def _begins(self) -> tuple[U64, np.ndarray]:
+        """By how much a hash is shifted to its first bits, and the index at which the words with such bits begin."""
+        bits = max(len(self.words).bit_length() + 1, 8)
+        many = np.bincount((self.words >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        return U64(64 - bits), np.append(0, np.cumsum(many)[:-1]).astype(np.int32)
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of each hash and whether it is there."""
         if not len(self.words):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        shift, begins = self._begins
+        last = len(self.words) - 1
+        at = np.minimum(begins[(hashes >> shift).astype(np.int64)], last).astype(np.int64)
+        on = np.flatnonzero(self.words[at] < hashes)
+        while len(on):  # the words with the same first bits are few
+            on = on[at[on] < last]
+            at[on] += 1
+            on = on[self.words[at[on]] < hashes[on]]
         return at, self.words[at] == hashes
 
 
@@ -123,11 +145,18 @@ def _before(symbol: np.ndarray, end: int) -> np.ndarray:
     return np.append(end, symbol[:-1])
 
 
-def _encoded(lexicon: Lexicon, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoded(lexicon: Lexicon, batches: Iterator[pa.RecordBatch], late: bool = False) -> Iterator[pa.RecordBatch]:
+    """Symbols of slices of texts and, if asked for, the hashes of their late words."""
     for batch in batches:
         for _, _, data, offsets in text_slices(batch.column(0)):
-            symbol = _symbols(lexicon, Words(data, offsets))[3].astype("<i4")
-            yield pa.RecordBatch.from_arrays([pa.array([symbol.tobytes()], pa.binary())], names=["symbols"])
+            tokens, _, _, symbol = _symbols(lexicon, Words(data, offsets))
+            held = [symbol.astype("<i4"), *([tokens[symbol == lexicon.clustered].astype("<u8")] if late else [])]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in held], names=["symbols", "late"][: len(held)])
+
+
+def encoded(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """The written table ``symbols, late`` of a table with one column of texts."""
+    return stored(texts.mapInArrow(functools.partial(_encoded, lexicon, late=True), "symbols binary, late binary"), "symbols")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -139,9 +168,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 def _pairs(of: np.ndarray, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(width * width, np.int64)
+    held, size = [], 0
     for symbol in _runs(batches):
-        to = of[symbol]
-        total += np.bincount(of[_before(symbol, len(of) - 1)] * width + to, minlength=width * width)
+        kind = of[symbol]
+        held.append(_before(kind, of[-1]) * width + kind)
+        size += len(kind)
+        if size >= len(total):  # a table is added as seldom as its size asks for
+            total += np.bincount(np.concatenate(held), minlength=len(total))
+            held, size = [], 0
+    if size:
+        total += np.bincount(np.concatenate(held), minlength=len(total))
     some = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
 
@@ -154,81 +190,130 @@ def pair_counts(encoded: DataFrame, of: np.ndarray, width: int) -> np.ndarray:
     return pairs.reshape(width, width)
 
 
-def _beside(of: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For blocks of words, how often each class comes after and before each of them, and the word itself after it."""
+def _beside(of: np.ndarray, movable: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For blocks of movable words, how often each class comes after and before each of them, and the word itself after it."""
     n = len(of) - 2
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    word = np.arange(n)
+    span = -(-n // BLOCKS) * WIDTH
+    begin = np.append(word % BLOCKS * span + word // BLOCKS * WIDTH, [0, 0])  # frequent words are neighbours, so they are dealt out
+    counted = np.append(movable, [False, False])
+    held, raw, size, more = [], [], 0, 0
 
     def together() -> tuple[np.ndarray, np.ndarray]:
-        keys, many = (np.concatenate(x) for x in zip(*held))
-        keys, at = np.unique(keys, return_inverse=True)
-        return keys, np.bincount(at, many, len(keys)).astype(np.int64)
+        keys, many = np.unique(np.concatenate(raw), return_counts=True) if raw else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if not held:
+            return keys, many
+        keys, many = np.append(held[0], keys), np.append(held[1], many)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[first], np.add.reduceat(many[order], first)
 
     def rows(keys: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
-        block, inner = np.divmod(keys, BLOCK * WIDTH)
+        block, inner = np.divmod(keys, span)
         cut = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
         spans = list(zip(cut[:-1], cut[1:]))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(block[cut[:-1]], pa.int32()),
-                pa.array([inner[a:b].astype("<u2").tobytes() for a, b in spans], pa.binary()),
+                pa.array([inner[a:b].astype("<i4").tobytes() for a, b in spans], pa.binary()),
                 pa.array([many[a:b].astype("<i8").tobytes() for a, b in spans], pa.binary()),
             ],
             names=["block", "inner", "many"],
         )
 
-    size = 0
     for symbol in _runs(batches):
-        before = _before(symbol, n + 1)
-        keys = [before[before < n] * WIDTH + of[symbol][before < n], symbol[symbol < n] * WIDTH + KINDS + of[before][symbol < n]]
-        twice = symbol[(symbol == before) & (symbol < n)] * WIDTH + 2 * KINDS
-        held.append(np.unique(np.concatenate([*keys, twice]), return_counts=True))
-        size += len(held[-1][0])
-        if size > HELD:
-            held = [together()]
-            size = len(held[0][0])
+        before, kind = _before(symbol, n + 1), of[symbol]
+        ours, theirs = counted[symbol], counted[before]
+        raw += [
+            begin[before[theirs]] + kind[theirs],
+            begin[symbol[ours]] + KINDS + _before(kind, of[-1])[ours],
+            begin[symbol[ours & (symbol == before)]] + 2 * KINDS,
+        ]
+        more += sum(len(x) for x in raw[-3:])
+        if size + more > HELD:
+            held, raw, more = together(), [], 0
+            size = len(held[0])
             if size > HELD // 2:
-                yield rows(*held[0])
+                yield rows(*held)
                 held, size = [], 0
-    if size:
+    if size + more:
         yield rows(*together())
 
 
+def _beside_gains(
+    table: np.ndarray, f: np.ndarray, was: np.ndarray, out: np.ndarray, into: np.ndarray, self_pair: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each word with each neighbour that it has, and what f of every class's counts with this neighbour gains by the word's.
+    ``table`` has a row for each neighbour and still counts the word in class ``was``."""
+    w, k = np.nonzero(out)
+    here, fs = table[k, :CLASSES], f[k, :CLASSES]
+    own = np.flatnonzero(k == was[w])
+    here[own] -= into[w[own], :CLASSES]
+    at = np.flatnonzero(was[w] < CLASSES)
+    to = was[w[at]]
+    here[at, to] -= out[w[at], k[at]] + np.where(k[at] == to, self_pair[w[at]], 0)
+    fs[own], fs[at, to] = _f(here[own]), _f(here[at, to])
+    return w, k, _f(here + out[w, k][:, None]) - fs
+
+
+def _many_gains(g: np.ndarray, was: np.ndarray, right: np.ndarray, left: np.ndarray, self_pair: np.ndarray) -> np.ndarray:
+    """``_gains`` of many words for the classes that words go to, where ``g`` still counts each word in its class ``was``."""
+    f = _f(g)
+    after, before = np.zeros((len(was), CLASSES, KINDS)), np.zeros((len(was), KINDS, CLASSES))
+    w, k, gained = _beside_gains(g.T, f.T, was, right, left, self_pair)
+    after[w, :, k] = gained
+    w, k, gained = _beside_gains(g, f, was, left, right, self_pair)
+    before[w, k] = gained
+    gain = after.sum(2) + before.sum(1)
+    i, own = np.arange(len(was)), was[:, None] == np.arange(CLASSES)
+    r, l, s = right[:, :CLASSES], left[:, :CLASSES], self_pair[:, None]
+    total_right, total_left = right.sum(1, keepdims=True) + s, left.sum(1, keepdims=True) + s
+    d = np.diagonal(g)[:CLASSES] - np.where(own, r + l + s, 0)
+    gain += _f(d + r + l + s) - _f(d + r) - _f(d + l) + _f(d)
+    rows, cols = g.sum(1)[:CLASSES] - l - np.where(own, total_right, 0), g.sum(0)[:CLASSES] - r - np.where(own, total_left, 0)
+    return gain - (_f(rows + total_right) - _f(rows) + _f(cols + total_left) - _f(cols))
+
+
 def _moves(g: np.ndarray, of: np.ndarray, movable: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The better class of each word that moves; rows come ordered by block, so one block's counts are held at a time."""
     n = len(of) - 2
+    span = -(-n // BLOCKS) * WIDTH
 
     def best(block: int, counts: np.ndarray) -> pa.RecordBatch:
-        moved = []
-        for i, row in enumerate(counts.reshape(BLOCK, WIDTH).astype(float)):
-            w = block * BLOCK + i
-            if w < n and movable[w] and row.any():
-                right, left, self_pair = row[:KINDS].copy(), row[KINDS:-1].copy(), row[-1]
-                right[of[w]] -= self_pair
-                left[of[w]] -= self_pair
-                without = _without(g, of[w], right, left, self_pair)
-                gain = _gains(without, right, left, self_pair)
-                to = int(np.argmax(gain[:CLASSES]))
-                if of[w] >= CLASSES or gain[to] > gain[of[w]] + 1e-9:
-                    moved.append((w, to))
-        words, classes = zip(*moved) if moved else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.int32()), pa.array(classes, pa.int32())], names=["place", "class"])
-
-    now, counts = -1, np.zeros(BLOCK * WIDTH, np.int64)
+        table = counts.reshape(-1, WIDTH)
+        words = np.arange(len(table)) * BLOCKS + block
+        there = np.flatnonzero((words < n) & movable[np.minimum(words, n - 1)] & table.any(1))
+        places, classes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a in range(0, len(there), MOVED):
+            row, w = table[there[a : a + MOVED]].astype(float), words[there[a : a + MOVED]]
+            i, was = np.arange(len(w)), of[w]
+            right, left, self_pair = row[:, :KINDS].copy(), row[:, KINDS:-1].copy(), row[:, -1]
+            right[i, was] -= self_pair
+            left[i, was] -= self_pair
+            gain = _many_gains(g, was, right, left, self_pair)
+            to = np.argmax(gain, 1)
+            moves = (was >= CLASSES) | (gain[i, to] > gain[i, np.minimum(was, CLASSES - 1)] + 1e-9)
+            places.append(w[moves])
+            classes.append(to[moves])
+        arrays = [pa.array(np.concatenate(x), pa.int32()) for x in (places, classes)]
+        return pa.RecordBatch.from_arrays(arrays, names=["place", "class"])
+
+    now, counts = -1, np.zeros(span, np.int64)
     for batch in batches:
         for block, inner, many in zip(*(batch.column(c) for c in ("block", "inner", "many"))):
             if block.as_py() != now:
                 if now >= 0:
                     yield best(now, counts)
-                now, counts = block.as_py(), np.zeros(BLOCK * WIDTH, np.int64)
-            counts[np.frombuffer(inner.as_buffer(), "<u2")] += np.frombuffer(many.as_buffer(), "<i8")
+                now, counts = block.as_py(), np.zeros(span, np.int64)
+            counts[np.frombuffer(inner.as_buffer(), "<i4")] += np.frombuffer(many.as_buffer(), "<i8")
     if now >= 0:
         yield best(now, counts)
 
 
 def swept(encoded: DataFrame, of: np.ndarray, g: np.ndarray, movable: np.ndarray) -> np.ndarray:
     """The classes after each movable word went to the class that is best for it while all others stay."""
-    beside = encoded.mapInArrow(functools.partial(_beside, of), "block int, inner binary, many binary")
+    beside = encoded.mapInArrow(functools.partial(_beside, of, movable), "block int, inner binary, many binary")
     ordered = beside.repartition("block").sortWithinPartitions("block")
     moved = ordered.mapInArrow(functools.partial(_moves, g, of, movable), "place int, class int").toArrow()
     after = of.copy()
@@ -245,9 +330,11 @@ def classes_of(encoded: DataFrame, clustered: int) -> tuple[np.ndarray, np.ndarr
     """Class of each symbol, and the counts of class pairs."""
     seeds = min(SEEDS, clustered)
     kinds = np.append(np.minimum(np.arange(clustered + 1), seeds), seeds + 1)
-    first = exchanged(pair_counts(encoded, kinds, seeds + 2))
+    pairs = pair_counts(encoded, kinds, seeds + 2)
+    first = exchanged(pairs)
     of = np.concatenate([first[:seeds], np.full(clustered + 1 - seeds, CLASSES), [CLASSES + 1]]).astype(np.int64)
-    g = pair_counts(encoded, of, KINDS)
+    member = np.eye(KINDS)[np.append(first[:seeds], [CLASSES, CLASSES + 1])]
+    g = member.T @ pairs @ member
     for sweep in range(SWEEPS if clustered > seeds else 0):
         movable = of[:-2] == CLASSES if not sweep else np.arange(clustered) % 2 == sweep % 2
         after = swept(encoded, of, g, movable)
@@ -322,14 +409,14 @@ def _smoothed(pairs: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.nda
 def _around(lexicon: Lexicon, of: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each place of a late word: the classes before and after it, whether tasks know the word, the late word after it."""
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column(0)):
-            tokens, _, there, symbol = _symbols(lexicon, Words(data, offsets))
-            kind = of[symbol]
+        for run, late in zip(*batch.columns):
+            kind = of[np.frombuffer(run.as_buffer(), "<i4")]
+            tokens = np.frombuffer(late.as_buffer(), "<u8")
             at = np.flatnonzero(kind == CLASSES)
             before, after = _before(kind, CLASSES + 1)[at], kind[at + 1]  # a text closes with its end
-            around = ((there[at] * KINDS + before) * KINDS + after).astype(np.int32)
-            following = pa.array(tokens[at + 1].view(np.int64), mask=after != CLASSES)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[at].view(np.int64)), pa.array(around), following], names=["word", "around", "following"])
+            around = ((lexicon.find(tokens)[1] * KINDS + before) * KINDS + after).astype(np.int32)
+            following = pa.array(np.append(tokens[1:], U64(0)).view(np.int64)[: len(at)], mask=after != CLASSES)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(around), following], names=["word", "around", "following"])
 
 
 #: What rows of the table of late words tell: a word's count and class, the class before a place of it, how often a class is beside another.
@@ -373,11 +460,15 @@ def _classed(before_gain: np.ndarray, after_gain: np.ndarray, batches: Iterator[
     yield rows(BESIDE, some, beside[some], np.zeros(len(some)), np.zeros(len(some), bool))
 
 
-def late_words(texts: DataFrame, lexicon: Lexicon, of: np.ndarray, g: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-    """The written table ``word, n, class, sent`` of all late words, and the counts of pairs of all classes."""
+def late_words(
+    texts: DataFrame, lexicon: Lexicon, of: np.ndarray, g: np.ndarray, symbols: DataFrame | None = None
+) -> tuple[DataFrame, np.ndarray]:
+    """The written table ``word, n, class, sent`` of all late words, and the counts of pairs of all classes; ``symbols`` are the
+    encoded texts, where they are there already."""
+    symbols = encoded(texts, lexicon) if symbols is None else symbols
     share, after = _smoothed(g, np.full(KINDS, 0.5))
     gains = np.log(after[:, :CLASSES] / share[:CLASSES]), np.log(after[:CLASSES].T)
-    places = texts.mapInArrow(functools.partial(_around, lexicon, of), "word long, around int, following long")
+    places = symbols.mapInArrow(functools.partial(_around, lexicon, of), "word long, around int, following long")
     ordered = places.repartition("word").sortWithinPartitions("word", "around")
     found = stored(ordered.mapInArrow(functools.partial(_classed, *gains), LATE), "late-words")
     words = found.filter(F.col("what") == WORD).select("word", "n", "class", "sent")
@@ -443,8 +534,9 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     words, many = words[by_count], many[by_count]
     order = np.argsort(words)
     lexicon = Lexicon(words[order], many[order], order, int((many >= least).sum()))
-    of, g = classes_of(stored(texts.mapInArrow(functools.partial(_encoded, lexicon), "symbols binary"), "symbols"), lexicon.clustered)
-    late, pairs = late_words(texts, lexicon, of, g)
+    symbols = encoded(texts, lexicon)
+    of, g = classes_of(symbols.select("symbols"), lexicon.clustered)
+    late, pairs = late_words(texts, lexicon, of, g, symbols)
     kinds = of[np.minimum(lexicon.places, lexicon.clustered)].astype(np.int16)
     sent = late.filter("sent").select("word", "class").toArrow()
     kinds[lexicon.find(sent["word"].to_numpy().view(U64))[0]] = KINDS + sent["class"].to_numpy()

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from panelspark.llm import brown
 from tests.llm.shared import documents
@@ -83,3 +84,51 @@ def test_scores_of_runs_of_late_words(spark, monkeypatch):
             score += model.log_next[before, kind] + inner
             before = kind
         assert abs(got[i] - score) < 1e-9
+
+
+def test_neighbours_are_so_many_rows_whatever_the_words():
+    n = 300 * brown.BLOCKS + 7
+    rng = np.random.default_rng(1)
+    of = np.append(rng.integers(0, brown.CLASSES, n), [brown.CLASSES, brown.CLASSES + 1])
+    movable = rng.random(n) < 0.7
+    symbol = np.append(np.repeat(rng.permutation(n), 2), n + 1)
+    rows = list(brown._beside(of, movable, iter([pa.RecordBatch.from_arrays([pa.array([symbol.astype("<i4").tobytes()])], names=["symbols"])])))
+    assert 0 < sum(r.num_rows for r in rows) <= brown.BLOCKS
+    counts = np.zeros((brown.BLOCKS, -(-n // brown.BLOCKS), brown.WIDTH), np.int64)
+    for block, inner, many in zip(*(rows[0].column(c).to_pylist() for c in range(3))):
+        counts[block].ravel()[np.frombuffer(inner, "<i4")] = np.frombuffer(many, "<i8")
+    expected = np.zeros((n, brown.WIDTH), np.int64)
+    before = np.append(n + 1, symbol[:-1])
+    for at, beside in ((before, of[symbol]), (symbol, brown.KINDS + of[before])):
+        np.add.at(expected, (at[at < n], beside[at < n]), 1)
+    expected[symbol[(symbol == before) & (symbol < n)], 2 * brown.KINDS] = 1
+    expected[~movable] = 0
+    word = np.arange(n)
+    assert np.array_equal(counts[word % brown.BLOCKS, word // brown.BLOCKS], expected)
+    assert counts.sum() == expected.sum()
+
+
+def test_gains_of_many_words_are_those_of_each():
+    rng = np.random.default_rng(2)
+    of = np.append(rng.integers(0, brown.CLASSES + 1, 300), [brown.CLASSES, brown.CLASSES + 1])
+    symbol = np.append(np.minimum(rng.zipf(1.3, 5000), 302) - 1, 301)
+    before = brown._before(symbol, 301)
+    pairs = np.zeros((302, 302))
+    np.add.at(pairs, (before, symbol), 1)
+    member = np.eye(brown.KINDS)[of]
+    g, self_pair, was = member.T @ pairs @ member, np.diagonal(pairs)[:300], of[:300]
+    right, left = (pairs @ member)[:300], (pairs.T @ member)[:300]
+    right[np.arange(300), was] -= self_pair
+    left[np.arange(300), was] -= self_pair
+    got = brown._many_gains(g, was, right, left, self_pair)
+    for w in range(300):
+        without = brown._without(g, was[w], right[w], left[w], self_pair[w])
+        assert np.allclose(got[w], brown._gains(without, right[w], left[w], self_pair[w])[: brown.CLASSES], atol=1e-9)
+
+
+def test_words_with_the_same_first_bits_are_found():
+    words = np.sort(np.concatenate([np.arange(40, dtype=np.uint64) * 3, [2**63, 2**64 - 1]]).astype(np.uint64))
+    lexicon = brown.Lexicon(words, np.ones(42, np.int64), np.arange(42), 0)
+    asked = np.array([0, 1, 3, 117, 118, 2**62, 2**63, 2**63 + 1, 2**64 - 1], np.uint64)
+    at, there = lexicon.find(asked)
+    assert there.tolist() == [True, False, True, True, False, False, True, False, True] and np.array_equal(words[at[there]], asked[there])
