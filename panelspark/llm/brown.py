@@ -15,7 +15,8 @@ never seen, which count as one word. All counts come from all training texts; th
 class of each word that goes to the tasks.
 
 The words that are moved, and beyond them the most frequent ones up to ``FREQUENT`` in all, go to the tasks with their counts and classes
-(26 bytes each); all others are looked up by a join with the table of late words, one row for each place of such a word in a text.
+(26 bytes each, and up to 16 more in a task that indexes them); all others are looked up by a join with the table of late words, one row
+for each place of such a word in a text.
 
 Tokens are runs of bytes other than space and ASCII 9 to 13, with A-Z in lower case, then one end. Words are known by
 64-bit hashes. Defined cases: null and empty texts consist of their end alone; repeated rows count each time; without
@@ -102,6 +103,9 @@ class Lexicon:
     places: np.ndarray
     clustered: int
 
+    def __reduce__(self) -> tuple:
+        return Lexicon, (self.words, self.counts, self.places, self.clustered)  # each task indexes the words itself
+
     @functools.cached_property
     def _begins(self) -> tuple[U64, np.ndarray]:
         """By how much a hash is shifted to its first bits, and the index at which the words with such bits begin."""

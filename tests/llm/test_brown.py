@@ -1,5 +1,6 @@
 """Classes of words that are seen too seldom to be moved by sweeps."""
 
+import pickle
 import random
 from collections import Counter, defaultdict
 
@@ -132,3 +133,6 @@ def test_words_with_the_same_first_bits_are_found():
     asked = np.array([0, 1, 3, 117, 118, 2**62, 2**63, 2**63 + 1, 2**64 - 1], np.uint64)
     at, there = lexicon.find(asked)
     assert there.tolist() == [True, False, True, True, False, False, True, False, True] and np.array_equal(words[at[there]], asked[there])
+    sent = pickle.dumps(lexicon)
+    assert len(sent) == len(pickle.dumps(brown.Lexicon(words, lexicon.counts, lexicon.places, 0)))
+    assert np.array_equal(pickle.loads(sent).find(asked)[1], there)
