@@ -57,6 +57,61 @@ def test_double_vectors_keep_their_digits(spark):
     assert {r["vec_id"]: r["n_links"] for r in vectors.linked(df).collect()} == {0: 1, 1: 1, 2: 2}
 
 
+def test_blocks_are_not_sent_to_every_tile(spark, monkeypatch):
+    """The blocks are written once; tiles read them where they lie, so what is written grows with the vectors only."""
+    plans, stored = [], vectors.stored
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, label)
+
+    monkeypatch.setattr(vectors, "stored", noted)
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((300, 16)).astype(np.float32)
+    x = np.concatenate([base, base[:200] + rng.standard_normal((200, 16)).astype(np.float32) * 0.3, np.repeat(base[:2], 30, 0) * np.arange(1, 61)[:, None]])
+    x = np.concatenate([x, x[:100]]).astype(np.float32)
+    rows = [*x.tolist(), *x[:50, :5].tolist()]
+    df = spark.createDataFrame([(str(1000 + i), v) for i, v in enumerate(rows)], "vec_id string, embedding array<float>")
+    wide = vectors.linked(df).collect()
+    for size in (1, 640, 4000):  # bytes of a block: one vector, ten, sixty
+        monkeypatch.setattr(vectors, "BLOCK_BYTES", size, raising=False)
+        assert sorted(vectors.linked(df).collect()) == sorted(wide)
+    assert [label for label, plan in plans if label == "links" and "Exchange" in plan] == []
+    got = {r["vec_id"]: r for r in wide}
+    for some, start in ((x, 1000), (x[:50, :5], 1000 + len(x))):
+        u = some.astype(float) / np.linalg.norm(some.astype(float), axis=1, keepdims=True)
+        link = (u @ u.T >= 0.9) & ~np.eye(len(u), dtype=bool)
+        label = np.arange(len(u))
+        for _ in range(len(u)):
+            label = np.minimum(label, np.where(link, label, len(u)).min(1))
+        assert [got[str(start + i)]["n_links"] for i in range(len(u))] == link.sum(1).tolist()
+        assert [got[str(start + i)]["component_id"] for i in range(len(u))] == [str(start + k) for k in label]
+
+
+def test_vectors_whose_squares_leave_the_range(spark):
+    rows = [[1e200, 0.0], [1e200, 1.0], [1e-200, 0.0], [2e-200, 0.0], [1.0, 0.0], [3.0, 0.1], [1e200, 0.0]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    assert {r["vec_id"]: r["n_links"] for r in vectors.linked(df).collect()} == {0: 1, 1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1}
+
+
+def test_many_links_of_one_part_are_summed_up(spark, monkeypatch):
+    for name in ("MANY", "STEP"):
+        monkeypatch.setattr(vectors, name, 7, raising=False)
+    x = np.random.default_rng(5).standard_normal((90, 4)).round(1)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = (u @ u.T >= 0.9) & ~np.eye(90, dtype=bool)
+    nodes, ones, found = np.arange(90), np.ones(90, int), []
+    for a, b in ((0, 0), (0, 45), (45, 45)):
+        side = lambda k, first: vectors.block(nodes[k : k + 45], ones[:45], x[k : k + 45], first)
+        found.append(vectors._tile(side(a, True), side(b, False), a == b))
+    node, near, links = vectors._summed(found)
+    label = np.arange(90)
+    for _ in range(90):
+        label = np.minimum(label, np.where(link, label, 90).min(1))
+    assert dict(zip(node.tolist(), links.tolist(), strict=True)) == {i: n for i, n in enumerate(link.sum(1).tolist()) if n}
+    assert dict(zip(node.tolist(), near.tolist(), strict=True)) == {i: label[i] for i in node.tolist()}
+
+
 def test_error_bound_is_rigorous():
     rng = np.random.default_rng(2)
     u = rng.standard_normal((300, 1500))
