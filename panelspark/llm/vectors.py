@@ -12,8 +12,9 @@ folder, so blocks are written once and not sent to every tile: what is written g
 with their square. A task returns a count of links for each class and a spanning label, never its pairs.
 
 Defined cases: vectors that are null, zero or hold null, NaN or infinite components link with nothing, nor do
-vectors of different lengths; repeated rows are linked with each other; a null id counts as a vector, though it
-never names a component that has other ids.
+vectors of different lengths; vectors whose squared length is no positive finite double link with their copies only;
+repeated rows are linked with each other; a null id counts as a vector, though it never names a component that has
+other ids.
 """
 
 from __future__ import annotations
@@ -210,8 +211,9 @@ def _packed(kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 return
             listed = lambda c: pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some[c].combine_chunks())  # noqa: B023, E731
             vectors = some["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).tobytes()
+            head = [pa.array([length], pa.int32()), some["node"].combine_chunks()[:1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([length], pa.int32()), some["node"].combine_chunks()[:1], *(listed(c) for c in ("node", "copies", "least", "key")), pa.array([vectors], pa.binary())],
+                [*head, *(listed(c) for c in ("node", "copies", "least", "key")), pa.array([vectors], pa.binary())],
                 names=["length", "first", "nodes", "copies", "least", "keys", "vectors"],
             )
 
@@ -256,7 +258,10 @@ def linked(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         .select(F.monotonically_increasing_id().alias("node"), "copies", "least", _key("v").alias("key"), "v")
     )
     many = lambda c: T.ArrayType(classes.schema[c].dataType)
-    fields = {"length": T.IntegerType(), "first": T.LongType(), "nodes": many("node"), "copies": many("copies"), "least": many("least"), "keys": many("key"), "vectors": T.BinaryType()}
+    fields = {
+        "length": T.IntegerType(), "first": T.LongType(), "nodes": many("node"), "copies": many("copies"),
+        "least": many("least"), "keys": many("key"), "vectors": T.BinaryType(),
+    }
     blocks = stored(
         classes.mapInArrow(functools.partial(_packed, kind), T.StructType([T.StructField(n, t) for n, t in fields.items()])), "blocks"
     )
