@@ -244,15 +244,19 @@ def decode_slice(m: Model, ids: np.ndarray, counts: np.ndarray) -> list[str]:
             strip = len(head) and m.spaced[part[head[0]]]
         else:
             strip = False
-        raw = b"".join(map(table.__getitem__, part.tolist()))
-        if strip:
-            raw = raw[1:]
-        try:
-            out.append(raw.decode())
-        except UnicodeDecodeError:
-            if plain:
-                raise
-            out.append(_lenient(raw))
+        text = []
+        cuts = () if plain else np.flatnonzero(m.skipped[part])
+        for run in np.split(part, cuts) if len(cuts) else (part,):  # no character reaches over a control id
+            raw = b"".join(map(table.__getitem__, run.tolist()))
+            if strip and raw:
+                raw, strip = raw[1:], False
+            try:
+                text.append(raw.decode())
+            except UnicodeDecodeError:
+                if plain:
+                    raise
+                text.append(_lenient(raw))
+        out.append("".join(text))
     return out
 
 

@@ -45,6 +45,12 @@ def test_any_ids_decode_as_the_library_does(ids):
     assert pieces.decode_slice(pieces.load(PATH), np.array(ids, int), np.array([len(ids)])) == [LIBRARY.decode(ids)]
 
 
+def test_no_character_reaches_over_a_control_id():
+    rows = [[197, 1, 131], [300, 197, 2, 131, 300], [229, 156, 1, 168], [1, 197, 131, 2], [1, 35, 300, 197, 1], [197, 0, 131], [1, 2], []]
+    ids, counts = np.array([i for r in rows for i in r], int), np.array([len(r) for r in rows])
+    assert pieces.decode_slice(pieces.load(PATH), ids, counts) == [LIBRARY.decode(r) for r in rows]
+
+
 def test_whole_table(spark):
     docs = read(spark, "documents")
     rows = pieces.encode(docs, PATH, decoded_col="decoded").collect()
